@@ -33,7 +33,7 @@ def text(value: str) -> str:
 
 
 def values(rows: list[tuple]) -> str:
-    return ", ".join("(" + ", ".join(text(v) if isinstance(v, str) else repr(v) for v in r) + ")" for r in rows)
+    return ", ".join("(" + ", ".join(text(v) if isinstance(v, str) else f"{v}::DOUBLE" for v in r) + ")" for r in rows)
 
 
 def segment(r: str, f: str, lost_big: str, fallback: str) -> str:
@@ -294,6 +294,7 @@ ORACLE: dict[str, str] = {
     "validate_schema": q("SELECT TRUE AS valid, COUNT(*) AS row_count, COUNT(CustomerID) AS known_rows FROM t"),
     "table_profile": profile(),
     "save_table": q(f"SELECT {DONE} FROM cleaned"),
+    "load_table": q(f"SELECT {RAW} FROM lines"),
     "create_transactions": q(f"SELECT {RAW} FROM t"),
     "insert_rows": q(f"""SELECT {RAW} FROM t
         UNION ALL SELECT '489434', '85123A', 'WHITE HANGING HEART T-LIGHT HOLDER', 6, TIMESTAMP '2009-12-01 07:45:00', 2.55::DOUBLE, '13085', 'United Kingdom'

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from datetime import datetime
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tillroll.catalog import tables as t
-from tillroll.functions.dates import month_key, whole_days
+from tillroll.functions.dates import month_label, month_start, whole_days
 from tillroll.functions.money import big, line_revenue, mean, percent, ratio, rounded, total
 from tillroll.functions.rules import basket_size, is_abroad, is_cancelled, is_priced, is_valid_sale, qcut_of_rank
 from tillroll.operators import joins, ordering, quantiles
@@ -71,6 +73,11 @@ def save_and_load(spark, folder):
     return t.plain(files.load_table(spark, path))
 
 
+def load_table(spark, folder):
+    """The kept lines, as the cleaning job left them in the shared folder."""
+    return t.plain(t.kept(spark, folder))
+
+
 def create_transactions(spark, folder):
     files.create_transactions(t.lines(spark, folder))
     return t.plain(spark.table("transactions"))
@@ -84,9 +91,6 @@ EXAMPLE_ROWS = [
 
 
 def insert_rows(spark, folder):
-    from datetime import datetime
-    from decimal import Decimal
-
     rows = [(*r[:4], datetime.fromisoformat(r[4]), Decimal(r[5]), *r[6:]) for r in EXAMPLE_ROWS]
     return t.plain(files.insert_rows(t.lines(spark, folder), rows))
 
@@ -136,12 +140,13 @@ def customer_filter(spark, folder):
 
 def join_cohort(spark, folder):
     tx = t.lines(spark, folder, "Invoice", "InvoiceDate", "CustomerID").where(is_valid_sale())
-    active = tx.groupBy("CustomerID", month_key(F.col("InvoiceDate")).alias("activity_month")).agg(
+    active = tx.groupBy("CustomerID", month_start(F.col("InvoiceDate")).alias("activity_month")).agg(
         F.count(F.lit(1)).alias("line_count")
     )
     # at most one row per customer and month
     first = F.min("activity_month").over(Window.partitionBy("CustomerID"))
-    return active.withColumn("cohort_month", first)
+    dated = active.withColumn("cohort_month", first)
+    return dated.withColumns({c: month_label(F.col(c)) for c in ("activity_month", "cohort_month")})
 
 
 def join_seasonality(spark, folder):
@@ -359,8 +364,9 @@ def global_rank(spark, folder):
 
 def union_all(spark, folder):
     early, late = _periods(spark, folder)
-    months = month_key(F.col("InvoiceDate")).alias("year_month")
-    return early.unionByName(late).groupBy(months).agg(F.count(F.lit(1)).alias("line_count"))
+    months = early.unionByName(late).groupBy(month_start(F.col("InvoiceDate")).alias("month"))
+    counts = months.agg(F.count(F.lit(1)).alias("line_count"))
+    return counts.select(month_label(F.col("month")).alias("year_month"), "line_count")
 
 
 def select_distinct(spark, folder):
@@ -584,14 +590,23 @@ def model_registry(spark, folder):
     return current.crossJoin(F.broadcast(best))
 
 
-def save_and_load_best(spark, folder):
-    train, test = t.split(spark, folder)
+def _saved_models(spark, train, test):
     path = _fresh_path(spark, "models")
     for name in ("LinearRegression", "DecisionTree"):
         trained = modelling.train_model(train, name, tune=False)
         row = modelling.evaluate([trained], test).first()
         modelling.save_model(trained, path, row.asDict())
-    name, model = modelling.load_best(spark, path)
+    return path
+
+
+def save_model(spark, folder):
+    path = _saved_models(spark, *t.split(spark, folder))
+    return modelling.current_models(modelling.read_registry(spark, f"{path}/registry")).drop("path")
+
+
+def load_best(spark, folder):
+    train, test = t.split(spark, folder)
+    name, model = modelling.load_best(spark, _saved_models(spark, train, test))
     return scoring.score_batch(model, test).select("CustomerID", scoring.PREDICTED, F.lit(name).alias("model"))
 
 
@@ -671,6 +686,7 @@ QUERIES: dict[str, t.Query] = {
     "validate_schema": schema_check,
     "table_profile": lambda spark, folder: profile.table_profile(t.lines(spark, folder)),
     "save_table": save_and_load,
+    "load_table": load_table,
     "create_transactions": create_transactions,
     "insert_rows": insert_rows,
     # filters and projections
@@ -848,7 +864,8 @@ QUERIES: dict[str, t.Query] = {
     "metrics_regression": metrics_regression,
     "model_comparison": _simple_metrics,
     "model_registry": model_registry,
-    "load_best": save_and_load_best,
+    "save_model": save_model,
+    "load_best": load_best,
     "feature_importance": feature_importance,
     "residuals": residuals_stand_in,
     "residuals_linear": residuals,

@@ -7,30 +7,45 @@ from pyspark.sql import Column, functions as F
 _EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 
 
-def year_key(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy")
+# Keys to group by: dates and small integers, cheap per line. Their labels are
+# made after the grouping, once per group.
 
 
-def month_of_year(ts: Column) -> Column:
-    return F.date_format(ts, "MM")
+def month_start(ts: Column) -> Column:
+    return F.trunc(ts.cast("date"), "month")
 
 
-def month_key(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM")
+def quarter_start(ts: Column) -> Column:
+    return F.trunc(ts.cast("date"), "quarter")
 
 
-def day_key(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd")
+def year_start(ts: Column) -> Column:
+    return F.trunc(ts.cast("date"), "year")
 
 
-def week_key(ts: Column) -> Column:
-    """Year and Monday-first week 00-53; days before the first Monday are week 00."""
-    week = F.floor((F.dayofyear(ts) + 6 - F.weekday(ts)) / 7).cast("string")
-    return F.concat(year_key(ts), F.lit("-"), F.lpad(week, 2, "0"))
+def week_number(ts: Column) -> Column:
+    """Monday-first week 00-53; days before the first Monday are week 00."""
+    return F.floor((F.dayofyear(ts) + 6 - F.weekday(ts)) / 7)
 
 
-def quarter_key(ts: Column) -> Column:
-    return F.concat(F.lit("Q"), F.quarter(ts))
+def year_label(day: Column) -> Column:
+    return F.date_format(day, "yyyy")
+
+
+def month_of_year(day: Column) -> Column:
+    return F.date_format(day, "MM")
+
+
+def month_label(day: Column) -> Column:
+    return F.date_format(day, "yyyy-MM")
+
+
+def week_label(year: Column, week: Column) -> Column:
+    return F.concat(year_label(year), F.lit("-"), F.lpad(week.cast("string"), 2, "0"))
+
+
+def quarter_label(day: Column) -> Column:
+    return F.concat(F.lit("Q"), F.quarter(day))
 
 
 def whole_days(earlier: Column, later: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tillroll.functions.dates import micros, quarter_key, year_key
+from tillroll.functions.dates import micros, quarter_label, quarter_start, year_label
 from tillroll.functions.money import line_revenue, mean, percent, ratio, rounded, total
 from tillroll.functions.rules import basket_size, is_cancelled, is_valid_sale
 from tillroll.operators.ordering import top_rows
@@ -155,13 +155,19 @@ def cross_sell_strict(tx: DataFrame, bought: str = "85123A", missing: str = "840
 
 @reads("Invoice", "Quantity", "InvoiceDate", "Price", "CustomerID")
 def adv_quarterly(tx: DataFrame) -> DataFrame:
-    when = F.col("InvoiceDate")
+    day = F.col("quarter_start")
     return (
         tx.where(is_valid_sale())
-        .groupBy(year_key(when).alias("sales_year"), quarter_key(when).alias("quarter"))
+        .groupBy(quarter_start(F.col("InvoiceDate")).alias("quarter_start"))
         .agg(
             total(line_revenue()).alias("quarterly_revenue"),
             F.countDistinct("Invoice").alias("order_count"),
         )
+        .select(
+            year_label(day).alias("sales_year"),
+            quarter_label(day).alias("quarter"),
+            "quarterly_revenue",
+            "order_count",
+        )
         .orderBy("sales_year", "quarter")
     )

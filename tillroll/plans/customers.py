@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tillroll.functions.dates import month_key, whole_days
+from tillroll.functions.dates import month_label, month_start, whole_days
 from tillroll.functions.money import big, line_revenue, percent, ratio, total
 from tillroll.functions.rules import is_valid_sale
 from tillroll.operators.ordering import global_row_number, top_rows, with_totals
@@ -103,7 +103,7 @@ def customers_cohorts(tx: DataFrame) -> DataFrame:
     """
     active = (
         tx.where(is_valid_sale())
-        .groupBy("CustomerID", month_key(F.col("InvoiceDate")).alias("activity_month"))
+        .groupBy("CustomerID", month_start(F.col("InvoiceDate")).alias("activity_month"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
     first = F.min("activity_month").over(Window.partitionBy("CustomerID"))
@@ -111,6 +111,7 @@ def customers_cohorts(tx: DataFrame) -> DataFrame:
         active.withColumn("cohort_month", first)
         .groupBy("cohort_month", "activity_month")
         .agg(F.count(F.lit(1)).alias("active_customers"))
+        .withColumns({c: month_label(F.col(c)) for c in ("cohort_month", "activity_month")})
         .orderBy("cohort_month", "activity_month")
     )
 

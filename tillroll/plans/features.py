@@ -11,7 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from tillroll.functions.dates import micros, month_key, whole_days
+from tillroll.functions.dates import micros, month_start, whole_days
 from tillroll.functions.money import percent, ratio
 from tillroll.schema import HOME_MARKET
 from tillroll.staging import written
@@ -116,7 +116,7 @@ def customer_days(times: DataFrame) -> DataFrame:
         micros(F.min("InvoiceDate")).alias("first"),
         micros(F.max("InvoiceDate")).alias("last"),
     )
-    month = month_key(F.col("day"))
+    month = month_start(F.col("day"))
     seen = month.eqNullSafe(F.lag(month).over(_per_customer().orderBy("day")))
     return per_day.withColumns({
         "middle": F.min("first").over(_per_customer()) + F.max("last").over(_per_customer()),

@@ -4,7 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillroll.functions.dates import month_key, month_of_year, quarter_key, whole_days, year_key
+from tillroll.functions.dates import (
+    month_label,
+    month_of_year,
+    month_start,
+    quarter_label,
+    whole_days,
+    year_label,
+    year_start,
+)
 from tillroll.functions.money import mean, ratio
 from tillroll.operators.ordering import with_totals
 
@@ -106,14 +114,14 @@ def kpi_ltv_cac(scored: DataFrame, cac: float = ASSUMED_CAC, target: float = 3.0
 def dim_date(fact: DataFrame) -> DataFrame:
     """Every day of the years the data touches: one row per day, made from two dates."""
     span = fact.agg(
-        F.trunc(F.min("InvoiceDate").cast("date"), "year").alias("start"),
-        F.last_day(F.add_months(F.trunc(F.max("InvoiceDate").cast("date"), "year"), 11)).alias("stop"),
+        year_start(F.min("InvoiceDate")).alias("start"),
+        F.last_day(F.add_months(year_start(F.max("InvoiceDate")), 11)).alias("stop"),
     )
     day = F.col("Date")
     return span.select(F.explode(F.sequence("start", "stop")).alias("Date")).select(
         "Date",
-        year_key(day).alias("Year"),
-        quarter_key(day).alias("Quarter"),
+        year_label(day).alias("Year"),
+        quarter_label(day).alias("Quarter"),
         month_of_year(day).alias("Month"),
     )
 
@@ -150,8 +158,9 @@ def star_join(fact: DataFrame, segments: DataFrame, products: DataFrame, calenda
 
 def eda_monthly_trend(cleaned: DataFrame) -> DataFrame:
     return (
-        cleaned.groupBy(month_key(F.col("InvoiceDate")).alias("YearMonth"))
+        cleaned.groupBy(month_start(F.col("InvoiceDate")).alias("month"))
         .agg(net_sales().alias("Revenue"))
+        .select(month_label(F.col("month")).alias("YearMonth"), "Revenue")
         .orderBy("YearMonth")
     )
 

@@ -244,7 +244,7 @@ def best_model(entries: DataFrame) -> DataFrame:
 
 def save_model(trained: Trained, folder: str, scores: dict[str, float]) -> str:
     """Save under ``folder`` and enter it in the registry beside it."""
-    spark = SparkSession.getActiveSession()
+    spark = SparkSession.active()
     path = f"{folder}/models/{trained.name}"
     trained.model.write().overwrite().save(path)
     register(spark, f"{folder}/registry", trained.name, path, scores)

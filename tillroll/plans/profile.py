@@ -14,11 +14,8 @@ def table_profile(df: DataFrame) -> DataFrame:
     values are combined before the shuffle, and the grouping keys spread it.
     """
     names = df.columns
-    text = [F.col(c).cast("string").alias(c) for c in names]
-    counts = (
-        df.select(*text)
-        .groupingSets([names] + [[c] for c in names], *names)
-        .agg(F.grouping_id().alias("gid"), F.count(F.lit(1)).alias("n"))
+    counts = df.groupingSets([names] + [[c] for c in names], *names).agg(
+        F.grouping_id().alias("gid"), F.count(F.lit(1)).alias("n")
     )
     # grouping_id has a 1 bit for every column left out, the first column highest
     everything = (1 << len(names)) - 1
@@ -26,7 +23,7 @@ def table_profile(df: DataFrame) -> DataFrame:
     which = F.coalesce(
         F.when(F.col("gid") == 0, F.lit("")), *[F.when(F.col("gid") == g, F.lit(c)) for c, g in of_column.items()]
     )
-    is_null = F.coalesce(*names).isNull()
+    is_null = F.coalesce(*[F.when(F.col("gid") == g, F.col(c).isNull()) for c, g in of_column.items()], F.lit(False))
     per_set = (
         counts.withColumn("column_name", which)
         .groupBy("column_name")

@@ -4,7 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tillroll.functions.dates import day_key, month_key, week_key, year_key
+from tillroll.functions.dates import (
+    month_label,
+    month_start,
+    week_label,
+    week_number,
+    year_label,
+    year_start,
+)
 from tillroll.functions.money import big, line_revenue, mean, total
 from tillroll.functions.rules import is_cancelled, is_priced, is_valid_sale
 from tillroll.operators.ordering import top_rows
@@ -15,8 +22,9 @@ def months(tx: DataFrame) -> DataFrame:
     """Revenue per month of valid sales, still exact. Bounded by the calendar."""
     return (
         tx.where(is_valid_sale())
-        .groupBy(month_key(F.col("InvoiceDate")).alias("year_month"))
+        .groupBy(month_start(F.col("InvoiceDate")).alias("month"))
         .agg(F.sum(line_revenue()).alias("revenue"))
+        .select(month_label(F.col("month")).alias("year_month"), "revenue")
     )
 
 
@@ -34,12 +42,14 @@ def revenue_totals(tx: DataFrame) -> DataFrame:
 def revenue_monthly(tx: DataFrame) -> DataFrame:
     return (
         tx.where(is_valid_sale())
-        .groupBy(month_key(F.col("InvoiceDate")).alias("year_month"))
+        .groupBy(month_start(F.col("InvoiceDate")).alias("month"))
         .agg(
             total(line_revenue()).alias("monthly_revenue"),
             F.countDistinct("Invoice").alias("total_orders"),
             F.countDistinct("CustomerID").alias("unique_active_customers"),
         )
+        .withColumn("month", month_label(F.col("month")))
+        .withColumnRenamed("month", "year_month")
         .orderBy("year_month")
     )
 
@@ -48,11 +58,16 @@ def revenue_monthly(tx: DataFrame) -> DataFrame:
 def revenue_weekly(tx: DataFrame) -> DataFrame:
     return (
         tx.where(is_valid_sale())
-        .groupBy(week_key(F.col("InvoiceDate")).alias("year_week"))
+        .groupBy(
+            year_start(F.col("InvoiceDate")).alias("year"), week_number(F.col("InvoiceDate")).alias("week")
+        )
         .agg(
             total(line_revenue()).alias("weekly_revenue"),
             F.countDistinct("Invoice").alias("total_orders"),
         )
+        .select(
+            week_label(F.col("year"), F.col("week")).alias("year_week"), "weekly_revenue", "total_orders"
+        )
         .orderBy("year_week")
     )
 
@@ -72,11 +87,12 @@ def revenue_top_months(tx: DataFrame, k: int = 10) -> DataFrame:
 def revenue_yearly(tx: DataFrame) -> DataFrame:
     return (
         tx.where(is_valid_sale())
-        .groupBy(year_key(F.col("InvoiceDate")).alias("sales_year"))
+        .groupBy(year_start(F.col("InvoiceDate")).alias("year"))
         .agg(
             total(line_revenue()).alias("annual_revenue"),
             F.countDistinct("CustomerID").alias("annual_unique_customers"),
         )
+        .select(year_label(F.col("year")).alias("sales_year"), "annual_revenue", "annual_unique_customers")
     )
 
 
@@ -85,7 +101,7 @@ def revenue_avg_daily(tx: DataFrame) -> DataFrame:
     """Mean over the days with a sale."""
     days = (
         tx.where(is_valid_sale())
-        .groupBy(day_key(F.col("InvoiceDate")).alias("day"))
+        .groupBy(F.col("InvoiceDate").cast("date").alias("day"))
         .agg(F.sum(line_revenue()).alias("revenue"))
     )
     return days.agg(mean(F.col("revenue")).alias("avg_daily_revenue"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tillroll.functions.dates import month_key, month_of_year, year_key
+from tillroll.functions.dates import month_label, month_of_year, month_start, year_label
 from tillroll.functions.money import line_revenue, mean, ratio, total
 from tillroll.functions.rules import is_priced, is_valid_sale
 from tillroll.plans.products import return_rate, sold_and_returned
@@ -33,19 +33,23 @@ def v_customer_summary(tx: DataFrame) -> DataFrame:
 
 @reads("Invoice", "Quantity", "InvoiceDate", "Price", "CustomerID")
 def v_monthly_revenue(tx: DataFrame) -> DataFrame:
-    when = F.col("InvoiceDate")
+    month = F.col("month")
     return (
         tx.where(is_valid_sale())
-        .groupBy(
-            year_key(when).alias("sales_year"),
-            month_of_year(when).alias("sales_month"),
-            month_key(when).alias("year_month"),
-        )
+        .groupBy(month_start(F.col("InvoiceDate")).alias("month"))
         .agg(
             total(line_revenue()).alias("net_revenue"),
             F.countDistinct("Invoice").alias("total_orders"),
             F.countDistinct("CustomerID").alias("active_customers"),
         )
+        .select(
+            year_label(month).alias("sales_year"),
+            month_of_year(month).alias("sales_month"),
+            month_label(month).alias("year_month"),
+            "net_revenue",
+            "total_orders",
+            "active_customers",
+        )
     )
 
 
