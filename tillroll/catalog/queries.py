@@ -102,9 +102,13 @@ def _where(condition, *columns):
     return lambda spark, folder: t.plain(t.lines(spark, folder, *columns).where(condition()))
 
 
+def _sold_and_returned():
+    return [F.sum(c).alias(n) for n, c in products.sold_and_returned().items()]
+
+
 def min_volume(spark, folder):
     tx = t.lines(spark, folder, "StockCode", "Quantity")
-    return tx.groupBy("StockCode").agg(*products.sold_and_returned()).where("sold_qty > 100")
+    return tx.groupBy("StockCode").agg(*_sold_and_returned()).where("sold_qty > 100")
 
 
 def having_filter(spark, folder):
@@ -232,7 +236,7 @@ def agg_distinct(spark, folder):
 
 
 def agg_conditional(spark, folder):
-    return t.lines(spark, folder, "StockCode", "Quantity").groupBy("StockCode").agg(*products.sold_and_returned())
+    return t.lines(spark, folder, "StockCode", "Quantity").groupBy("StockCode").agg(*_sold_and_returned())
 
 
 def agg_two_level(spark, folder):
@@ -419,6 +423,10 @@ def split_windows(spark, folder):
     )
 
 
+def _of_invoices(job):
+    return lambda spark, folder: t.plain(job(features.invoice_days(t.times(spark, folder))))
+
+
 def _of_times(job):
     return lambda spark, folder: t.plain(job(t.times(spark, folder)))
 
@@ -428,7 +436,7 @@ def _of_days(job):
 
 
 def rfm_base(spark, folder):
-    return t.plain(features.rfm_base(t.times(spark, folder), t.SPLIT))
+    return t.plain(features.rfm_base(features.invoice_days(t.times(spark, folder)), t.SPLIT))
 
 
 def revenue_growth(spark, folder):
@@ -764,11 +772,11 @@ QUERIES: dict[str, t.Query] = {
     "split_windows": split_windows,
     "rfm_base": rfm_base,
     "product_diversity": lambda spark, folder: features.product_diversity(t.observed(spark, folder)),
-    "avg_basket_size": _of_times(lambda df: features.basket_means(df).drop("Avg_Order_Value")),
-    "avg_order_value": _of_times(lambda df: features.basket_means(df).drop("Avg_Basket_Size")),
+    "avg_basket_size": _of_invoices(lambda df: features.basket_means(df).drop("Avg_Order_Value")),
+    "avg_order_value": _of_invoices(lambda df: features.basket_means(df).drop("Avg_Basket_Size")),
     "avg_monthly_spend": _of_days(features.monthly_spend),
     "seasonal_score_q4": _of_days(features.seasonal_score),
-    "avg_purchase_interval": _of_times(features.purchase_interval),
+    "avg_purchase_interval": _of_invoices(features.purchase_interval),
     "revenue_growth": revenue_growth,
     "is_uk": _of_times(features.is_uk),
     "behavioural_features": join_features,

@@ -127,9 +127,11 @@ def global_lag(df: DataFrame, group: str, order: list[str], value: str, out: str
     ordered = _in_order(df, [F.asc(group), *[F.asc(c) for c in order]], "lagged")
     inside = Window.partitionBy("_part").orderBy("_row")
     last = F.struct(F.col(group).alias("g"), F.col(value).alias("v"))
-    # one row per range partition
-    ends = ordered.groupBy("_part").agg(F.max_by(last, "_row").alias("_end"))
-    ends = ends.select("_part", F.lag("_end").over(Window.orderBy("_part")).alias("_end"))
+    # one row per range partition: its last one, shown to the next partition
+    sizes = ordered.groupBy("_part").agg(F.max("_row").alias("_row"))
+    ends = ordered.join(F.broadcast(sizes), ["_part", "_row"]).select(
+        "_part", F.lag(last).over(Window.orderBy("_part")).alias("_end")
+    )
     previous = F.coalesce(F.lag(last).over(inside), F.when(F.col("_row") == 0, F.col("_end")))
     return (
         ordered.join(F.broadcast(ends), "_part")

@@ -82,14 +82,9 @@ def adv_country_cumulative(tx: DataFrame) -> DataFrame:
 
 @reads("Invoice", "StockCode", "Description", "Quantity", "CustomerID")
 def adv_top_product_per_customer(tx: DataFrame, k: int = 15) -> DataFrame:
-    # the first grouping keeps the text in the key, so that it is hash-aggregated;
-    # the minimum over text then runs on one row per customer, product and description
-    bought = (
-        tx.where(is_valid_sale())
-        .groupBy("CustomerID", "StockCode", "Description")
-        .agg(F.sum("Quantity").alias("units"))
-        .groupBy("CustomerID", "StockCode")
-        .agg(F.sum("units").alias("total_quantity"), F.min("Description").alias("product_name"))
+    # a customer's lines of one product are few: nothing to sum up before the minimum over text
+    bought = tx.where(is_valid_sale()).groupBy("CustomerID", "StockCode").agg(
+        F.sum("Quantity").alias("total_quantity"), F.min("Description").alias("product_name")
     )
     place = F.row_number().over(
         Window.partitionBy("CustomerID").orderBy(F.desc("total_quantity"), F.asc("StockCode"))

@@ -30,23 +30,25 @@ def customer_spend(tx: DataFrame) -> DataFrame:
 @reads(*_SPEND, "Country")
 def customers_top_spend(tx: DataFrame, k: int = 20) -> DataFrame:
     """Best customers with their rank; of several countries the first by name is shown."""
-    best = top_rows(customer_spend(tx), [F.desc("spend"), F.asc("CustomerID")], k)
-    ranked = best.withColumn("rank", F.rank().over(Window.orderBy(F.desc("spend"))))
-    # k customers: looked up in the lines afterwards, so that no text is aggregated for the others
-    homes = (
+    invoices = (
         tx.where(is_valid_sale())
-        .join(F.broadcast(best.select("CustomerID")), "CustomerID", "left_semi")
-        .groupBy("CustomerID", "Country")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("CustomerID")
-        .agg(F.min("Country").alias("Country"))
+        .groupBy("CustomerID", "Country", "Invoice")
+        .agg(F.sum(line_revenue()).alias("revenue"))
+    )
+    # the minimum over text runs on invoices, not on lines
+    stats = invoices.groupBy("CustomerID").agg(
+        F.min("Country").alias("Country"),
+        F.sum("revenue").alias("spend"),
+        F.countDistinct("Invoice").alias("total_orders"),
     )
-    return ranked.join(F.broadcast(homes), "CustomerID", "left").select(
+    best = top_rows(stats, [F.desc("spend"), F.asc("CustomerID")], k)
+    return best.select(
         "CustomerID",
         "Country",
         F.col("spend").cast("double").alias("total_spend"),
-        F.col("orders").alias("total_orders"),
-        big(F.col("rank")).alias("customer_spend_rank"),
+        "total_orders",
+        # only rows above a row count for its rank, so the first k rows suffice
+        big(F.rank().over(Window.orderBy(F.desc("spend")))).alias("customer_spend_rank"),
     )
 
 

@@ -64,49 +64,73 @@ def invoice_times(lines: DataFrame) -> DataFrame:
     )
 
 
+def invoice_days(times: DataFrame) -> DataFrame:
+    """One row per customer and day on which invoices began, with the whole days since the one before.
+
+    An invoice is dated by its first line. Two invoices of one day are less than
+    a whole day apart, so the gaps within a day are all zero and only the gap
+    between day rows counts.
+    """
+    invoices = times.groupBy("CustomerID", "Invoice").agg(
+        F.min("InvoiceDate").alias("began"),
+        F.max("InvoiceDate").alias("ended"),
+        F.sum("units").alias("units"),
+        F.sum("revenue").alias("revenue"),
+    )
+    days = invoices.groupBy("CustomerID", F.col("began").cast("date").alias("day")).agg(
+        F.count(F.lit(1)).alias("orders"),
+        F.min("began").alias("first"),
+        F.max("began").alias("last"),
+        F.max("ended").alias("ended"),
+        F.sum("units").alias("units"),
+        F.sum("revenue").alias("revenue"),
+    )
+    before = F.lag("last").over(_per_customer().orderBy("day"))
+    return days.withColumn("gap", whole_days(before, F.col("first")))
+
+
 def _rfm_measures(reference: str) -> list[Column]:
     at = _moment(reference)
     return [
-        F.countDistinct("Invoice").alias("Frequency"),
+        F.sum("orders").alias("Frequency"),
         F.sum("revenue").alias("Monetary"),
-        whole_days(F.max("InvoiceDate"), at).alias("Recency"),
-        whole_days(F.min("InvoiceDate"), at).alias("Tenure"),
+        whole_days(F.max("ended"), at).alias("Recency"),
+        whole_days(F.min("first"), at).alias("Tenure"),
     ]
 
 
 def _basket_measures() -> list[Column]:
     """Means per invoice, which are totals over the number of invoices."""
-    orders = F.countDistinct("Invoice")
     return [
-        ratio(F.sum("units"), orders).alias("Avg_Basket_Size"),
-        ratio(F.sum("revenue"), orders).alias("Avg_Order_Value"),
+        ratio(F.sum("units"), F.sum("orders")).alias("Avg_Basket_Size"),
+        ratio(F.sum("revenue"), F.sum("orders")).alias("Avg_Order_Value"),
     ]
 
 
-def _spend_measure() -> Column:
-    """Mean over the months with a purchase; a month counts on its first day row."""
-    return ratio(F.sum("revenue"), F.sum("opens_month")).alias("Avg_Monthly_Spend")
+def _interval_measure() -> Column:
+    """Mean whole days between a customer's invoices."""
+    average = ratio(F.sum("gap"), F.sum("orders") - 1)
+    return F.coalesce(average, F.lit(SINGLE_ORDER_INTERVAL)).alias("Avg_Purchase_Interval")
 
 
-def _season_measure() -> Column:
-    last_quarter = F.when(F.quarter("day") == 4, F.col("revenue")).otherwise(0)
-    return F.coalesce(ratio(F.sum(last_quarter), F.sum("revenue")), F.lit(0.0)).alias("Seasonal_Score_Q4")
+def rfm_base(invoices: DataFrame, reference: str) -> DataFrame:
+    return invoices.groupBy("CustomerID").agg(*_rfm_measures(reference))
 
 
-def rfm_base(times: DataFrame, reference: str) -> DataFrame:
-    return times.groupBy("CustomerID").agg(*_rfm_measures(reference))
+def basket_means(invoices: DataFrame) -> DataFrame:
+    return invoices.groupBy("CustomerID").agg(*_basket_measures())
 
 
-def product_diversity(lines: DataFrame) -> DataFrame:
-    return lines.groupBy("CustomerID").agg(F.countDistinct("StockCode").alias("Product_Diversity"))
+def purchase_interval(invoices: DataFrame) -> DataFrame:
+    return invoices.groupBy("CustomerID").agg(_interval_measure())
 
 
-def basket_means(times: DataFrame) -> DataFrame:
-    return times.groupBy("CustomerID").agg(*_basket_measures())
+def product_diversity(lines: DataFrame) -> DataFrame:
+    return lines.groupBy("CustomerID").agg(F.countDistinct("StockCode").alias("Product_Diversity"))
 
 
 def customer_days(times: DataFrame) -> DataFrame:
-    """One row per customer and day.
+    """One row per customer and day with lines.
 
     ``middle`` is the customer's midpoint in time, doubled to stay an integer;
     ``opens_month`` is 1 on the first day row of a month.
@@ -124,6 +148,25 @@ def customer_days(times: DataFrame) -> DataFrame:
     })
 
 
+def _spend_measure() -> Column:
+    """Mean over the months with a purchase; a month counts on its first day row."""
+    return ratio(F.sum("revenue"), F.sum("opens_month")).alias("Avg_Monthly_Spend")
+
+
+def _season_measure() -> Column:
+    last_quarter = F.when(F.quarter("day") == 4, F.col("revenue")).otherwise(0)
+    return F.coalesce(ratio(F.sum(last_quarter), F.sum("revenue")), F.lit(0.0)).alias("Seasonal_Score_Q4")
+
+
+def _half_measures() -> list[Column]:
+    """Spend on the days that lie wholly before or after a customer's midpoint."""
+    early, late = F.col("last") * 2 <= F.col("middle"), F.col("first") * 2 > F.col("middle")
+    return [
+        F.sum(F.when(early, F.col("revenue")).otherwise(0)).alias("first_half"),
+        F.sum(F.when(late, F.col("revenue")).otherwise(0)).alias("second_half"),
+    ]
+
+
 def monthly_spend(days: DataFrame) -> DataFrame:
     return days.groupBy("CustomerID").agg(_spend_measure())
 
@@ -132,52 +175,40 @@ def seasonal_score(days: DataFrame) -> DataFrame:
     return days.groupBy("CustomerID").agg(_season_measure())
 
 
-def purchase_interval(times: DataFrame) -> DataFrame:
-    """Mean whole days between invoices, an invoice dated by its first line.
+def _with_cut_day(halves: DataFrame, times: DataFrame, days: DataFrame) -> DataFrame:
+    """Add the two parts of the day a customer's midpoint cuts; the midpoint itself is in the first.
 
-    Two invoices of one day are less than a whole day apart, so the gaps within
-    a day are all zero, and only the gaps between days need the window.
+    Those lines join on customer and day, so that a customer with very many
+    lines is spread over their days.
     """
-    invoices = times.groupBy("CustomerID", "Invoice").agg(F.min("InvoiceDate").alias("at"))
-    days = invoices.groupBy("CustomerID", F.col("at").cast("date").alias("day")).agg(
-        F.count(F.lit(1)).alias("orders"), F.min("at").alias("first"), F.max("at").alias("last")
-    )
-    before = F.lag("last").over(_per_customer().orderBy("day"))
-    gaps = days.withColumn("gap", whole_days(before, F.col("first")))
-    average = ratio(F.sum("gap"), F.sum("orders") - 1)
-    return gaps.groupBy("CustomerID").agg(
-        F.coalesce(average, F.lit(SINGLE_ORDER_INTERVAL)).alias("Avg_Purchase_Interval")
+    cut = days.where((F.col("first") * 2 <= F.col("middle")) & (F.col("last") * 2 > F.col("middle")))
+    on_time = F.when(micros(F.col("InvoiceDate")) * 2 <= F.col("middle"), F.col("revenue")).otherwise(0)
+    parts = (
+        times.join(cut.select("CustomerID", "day", "middle", F.col("revenue").alias("cut_day")), ["CustomerID", "day"])
+        .groupBy("CustomerID")
+        .agg(F.sum(on_time).alias("early"), F.max("cut_day").alias("cut_day"))
     )
+    early, late = F.col("early"), F.col("cut_day") - F.col("early")
+    return halves.join(parts, "CustomerID", "left").withColumns({
+        "first_half": F.col("first_half") + F.coalesce(early, F.lit(0)),
+        "second_half": F.col("second_half") + F.coalesce(late, F.lit(0)),
+    }).drop("early", "cut_day")
 
 
 def spend_halves(times: DataFrame, days: DataFrame) -> DataFrame:
-    """Spend in the first and second half of a customer's time; the midpoint is in the first.
-
-    Whole days fall on one side. The one day a customer's midpoint cuts is split
-    by time: those rows join on customer and day, so that a customer with very
-    many lines is spread over their days.
-    """
-    nothing = F.lit(0).cast("decimal(38,6)")
-    on_time = F.when(F.col("last") * 2 <= F.col("middle"), F.col("revenue")).otherwise(nothing)
-    whole = days.select("CustomerID", F.col("revenue").alias("total"), on_time.alias("early"))
-    cut = days.where((F.col("first") * 2 <= F.col("middle")) & (F.col("last") * 2 > F.col("middle")))
-    split = (
-        times.join(cut.select("CustomerID", "day", "middle"), ["CustomerID", "day"])
-        .where(micros(F.col("InvoiceDate")) * 2 <= F.col("middle"))
-        .select("CustomerID", nothing.alias("total"), F.col("revenue").alias("early"))
-    )
-    return (
-        whole.unionByName(split)
-        .groupBy("CustomerID")
-        .agg(F.sum("early").alias("first_half"), (F.sum("total") - F.sum("early")).alias("second_half"))
-    )
+    """Spend in the first and second half of each customer's time."""
+    return _with_cut_day(days.groupBy("CustomerID").agg(*_half_measures()), times, days)
 
 
-def revenue_growth(times: DataFrame, days: DataFrame) -> DataFrame:
+def _growth() -> Column:
     """Relative change of spend between the halves; a customer with one date gets nearly -1."""
     first, second = F.col("first_half"), F.col("second_half")
     change = (second - first).cast("double") / (first.cast("double") + F.lit(TINY))
-    return spend_halves(times, days).select("CustomerID", change.alias("Revenue_Growth"))
+    return change.alias("Revenue_Growth")
+
+
+def revenue_growth(times: DataFrame, days: DataFrame) -> DataFrame:
+    return spend_halves(times, days).select("CustomerID", _growth())
 
 
 def first_country(times: DataFrame) -> DataFrame:
@@ -204,30 +235,30 @@ def _joined(tables: list[DataFrame]) -> DataFrame:
 
 def behavioural_features(observed: DataFrame) -> DataFrame:
     times = written(invoice_times(observed), "times")
-    return _behaviour(observed, times, basket_means(times))
+    orders = invoice_days(times).groupBy("CustomerID").agg(*_basket_measures(), _interval_measure())
+    return _behaviour(observed, times, orders)
 
 
-def _behaviour(observed: DataFrame, times: DataFrame, totals: DataFrame) -> DataFrame:
+def _behaviour(observed: DataFrame, times: DataFrame, orders: DataFrame) -> DataFrame:
     days = customer_days(times)
-    return _joined([
-        totals,
-        product_diversity(observed),
-        days.groupBy("CustomerID").agg(_spend_measure(), _season_measure()),
-        purchase_interval(times),
-        revenue_growth(times, days),
-        is_uk(times),
-    ])
+    spend = days.groupBy("CustomerID").agg(_spend_measure(), _season_measure(), *_half_measures())
+    spend = _with_cut_day(spend, times, days).withColumn("Revenue_Growth", _growth())
+    return _joined([orders, product_diversity(observed), spend.drop("first_half", "second_half"), is_uk(times)])
 
 
 def feature_table(cleaned: DataFrame, split: str, days: int = 90) -> DataFrame:
     """Features of everyone who bought before ``split``, with their spend in the ``days`` after it."""
     observed, prediction = split_windows(cleaned, split, days)
     times = written(invoice_times(observed), "times")
-    totals = times.groupBy("CustomerID").agg(*_rfm_measures(split), *_basket_measures())
-    table = _joined([_behaviour(observed, times, totals), target_revenue(prediction)])
+    orders = invoice_days(times).groupBy("CustomerID").agg(
+        *_rfm_measures(split), *_basket_measures(), _interval_measure()
+    )
+    table = _joined([_behaviour(observed, times, orders), target_revenue(prediction)])
     whole = ("Frequency", "Recency", "Tenure", "Product_Diversity", "Is_UK")
-    filled = [F.coalesce(F.col(c), F.lit(0).cast("bigint")).alias(c) if c in whole
-              else F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in [*FEATURES, TARGET]]
+    filled = [
+        F.coalesce(F.col(c).cast("bigint" if c in whole else "double"), F.lit(0)).alias(c)
+        for c in [*FEATURES, TARGET]
+    ]
     return table.select("CustomerID", *filled)
 
 

@@ -4,32 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tillroll.functions.money import big, line_revenue, mean, rounded, total
+from tillroll.functions.money import line_revenue, ratio, rounded, total
 from tillroll.functions.rules import is_abroad, is_cancelled, is_priced
 from tillroll.operators.ordering import top_rows
 from tillroll.schema import reads
 
 
-def names_of(sales: DataFrame, keys: DataFrame, by: list[str], out: str) -> DataFrame:
-    """``keys`` (a top-k result) with the first description by name of each.
+def per_product(sales: DataFrame, by: list[str], name: str, **sums: Column) -> DataFrame:
+    """Sums per product with its first description by name.
 
-    A minimum over text cannot be hash-aggregated, so it is taken only over the
-    distinct descriptions of the few rows shown.
+    A minimum over text cannot be hash-aggregated. So the lines are first summed
+    with the description in the key; the minimum runs on the few rows left.
     """
-    found = (
-        sales.join(F.broadcast(keys.select(*by)), by, "left_semi")
-        .groupBy(*by, "Description")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy(*by)
-        .agg(F.min("Description").alias(out))
-    )
-    return keys.join(F.broadcast(found), by, "left")
-
-
-def _top_named(sales: DataFrame, measures: list[Column], order: str, k: int) -> DataFrame:
-    stats = sales.groupBy("StockCode").agg(*measures)
-    best = top_rows(stats, [F.desc(order), F.asc("StockCode")], k)
-    return names_of(sales, best, ["StockCode"], "Description")
+    base = sales.groupBy(*by, "Description").agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    return base.groupBy(*by).agg(F.min("Description").alias(name), *[F.sum(n).alias(n) for n in sums])
 
 
 _SALES = ("Invoice", "StockCode", "Description", "Quantity", "Price")
@@ -37,39 +25,52 @@ _SALES = ("Invoice", "StockCode", "Description", "Quantity", "Price")
 
 @reads(*_SALES)
 def products_top_revenue(tx: DataFrame, k: int = 20) -> DataFrame:
-    measures = [
+    # the distinct invoices per product are nearly the lines: nothing to sum up first
+    stats = tx.where(~is_cancelled() & is_priced()).groupBy("StockCode").agg(
+        F.min("Description").alias("Description"),
         total(line_revenue()).alias("total_revenue"),
         F.sum("Quantity").alias("units_sold"),
         F.countDistinct("Invoice").alias("order_count"),
-    ]
-    return _top_named(tx.where(~is_cancelled() & is_priced()), measures, "total_revenue", k)
+    )
+    return top_rows(stats, [F.desc("total_revenue"), F.asc("StockCode")], k)
 
 
 @reads(*_SALES)
 def products_top_units(tx: DataFrame, k: int = 20) -> DataFrame:
-    measures = [F.sum("Quantity").alias("units_sold"), total(line_revenue()).alias("total_revenue")]
-    return _top_named(tx.where(~is_cancelled() & is_priced()), measures, "units_sold", k)
+    sales = tx.where(~is_cancelled() & is_priced())
+    stats = per_product(
+        sales, ["StockCode"], "Description", units_sold=F.col("Quantity"), total_revenue=line_revenue()
+    ).withColumn("total_revenue", F.col("total_revenue").cast("double"))
+    return top_rows(stats, [F.desc("units_sold"), F.asc("StockCode")], k)
 
 
 @reads(*_SALES)
 def products_most_returned(tx: DataFrame, k: int = 20) -> DataFrame:
-    measures = [
+    stats = tx.where(is_cancelled()).groupBy("StockCode").agg(
+        F.min("Description").alias("Description"),
         F.abs(F.sum("Quantity")).alias("returned_units"),
         F.abs(F.sum(line_revenue())).cast("double").alias("refunded_amount"),
         F.countDistinct("Invoice").alias("return_count"),
-    ]
-    return _top_named(tx.where(is_cancelled()), measures, "returned_units", k)
+    )
+    return top_rows(stats, [F.desc("returned_units"), F.asc("StockCode")], k)
 
 
 @reads("StockCode", "Description", "Price")
 def products_price_stats(tx: DataFrame, k: int = 10) -> DataFrame:
     price = F.col("Price")
-    measures = [
-        mean(price).alias("avg_price"),
-        F.min(price).cast("double").alias("min_price"),
-        F.max(price).cast("double").alias("max_price"),
-    ]
-    return _top_named(tx.where(is_priced()), measures, "avg_price", k)
+    stats = (
+        tx.where(is_priced())
+        .groupBy("StockCode", "Description")
+        .agg(F.sum(price).alias("sum"), F.count(price).alias("n"), F.min(price).alias("low"), F.max(price).alias("high"))
+        .groupBy("StockCode")
+        .agg(
+            F.min("Description").alias("Description"),
+            ratio(F.sum("sum"), F.sum("n")).alias("avg_price"),
+            F.min("low").cast("double").alias("min_price"),
+            F.max("high").cast("double").alias("max_price"),
+        )
+    )
+    return top_rows(stats, [F.desc("avg_price"), F.asc("StockCode")], k)
 
 
 @reads("StockCode", "Quantity", "CustomerID")
@@ -88,35 +89,31 @@ def products_diversity(tx: DataFrame, k: int = 15) -> DataFrame:
 @reads("StockCode", "Description", "CustomerID")
 def products_single_buyer(tx: DataFrame, buyers: int = 1, k: int = 10) -> DataFrame:
     """Products with exactly ``buyers`` known customers."""
-    sales = tx.where(F.col("CustomerID").isNotNull())
-    rare = (
-        sales.groupBy("StockCode")
-        .agg(F.countDistinct("CustomerID").alias("unique_buyer_count"))
-        .where(F.col("unique_buyer_count") == buyers)
+    stats = tx.where(F.col("CustomerID").isNotNull()).groupBy("StockCode").agg(
+        F.min("Description").alias("product_name"), F.countDistinct("CustomerID").alias("unique_buyer_count")
     )
-    return names_of(sales, top_rows(rare, [F.asc("StockCode")], k), ["StockCode"], "product_name")
+    return top_rows(stats.where(F.col("unique_buyer_count") == buyers), [F.asc("StockCode")], k)
 
 
 @reads("Invoice", "StockCode", "Description", "Quantity", "Country")
 def products_best_by_country(tx: DataFrame, k: int = 15) -> DataFrame:
     """Best seller of each foreign country, then the strongest of those."""
     sales = tx.where(~is_cancelled() & is_abroad())
-    per_country = sales.groupBy("Country", "StockCode").agg(F.sum("Quantity").alias("total_quantity"))
+    stats = per_product(sales, ["Country", "StockCode"], "Description", total_quantity=F.col("Quantity"))
     # Spark keeps only each task's best row per country before the shuffle (window group limit)
     place = F.row_number().over(
         Window.partitionBy("Country").orderBy(F.desc("total_quantity"), F.asc("StockCode"))
     )
-    best = per_country.withColumn("place", place).where(F.col("place") == 1).drop("place")
-    shown = top_rows(best, [F.desc("total_quantity"), F.asc("Country")], k)
-    return names_of(sales, shown, ["Country", "StockCode"], "Description")
+    best = stats.withColumn("place", place).where(F.col("place") == 1).drop("place")
+    return top_rows(best, [F.desc("total_quantity"), F.asc("Country")], k)
 
 
-def sold_and_returned() -> list[Column]:
+def sold_and_returned() -> dict[str, Column]:
     units = F.col("Quantity")
-    return [
-        F.sum(F.when(units > 0, units).otherwise(0)).alias("sold_qty"),
-        F.sum(F.when(units < 0, F.abs(units)).otherwise(0)).alias("returned_qty"),
-    ]
+    return {
+        "sold_qty": F.when(units > 0, units).otherwise(0),
+        "returned_qty": F.when(units < 0, F.abs(units)).otherwise(0),
+    }
 
 
 def return_rate() -> Column:
@@ -128,13 +125,8 @@ def return_rate() -> Column:
 @reads("StockCode", "Description", "Quantity")
 def products_return_rate(tx: DataFrame, min_sold: int = 100, k: int = 10) -> DataFrame:
     rates = (
-        tx.groupBy("StockCode")
-        .agg(*sold_and_returned())
+        per_product(tx, ["StockCode"], "product_name", **sold_and_returned())
         .where(F.col("sold_qty") > min_sold)
         .withColumn("return_rate_pct", return_rate())
     )
-    best = top_rows(rates, [F.desc("return_rate_pct"), F.asc("StockCode")], k)
-    return names_of(tx, best, ["StockCode"], "product_name").select(
-        "StockCode", "product_name", big(F.col("sold_qty")).alias("sold_qty"),
-        big(F.col("returned_qty")).alias("returned_qty"), "return_rate_pct",
-    )
+    return top_rows(rates, [F.desc("return_rate_pct"), F.asc("StockCode")], k)

@@ -71,22 +71,17 @@ def v_rfm_segments(tx: DataFrame) -> DataFrame:
 
 @reads("StockCode", "Description", "Quantity", "Price", "CustomerID")
 def v_product_summary(tx: DataFrame) -> DataFrame:
-    """Per product. Names come from the distinct descriptions and join at product grain."""
+    """Per product."""
     lines = tx.where(is_priced()).withColumn("r", line_revenue())
     units, revenue = F.col("Quantity"), F.col("r")
     stats = lines.groupBy("StockCode").agg(
-        *sold_and_returned(),
+        F.min("Description").alias("product_description"),
+        *[F.sum(c).alias(n) for n, c in sold_and_returned().items()],
         F.sum(F.when(units > 0, revenue).otherwise(0)).alias("gross"),
         F.sum(F.when(units < 0, F.abs(revenue)).otherwise(0)).alias("refunds"),
         F.countDistinct("CustomerID").alias("unique_buyers"),
     )
-    names = (
-        lines.groupBy("StockCode", "Description")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("StockCode")
-        .agg(F.min("Description").alias("product_description"))
-    )
-    return stats.join(names, "StockCode", "left").select(
+    return stats.select(
         "StockCode",
         "product_description",
         F.col("sold_qty").alias("units_sold"),
