@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from datetime import datetime
 from decimal import Decimal
 
@@ -28,23 +27,19 @@ from tillroll.plans import (
     views,
 )
 from tillroll.schema import validate_schema
-from tillroll.session import shared_dir
 from tillroll.sources import files
+from tillroll.staging import fresh_path
 
 CUSTOMER = "7"
 CROSS_SELL = {"bought": "5", "missing": "7"}
 PERIOD_START = "1998-01-01"
 
 
-def _fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/tillroll/{label}-{uuid.uuid4().hex}"
-
-
 # --- sources and sinks
 
 
 def load_transactions(spark, folder):
-    path = _fresh_path(spark, "export") + ".csv"
+    path = fresh_path(spark, "export") + ".csv"
     files.save_csv(t.lines(spark, folder), path)
     return t.plain(files.load_transactions(spark, path))
 
@@ -68,7 +63,7 @@ def schema_check(spark, folder):
 
 
 def save_and_load(spark, folder):
-    path = _fresh_path(spark, "table")
+    path = fresh_path(spark, "table")
     files.save_table(t.cleaned(spark, folder), path)
     return t.plain(files.load_table(spark, path))
 
@@ -588,7 +583,7 @@ def metrics_regression(spark, folder):
 
 
 def model_registry(spark, folder):
-    path = _fresh_path(spark, "registry")
+    path = fresh_path(spark, "registry")
     for row in _simple_metrics(spark, folder).collect():  # three rows
         for _ in range(2):  # the second entry replaces the first
             modelling.register(spark, path, row["Model"], f"models/{row['Model']}", row.asDict())
@@ -599,7 +594,7 @@ def model_registry(spark, folder):
 
 
 def _saved_models(spark, train, test):
-    path = _fresh_path(spark, "models")
+    path = fresh_path(spark, "models")
     for name in ("LinearRegression", "DecisionTree"):
         trained = modelling.train_model(train, name, tune=False)
         row = modelling.evaluate([trained], test).first()

@@ -20,6 +20,7 @@ PACKS = [1, 1, 6, 12]
 FIRST_INVOICE = 489434
 FIRST_DAY = "2009-12-01"
 DAYS = 731
+BLOCK = 1_000_000
 
 
 def _draw(salt: str, seed: int, sides: int) -> Column:
@@ -32,10 +33,10 @@ def synthetic_transactions(
     """5 % cancellations, 20 % guests; a new invoice number starts at one row in five.
 
     Every value hangs on the row number alone. The invoice number is the count
-    of starts so far; it is summed per block of 10,000 rows and the block sums
-    are added up, so no task sees all rows.
+    of starts so far; it is summed per block of rows and the block sums are
+    added up, so no task sees all rows.
     """
-    block = F.floor(F.col("id") / 10_000)
+    block = F.floor(F.col("id") / BLOCK)
     starts = F.when(_draw("new", seed, 5) == 0, 1).otherwise(0)
     base = spark.range(rows).withColumn("block", block).withColumn("start", starts)
     in_block = Window.partitionBy("block").orderBy("id").rowsBetween(Window.unboundedPreceding, -1)

@@ -19,12 +19,19 @@ from tillroll.session import shared_dir
 _stages: dict[tuple[str, str, str], str] = {}
 
 
+def _home(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/tillroll/{spark.sparkContext.applicationId}"
+
+
+def fresh_path(spark: SparkSession, label: str) -> str:
+    return f"{_home(spark)}/{label}-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tillroll/{label}-{uuid.uuid4().hex}"
+    path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def stage(spark: SparkSession, source: str, label: str, build: Callable[[], DataFrame]) -> DataFrame:
@@ -36,7 +43,16 @@ def stage(spark: SparkSession, source: str, label: str, build: Callable[[], Data
         except AnalysisException:  # the folder was emptied in between
             del _stages[key]
     df = build()
-    path = f"{shared_dir(spark)}/tillroll/{label}-{uuid.uuid4().hex}"
+    path = fresh_path(spark, label)
     df.write.parquet(path)
     _stages[key] = path
     return spark.read.parquet(path)
+
+
+def discard(spark: SparkSession) -> None:
+    """Delete all tables this application wrote. Results still unread become unreadable."""
+    home = spark._jvm.org.apache.hadoop.fs.Path(_home(spark))
+    home.getFileSystem(spark._jsc.hadoopConfiguration()).delete(home, True)
+    application = spark.sparkContext.applicationId
+    for key in [k for k in _stages if k[0] == application]:
+        del _stages[key]
