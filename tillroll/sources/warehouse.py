@@ -13,15 +13,41 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from tillroll.schema import COLUMNS, HOME_MARKET
 
+_schemas: dict[tuple[str, str], StructType] = {}
+_SPLIT_BYTES = 128 * 1024 * 1024
 _FROM_PART = {"Description", "Price"}
 _FROM_ORDERS = {"InvoiceDate", "CustomerID", "Country"}
 
 
+def _table(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table; its footers are read for the schema once per application."""
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _schemas:
+        _schemas[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[key]).parquet(path)
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """The order lines, spread over the cores if their files are too few and too small to keep them busy.
+
+    A file is read by as many tasks as it has row groups. Tables with a split's
+    worth of data per core are read as they lie.
+    """
+    lines = _table(spark, path)
+    cores = spark.sparkContext.defaultParallelism
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    held = where.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(where)
+    if held.getFileCount() < cores and held.getLength() < cores * _SPLIT_BYTES:
+        return lines.repartition(cores, "l_orderkey", "l_partkey")
+    return lines
+
+
 def _orders(spark: SparkSession, folder: str, wanted: set[str]) -> DataFrame:
-    orders = spark.read.parquet(f"{folder}/orders.parquet")
+    orders = _table(spark, f"{folder}/orders.parquet")
     second_of_day = F.col("o_orderkey") * 7919 % 86_400
     known = F.col("o_orderkey") % 20 != 0
     out = orders.select(
@@ -31,9 +57,9 @@ def _orders(spark: SparkSession, folder: str, wanted: set[str]) -> DataFrame:
         F.when(known, F.col("o_custkey").cast("string")).alias("CustomerID"),
     )
     if "Country" in wanted:
-        nation = spark.read.parquet(f"{folder}/nation.parquet")
+        nation = _table(spark, f"{folder}/nation.parquet")
         country = F.when(F.col("n_nationkey") == 0, HOME_MARKET).otherwise(F.col("n_name"))
-        home = spark.read.parquet(f"{folder}/customer.parquet").join(
+        home = _table(spark, f"{folder}/customer.parquet").join(
             nation, F.col("c_nationkey") == F.col("n_nationkey"), "left"
         )
         home = home.select(F.col("c_custkey").alias("o_custkey"), country.alias("Country"))
@@ -45,9 +71,9 @@ def transactions(spark: SparkSession, folder: str, columns: Iterable[str] = COLU
     wanted = set(columns)
     returned = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
     key = F.col("l_partkey")
-    lines = spark.read.parquet(f"{folder}/lineitem.parquet")
+    lines = _lines(spark, f"{folder}/lineitem.parquet")
     if wanted & _FROM_PART:
-        part = spark.read.parquet(f"{folder}/part.parquet")
+        part = _table(spark, f"{folder}/part.parquet")
         # the price is made here, once per part, and not once per line
         price = F.when(F.col("p_partkey") % 97 == 0, F.lit(0.0)).otherwise(F.col("p_retailprice"))
         part = part.select(

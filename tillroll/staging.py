@@ -13,10 +13,11 @@ from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from tillroll.session import shared_dir
 
-_stages: dict[tuple[str, str, str], str] = {}
+_stages: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
 
 def _home(spark: SparkSession) -> str:
@@ -39,14 +40,15 @@ def stage(spark: SparkSession, source: str, label: str, build: Callable[[], Data
     key = (spark.sparkContext.applicationId, source, label)
     if key in _stages:
         try:
-            return spark.read.parquet(_stages[key])
+            path, schema = _stages[key]
+            return spark.read.schema(schema).parquet(path)
         except AnalysisException:  # the folder was emptied in between
             del _stages[key]
     df = build()
     path = fresh_path(spark, label)
     df.write.parquet(path)
-    _stages[key] = path
-    return spark.read.parquet(path)
+    _stages[key] = (path, df.schema)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def discard(spark: SparkSession) -> None:
