@@ -539,6 +539,15 @@ ORACLE: dict[str, str] = {
         {rnd('(SELECT SUM(Monetary) FROM rpg)', 2)} AS total_historical_spend,
         (SELECT 100.0::DOUBLE - CAST(COUNT(*) FILTER (Recency > 90) AS DOUBLE) / COUNT(*) * 100 FROM rpg) AS retention_pct,
         {rnd('AVG(predicted_cltv)', 2)} AS avg_predicted_cltv FROM scored"""),
+    "daily_run": q("""SELECT 'cleaning_report' AS table_name, 6::BIGINT AS row_count
+        UNION ALL SELECT 'cleaned', COUNT(*) FROM lines
+        UNION ALL SELECT 'segments', COUNT(*) FROM rp
+        UNION ALL SELECT 'segment_summary', COUNT(DISTINCT Segment) FROM rpg
+        UNION ALL SELECT 'features', COUNT(*) FROM f_rfm
+        UNION ALL SELECT 'model_comparison', 2
+        UNION ALL SELECT 'scored', COUNT(*) FROM f_rfm
+        UNION ALL SELECT 'importance', 12
+        UNION ALL SELECT 'residuals', COUNT(*) FROM f_rfm WHERE CAST('0x' || md5(CustomerID)[1:8] AS BIGINT) % 100 >= 80"""),
     "train_test_split": q("""SELECT CustomerID, CASE WHEN CAST('0x' || md5(CustomerID)[1:8] AS BIGINT) % 100 < 80 THEN 'train' ELSE 'test' END AS split
         FROM f_rfm"""),
     "metrics_regression": q(f"SELECT {regression('target_revenue', 'predicted_cltv')} FROM scored"),

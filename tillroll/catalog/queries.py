@@ -16,6 +16,7 @@ from tillroll.plans import (
     advanced,
     cleaning,
     customers,
+    daily,
     features,
     kpis,
     modelling,
@@ -538,6 +539,19 @@ def kpi_overview(spark, folder):
 # --- models
 
 
+def daily_run(spark, folder):
+    """All result tables of one run, with their sizes."""
+    out = fresh_path(spark, "daily")
+    tables = daily.daily_run(
+        t.lines(spark, folder), out, t.SPLIT, t.PREDICTION_DAYS, ["LinearRegression", "DecisionTree"], tune=False
+    )
+    counts = [
+        spark.read.parquet(path).agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
+        for name, path in tables.items()
+    ]
+    return files.union_periods(*counts)
+
+
 def train_test_split(spark, folder):
     return modelling.with_split(t.feature_table(spark, folder)).select("CustomerID", "split")
 
@@ -855,6 +869,7 @@ QUERIES: dict[str, t.Query] = {
     "kpi_by": kpi_by,
     "kpi_overview": kpi_overview,
     # models and scoring
+    "daily_run": daily_run,
     "train_test_split": train_test_split,
     "model_linear": _model("LinearRegression"),
     "model_tree": _model("DecisionTree"),

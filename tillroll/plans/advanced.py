@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tillroll.functions.dates import micros, quarter_label, quarter_start, year_label
 from tillroll.functions.money import line_revenue, mean, percent, ratio, rounded, total
 from tillroll.functions.rules import basket_size, is_cancelled, is_valid_sale
-from tillroll.operators.ordering import top_rows
+from tillroll.operators.ordering import top_rows, with_totals
 from tillroll.plans.revenue import months
 from tillroll.schema import reads
 
@@ -138,13 +138,13 @@ def cross_sell(tx: DataFrame, bought: str = "85123A", missing: str = "84029E", k
 def cross_sell_strict(tx: DataFrame, bought: str = "85123A", missing: str = "84029E", k: int = 15) -> DataFrame:
     """The same under the literal NOT IN rule: one guest purchase of the other product empties the result.
 
-    Written as a flag and a condition, since Spark would broadcast the whole
-    list of a NOT IN.
+    The guests are one of the groups, so the flag needs no second pass over the
+    lines; Spark would broadcast the whole list of a NOT IN.
     """
-    code, who = F.col("StockCode"), F.col("CustomerID")
-    guest = tx.where((code == missing) & who.isNull()).limit(1).agg(F.count(F.lit(1)).alias("guests"))
-    open_to_all = _buyers(tx, bought, missing).crossJoin(F.broadcast(guest)).where("guests = 0")
-    prospects = open_to_all.where(who.isNotNull() & F.col("has") & ~F.col("has_other"))
+    who = F.col("CustomerID")
+    guests = F.count(F.when(who.isNull() & F.col("has_other"), 1))
+    flagged = with_totals(_buyers(tx, bought, missing), "buyers", guests=guests)
+    prospects = flagged.where((F.col("guests") == 0) & who.isNotNull() & F.col("has") & ~F.col("has_other"))
     return top_rows(prospects.select("CustomerID"), [F.asc("CustomerID")], k)
 
 

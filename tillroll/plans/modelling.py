@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import itertools
 import random
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -176,10 +177,16 @@ def train_model(train: DataFrame, name: str, tune: bool = True, n_iter: int = 10
     return Trained(name, PipelineModel([vectors, fitted]), settings, 0.0)
 
 
-def train_all(train: DataFrame, tune: bool = True, n_iter: int = 10) -> list[Trained]:
-    """All six models. The training rows are written once; boosting alone reads them hundreds of times."""
+def train_all(
+    train: DataFrame, tune: bool = True, n_iter: int = 10, names: list[str] | None = None, parallelism: int = 3
+) -> list[Trained]:
+    """Several models, all six unless named; a few are fitted side by side to keep the cluster busy.
+
+    The training rows are written once; boosting alone reads them hundreds of times.
+    """
     base = written(train, "train")
-    return [train_model(base, name, tune, n_iter) for name in MODELS]
+    with ThreadPoolExecutor(parallelism) as pool:
+        return list(pool.map(lambda name: train_model(base, name, tune, n_iter), names or MODELS))
 
 
 def metrics(predictions: DataFrame, predicted: str = "prediction", actual: str = TARGET) -> DataFrame:

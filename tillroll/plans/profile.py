@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from tillroll.functions.money import big, percent
+from tillroll.functions.money import percent
 
 
 def table_profile(df: DataFrame) -> DataFrame:
@@ -18,8 +18,8 @@ def table_profile(df: DataFrame) -> DataFrame:
         F.grouping_id().alias("gid"), F.count(F.lit(1)).alias("n")
     )
     # grouping_id has a 1 bit for every column left out, the first column highest
-    everything = (1 << len(names)) - 1
-    of_column = {c: everything & ~(1 << (len(names) - 1 - i)) for i, c in enumerate(names)}
+    all_left_out = (1 << len(names)) - 1
+    of_column = {c: all_left_out & ~(1 << (len(names) - 1 - i)) for i, c in enumerate(names)}
     which = F.coalesce(
         F.when(F.col("gid") == 0, F.lit("")), *[F.when(F.col("gid") == g, F.lit(c)) for c, g in of_column.items()]
     )
@@ -34,24 +34,22 @@ def table_profile(df: DataFrame) -> DataFrame:
             F.count(F.when(~is_null, 1)).alias("values"),
         )
     )
-    # one row per column from here on
-    spark = df.sparkSession
-    listed = spark.createDataFrame(list(df.dtypes), "column_name string, dtype string")
-    whole = per_set.where(F.col("column_name") == "").select(
-        F.col("rows").alias("total_rows"), (F.col("rows") - F.col("groups")).alias("duplicate_rows")
-    )
-    one = F.broadcast(whole.agg(F.max("total_rows").alias("total_rows"), F.max("duplicate_rows").alias("duplicate_rows")))
-    return (
-        listed.join(per_set.where(F.col("column_name") != ""), "column_name", "left")
-        .crossJoin(one)
-        .select(
-            big(F.coalesce("total_rows", F.lit(0))).alias("total_rows"),
-            F.lit(len(names)).cast("bigint").alias("total_columns"),
-            big(F.coalesce("duplicate_rows", F.lit(0))).alias("duplicate_rows"),
-            "column_name",
-            "dtype",
-            big(F.coalesce("values", F.lit(0))).alias("unique_values"),
-            big(F.coalesce("nulls", F.lit(0))).alias("null_count"),
-            F.coalesce(percent(F.col("nulls"), F.col("total_rows")), F.lit(0.0)).alias("null_percentage"),
-        )
+    # one row per column, and one for whole rows, from here on
+    whole, everything = F.col("column_name") == "", Window.partitionBy()
+    per_column = per_set.withColumns({
+        "total_rows": F.max(F.when(whole, F.col("rows"))).over(everything),
+        "duplicate_rows": F.max(F.when(whole, F.col("rows") - F.col("groups"))).over(everything),
+    }).where(~whole)
+    listed = df.sparkSession.createDataFrame(list(df.dtypes), "column_name string, dtype string")
+    zero = F.lit(0).cast("bigint")
+    # an empty table has no groups: the left join still lists its columns
+    return listed.join(per_column, "column_name", "left").select(
+        F.coalesce("total_rows", zero).alias("total_rows"),
+        F.lit(len(names)).cast("bigint").alias("total_columns"),
+        F.coalesce("duplicate_rows", zero).alias("duplicate_rows"),
+        "column_name",
+        "dtype",
+        F.coalesce("values", zero).alias("unique_values"),
+        F.coalesce("nulls", zero).alias("null_count"),
+        F.coalesce(percent(F.col("nulls"), F.col("total_rows")), F.lit(0.0)).alias("null_percentage"),
     )
