@@ -70,15 +70,6 @@ def test_top_k_keeps_k_rows_per_task(spark, name):
     assert "TakeOrderedAndProject" in executed(QUERIES[name](spark, SMALL))
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"model_gbt", "model_xgb", "model_lgbm", "train_all", "random_search_cv", "model_forest"}))
-def test_no_python_and_no_pair_joins(spark, name):
-    plan = executed(QUERIES[name](spark, SMALL))
-    assert "Python" not in plan and "Pandas" not in plan
-    assert "CartesianProduct" not in plan
-    if "BroadcastNestedLoopJoin" in plan:  # only with a single row of totals
-        assert "Cross" in plan or "Inner" in plan
-
-
 def test_totals_are_broadcast_as_one_row(spark):
     frame = QUERIES["customers_active"](spark, SMALL)
     nested = [line for line in executed(frame).splitlines() if "BroadcastNestedLoopJoin" in line]

@@ -45,7 +45,10 @@ def test_every_counterpart_belongs_to_a_query():
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_matches_sql(spark, plain_db, name):
-    assert difference(QUERIES[name](spark, SMALL), plain_db, ORACLE[name]) is None
+    frame = QUERIES[name](spark, SMALL)
+    assert difference(frame, plain_db, ORACLE[name]) is None
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "CartesianProduct" not in plan
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
