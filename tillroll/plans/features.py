@@ -240,7 +240,8 @@ def behavioural_features(observed: DataFrame) -> DataFrame:
 
 
 def _behaviour(observed: DataFrame, times: DataFrame, orders: DataFrame) -> DataFrame:
-    days = customer_days(times)
+    # read for the sums and again for the cut days
+    days = written(customer_days(times), "days")
     spend = days.groupBy("CustomerID").agg(_spend_measure(), _season_measure(), *_half_measures())
     spend = _with_cut_day(spend, times, days).withColumn("Revenue_Growth", _growth())
     return _joined([orders, product_diversity(observed), spend.drop("first_half", "second_half"), is_uk(times)])
