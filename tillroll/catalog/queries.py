@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tillroll.catalog import tables as t
 from tillroll.functions.dates import month_label, month_start, whole_days
-from tillroll.functions.money import big, line_revenue, mean, percent, ratio, rounded, total
+from tillroll.functions.money import line_revenue, mean, percent, ratio, rounded, total
 from tillroll.functions.rules import basket_size, is_abroad, is_cancelled, is_priced, is_valid_sale, qcut_of_rank
 from tillroll.operators import joins, ordering, quantiles
 from tillroll.plans import (
@@ -190,7 +190,9 @@ def scalar_cross(spark, folder):
     last = tx.groupBy("CustomerID").agg(F.max("InvoiceDate").alias("last_seen"))
     dated = ordering.with_totals(last, "seen", newest=F.max("last_seen"))
     days = whole_days(F.col("last_seen"), F.col("newest"))
-    return dated.where(F.col("CustomerID").isNotNull()).select("CustomerID", "last_seen", "newest", days.alias("days_since"))
+    return dated.where(F.col("CustomerID").isNotNull()).select(
+        "CustomerID", "last_seen", "newest", days.alias("days_since")
+    )
 
 
 def join_strategy(spark, folder):
@@ -287,6 +289,10 @@ def _spend(spark, folder):
     return customers.customer_spend(t.lines(spark, folder, "Invoice", "Quantity", "Price", "CustomerID"))
 
 
+def total_spend():
+    return F.col("spend").cast("double").alias("total_spend")
+
+
 def w_rank(spark, folder):
     return ordering.global_rank(_orders(spark, folder), "order_count", "CustomerID", "order_rank")
 
@@ -296,10 +302,6 @@ def w_row_number(spark, folder):
     return placed.select("CustomerID", total_spend(), "place")
 
 
-def total_spend():
-    return F.col("spend").cast("double").alias("total_spend")
-
-
 def w_ntile5(spark, folder):
     scored = rfm.rfm_scores(rfm.rfm_raw_sql(t.lines(spark, folder, *rfm.RFM_INPUT)), "sql")
     return scored.select("CustomerID", "Recency", "Frequency", "R_Score", "F_Score", "M_Score")
@@ -318,7 +320,7 @@ def w_rolling(spark, folder):
 
 
 def w_cumulative(spark, folder):
-    # units by product size band: few rows, equal values share a total
+    # country rows; equal values share a total
     tx = t.lines(spark, folder, "Invoice", "CustomerID", "Country").where(is_valid_sale())
     countries = tx.groupBy("Country").agg(F.countDistinct("CustomerID").alias("buyers"))
     running = F.sum("buyers").over(Window.orderBy(F.desc("buyers")))

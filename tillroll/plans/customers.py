@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tillroll.functions.dates import month_label, month_start, whole_days
-from tillroll.functions.money import big, line_revenue, percent, ratio, total
+from tillroll.functions.money import big, line_revenue, percent, ratio
 from tillroll.functions.rules import is_valid_sale
 from tillroll.operators.ordering import global_row_number, top_rows, with_totals
 from tillroll.schema import reads

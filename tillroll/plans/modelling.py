@@ -294,7 +294,8 @@ def permutation_importance(model: Transformer, test: DataFrame, names: list[str]
 
     def dealt(salt: str, rows: DataFrame) -> DataFrame:
         order = F.md5(F.concat(key, F.lit(salt)))
-        return global_row_number(rows.withColumn("_hash", order), [F.asc("_hash"), F.asc("CustomerID")], "_seat").drop("_hash")
+        hashed = rows.withColumn("_hash", order)
+        return global_row_number(hashed, [F.asc("_hash"), F.asc("CustomerID")], "_seat").drop("_hash")
 
     base = written(test.select("CustomerID", *names, TARGET), "permuted")
     other = dealt("other", base.select("CustomerID", *names)).select(
