@@ -6,8 +6,9 @@ from compare import TABLES, connect, difference
 from conftest import SMALL
 
 import __spark_entry__ as entry
+from tillroll.catalog.oracle import ORACLE
+from tillroll.catalog.queries import QUERIES
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
 SLOW = {"model_gbt", "model_xgb", "model_lgbm", "train_all", "random_search_cv", "model_forest"}
 
 
