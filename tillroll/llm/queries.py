@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillroll.llm import secrets
+from tillroll.llm import mixing, packing, secrets
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -33,11 +33,33 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.tokenized(_read(spark, sf_dir, "documents"))
+    # the ids are digested where they are made, so that only numbers are written and dealt to the groups
+    digested = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(digested)
+
+
+def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "source", mixing.n_words("text").alias("size"))
+    mixed = mixing.mix(docs, F.col("size"), F.array("source"), F.col("doc_id"))
+    of_source = docs.groupBy("source").agg(F.sum("size").alias("source_size"))
+    sizes = {r.source: r.source_size for r in of_source.collect()}  # one row per source
+    quota = mixing.targets(sizes)
+    known = spark.createDataFrame([(s, sizes[s], quota[s]) for s in sizes], "source string, source_size long, target double")
+    taken = F.col("size") * F.size("mix_copies")
+    return mixed.join(F.broadcast(known), mixed["source"].eqNullSafe(known["source"])).select(
+        "doc_id", "size", "source_size", "target", taken.cast("long").alias("taken")
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
+    "op3_best_fit_packing": op3_best_fit_packing,
+    "op8_source_mix": op8_source_mix,
 }
 LLM_ORACLE: dict[str, str] = {}
