@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillroll.llm import mixing, packing, secrets
+from tillroll.llm import mixing, ngram_join, packing, secrets
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -53,6 +53,10 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_documents(_read(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -61,5 +65,6 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op8_source_mix": op8_source_mix,
+    "op10_ngram_join": op10_ngram_join,
 }
 LLM_ORACLE: dict[str, str] = {}
