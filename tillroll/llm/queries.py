@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillroll.llm import mixing, ngram_join, packing, secrets
+from tillroll.llm import mixing, ngram_join, packing, secrets, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -40,6 +40,15 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(digested)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = toxicity.held_out("doc_id")
+    model = toxicity.fit(docs, _read(spark, sf_dir, "labels").where(~held_out))
+    return model.score(docs).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= toxicity.REJECT).cast("int").alias("predicted")
+    )
+
+
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "source", mixing.n_words("text").alias("size"))
     mixed = mixing.mix(docs, F.col("size"), F.array("source"), F.col("doc_id"))
@@ -64,6 +73,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op5_toxicity": op5_toxicity,
     "op8_source_mix": op8_source_mix,
     "op10_ngram_join": op10_ngram_join,
 }
