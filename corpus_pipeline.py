@@ -1,8 +1,61 @@
-"""From raw documents to packed training sequences, in stages that each read what the one before has written."""
+"""From raw documents to packed training sequences, in stages that each read what the one before has written.
+
+Every stage works on all rows it is given and returns the columns of ``documents``, but for the last, which returns the
+place of every piece of every document in the sequences.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tillroll.llm import mixing, ngram_join, packing, secrets, toxicity
+from tillroll.llm.shipping import ship
+from tillroll.staging import written
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below the threshold of rejection; the model learns from labels of the raw documents."""
+    ship(spark)
+    return toxicity.without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of similar ones, that with the smallest id."""
+    ship(spark)
+    return ngram_join.deduplicated(docs)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents; secrets in the texts are replaced by their kind."""
+    ship(spark)
+    return secrets.redact_documents(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: documents as often as their sources' targets take them."""
+    ship(spark)
+    return mixing.mixed_documents(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per piece of a document: where it stands in which sequence. A repeated document has its pieces repeated."""
+    ship(spark)
+    pieces = packing.tokenized(docs).select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(pieces)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near duplicates", drop_near_duplicates),
+    ("secrets", redact_secrets),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
+]
+ORACLE_SQL = None  # no stage but the secrets' could be said in SQL
+
 
-STAGES: list = []
-ORACLE_SQL = None  # the stages are not expressible in SQL
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

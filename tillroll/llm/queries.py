@@ -8,9 +8,11 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillroll.llm import mixing, ngram_join, packing, secrets, toxicity
+from tillroll.llm.shipping import ship
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -76,5 +78,6 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": op5_toxicity,
     "op8_source_mix": op8_source_mix,
     "op10_ngram_join": op10_ngram_join,
+    "pipeline": pipeline,
 }
 LLM_ORACLE: dict[str, str] = {}
