@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillroll.llm import mixing, ngram_join, packing, secrets, toxicity
+from tillroll.llm import fingerprints, mixing, ngram_join, packing, secrets, toxicity
 from tillroll.llm.shipping import ship
 
 
@@ -64,6 +64,20 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fingerprints.neighbours(_read(spark, sf_dir, "documents"))
+    lanes = F.col("lanes")
+    return rows.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.packed(lanes).alias("fingerprint"),
+        fingerprints.packed(F.col("edited_lanes")).alias("edited_fingerprint"),
+        fingerprints.likeness(lanes, F.col("edited_lanes")).alias("near_edited"),
+        fingerprints.likeness(lanes, F.col("next_lanes")).alias("near_next"),
+    )
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_documents(_read(spark, sf_dir, "documents"))
 
@@ -77,6 +91,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_toxicity": op5_toxicity,
     "op8_source_mix": op8_source_mix,
+    "op9_fingerprints": op9_fingerprints,
     "op10_ngram_join": op10_ngram_join,
     "pipeline": pipeline,
 }
