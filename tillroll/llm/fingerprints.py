@@ -12,11 +12,12 @@ not at all like others. Everything is built from Spark's own expressions.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tillroll.llm.expressions import let
+
 BINS = 256
 BITS = 8
 WIDTH = 5
@@ -64,11 +65,6 @@ def _mixed(x: int) -> int:
 _PLACES = [[_mixed(t * BINS + b) % BINS for b in range(BINS)] for t in range(1, PROBES + 1)]
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once, however often it is used."""
-    return F.get(F.transform(F.array(value), body), 0)
-
-
 def _least(h: Column) -> Column:
     """The first hash of every bin of the sorted hashes ``h``."""
     return F.filter(h, lambda x, i: (i == 0) | (_bin(x) != _bin(F.get(h, i - 1))))
@@ -78,14 +74,14 @@ def _dense(least: Column) -> Column:
     """By bin, its smallest hash or null."""
     by_bin = F.map_from_arrays(F.transform(least, lambda h: _bin(h).cast("int")), least)
     all_bins = F.sequence(F.lit(0), F.lit(BINS - 1))
-    return _let(by_bin, lambda m: F.transform(all_bins, lambda b: F.try_element_at(m, b)))
+    return let(by_bin, lambda m: F.transform(all_bins, lambda b: F.try_element_at(m, b)))
 
 
 def with_lanes(rows: DataFrame, text_col: str, lanes_col: str) -> DataFrame:
     """``rows`` with the fingerprint of a text as an array."""
     text = F.coalesce(text_col, F.lit(""))
-    least = _let(words(text), lambda w: _let(_shingles(w), _least))
-    return rows.withColumn(lanes_col, _let(least, lambda l: _let(_dense(l), lambda d: _lanes(l, d))))
+    least = let(words(text), lambda w: let(_shingles(w), _least))
+    return rows.withColumn(lanes_col, let(least, lambda l: let(_dense(l), lambda d: _lanes(l, d))))
 
 
 def packed(lanes: Column) -> Column:
