@@ -8,6 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillroll.llm import chat, fingerprints, licenses, mixing, ngram_join, packing, revisits, secrets, topk, toxicity
+from tillroll.llm.oracle import LLM_ORACLE  # noqa: F401
 from tillroll.llm.shipping import ship
 
 
@@ -164,4 +165,3 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_ngram_join": op10_ngram_join,
     "pipeline": pipeline,
 }
-LLM_ORACLE: dict[str, str] = {}
