@@ -174,8 +174,10 @@ def mix(docs: DataFrame, size: Column, sources: Column, key: Column, repeats: in
     copies = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(repeats - 1)), copies_of))
     none = F.array().cast(f"array<struct<repetition:int,source:{kind}>>")
     copies = F.when((F.col("size") > 0) & F.col("plan").isNotNull(), copies).otherwise(none)
+    lined = lined.select("doc", "size", "sources", copies.alias("copies"))
     kept = [F.col("doc")[c].alias(c) for c in docs.columns if c not in ("mix_size", "mix_sources", "mix_copies")]
-    return lined.select(*kept, F.col("size").alias("mix_size"), F.col("sources").alias("mix_sources"), copies.alias("mix_copies"))
+    made = {"mix_size": "size", "mix_sources": "sources", "mix_copies": "copies"}
+    return lined.select(*kept, *[F.col(c).alias(name) for name, c in made.items()])
 
 
 def _stretches(shares: dict) -> list[tuple]:
