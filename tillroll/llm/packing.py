@@ -14,11 +14,13 @@ like all others. An empty table gives no rows. Only the id and text columns are
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
 
 from tillroll.staging import written
 
@@ -27,8 +29,8 @@ END = 0
 VOCABULARY = "byte_bpe_50k.json"
 GROUP = 32_768
 FULL = 0.98
-PIECES = "array<struct<piece:int,start:long,length:long,ids:binary>>"
 _SALT = 1 << 40  # sequence numbers of one group
+_ROWS = 512  # documents whose ids are held at once
 
 
 @lru_cache(maxsize=2)
@@ -49,33 +51,45 @@ def _encoder(vocabulary: str):
     special = {t["content"]: t["id"] for t in spec["added_tokens"]}
     ranks = {bytes(byte[c] for c in word): i for word, i in spec["model"]["vocab"].items() if word not in special}
     encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
-    return lambda text: encoding.encode(text, allowed_special="all")
 
+    def encode(text: str) -> list[int]:
+        if any(name in text for name in special):
+            return encoding.encode(text, allowed_special="all")
+        return encoding.encode_ordinary(text)  # does not search for special tokens
 
-def token_pieces(text: Column | str, vocabulary: str = VOCABULARY, length: int = LENGTH, end: int = END) -> Column:
-    """The pieces of a text; ``ids`` are little-endian unsigned 32-bit numbers, ``start`` counts the ids before."""
+    return encode
 
-    @F.pandas_udf(PIECES)
-    def cut(texts: pd.Series) -> pd.Series:
-        encode = _encoder(vocabulary)
-        out = []
-        for text in texts:
-            ids = np.array([*(encode(text) if text else ()), end], "<u4")
-            first = len(ids) % length or length
-            bounds = [0, *range(first, len(ids) + 1, length)]
-            out.append([
-                {"piece": n, "start": low, "length": high - low, "ids": ids[low:high].tobytes()}
-                for n, (low, high) in enumerate(zip(bounds, bounds[1:]))
-            ])
-        return pd.Series(out)
-
-    return cut(text)
 
+def tokenized(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY, length: int = LENGTH, end: int = END
+) -> DataFrame:
+    """One row per piece: the id, ``piece``, ``start`` (the ids before), ``length`` and ``ids``, little-endian unsigned 32-bit numbers."""
+    kept = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
-def tokenized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One row per piece: the id, ``piece``, ``start``, ``length`` and ``ids``."""
-    cut = docs.select(F.col(id_col), token_pieces(F.col(text_col), **options).alias("p"))
-    return cut.select(id_col, F.inline("p"))
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = _encoder(vocabulary)
+        for batch in batches:
+            for at in range(0, batch.num_rows, _ROWS):
+                part = batch.slice(at, _ROWS)
+                rows, pieces, starts, lengths, held = [], [], [], [], []
+                for row, text in enumerate(part.column(1).to_pylist()):
+                    ids = np.array([*(encode(text) if text else ()), end], "<u4").tobytes()
+                    total = len(ids) // 4
+                    first = total % length or length
+                    bounds = [0, *range(first, total + 1, length)]
+                    for n, (low, high) in enumerate(zip(bounds, bounds[1:])):
+                        rows.append(row)
+                        pieces.append(n)
+                        starts.append(low)
+                        lengths.append(high - low)
+                        held.append(ids[4 * low : 4 * high])
+                columns = [part.column(0).take(pa.array(rows, pa.int64())), pa.array(pieces, pa.int32())]
+                columns += [pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()), pa.array(held, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "piece", "start", "length", "ids"])
+
+    kind = kept.schema["id"].dataType.simpleString()
+    out = kept.mapInArrow(cut, f"id {kind}, piece int, start long, length long, ids binary")
+    return out.withColumnRenamed("id", id_col)
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -111,7 +125,7 @@ def _packed(pieces: DataFrame, round_: int, length: int, group: int) -> DataFram
     groups = max(1, -(-rows // group))
     dealt = pieces.withColumn("g", F.pmod(F.xxhash64("row"), F.lit(groups)))
 
-    def pack(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def pack(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["length", "row"], ascending=[False, True], ignore_index=True)
         bins, offsets = sum_of_squares(frame["length"].to_numpy(), length)
         fill = np.bincount(bins, weights=frame["length"]).astype(np.int64)
