@@ -54,16 +54,17 @@ def _blocks(turns: Column) -> Column:
     """Sorted turns as blocks (role, texts)."""
     last = F.size(turns) - 1
     opens = lambda i: (i == 0) | (F.get(turns, i)["role"] != F.get(turns, i - 1)["role"])
-    texts = F.transform(turns, lambda t: t["text"])
 
-    def merged(starts: Column) -> Column:
+    def merged(starts: Column, texts: Column) -> Column:
         def block(at: Column, number: Column) -> Column:
             until = F.coalesce(F.get(starts, number + 1), last + 1)
             return F.struct(F.get(turns, at)["role"].alias("role"), F.slice(texts, at + 1, until - at).alias("texts"))
 
         return F.transform(starts, block)
 
-    return let(F.filter(F.sequence(F.lit(0), last), opens), merged)
+    starts = F.filter(F.sequence(F.lit(0), last), opens)
+    texts = F.transform(turns, lambda t: t["text"])
+    return let(starts, lambda s: let(texts, lambda t: merged(s, t)))
 
 
 def _rendered(block: Column) -> Column:

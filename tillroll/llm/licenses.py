@@ -74,7 +74,7 @@ TEMPLATES = (
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
 # beginnings of licensing words, lower case: fixed values
-HINTS = ("licen", "copyright", "permission", "permitted", "redistribut", "public domain", "free software")
+HINTS = ("licen", "copyright", "permission", "permitted", "redistribut", "public domain", "free software", "mozilla")
 GAP = 2
 COVERED = 0.8
 FINDING = "array<struct<start:long,end:long,license:string,template:int,reduction:double,wording:string,differences:array<string>>>"

@@ -69,7 +69,6 @@ def resolve(
 ) -> DataFrame:
     """One row per revisit: the id, ``canonical_url``, ``refers_to`` (the id of the response), ``resolution``, ``merged_headers``."""
     url = canonical_url(F.col(url_col))
-    known = url.isNotNull() & F.col(time_col).isNotNull()
     headers = F.coalesce(_lowered(F.col(headers_col)), F.create_map().cast("map<string,string>"))
     rows = records.where(F.col(status_col).isin(200, 304)).select(
         F.col(id_col).alias("id"),
@@ -77,10 +76,11 @@ def resolve(
         F.col(time_col).alias("time"),
         (F.col(status_col) == 304).alias("revisit"),
         headers.alias("headers"),
-        F.when((F.col(status_col) == 200) & known, F.struct(F.col(id_col).alias("id"), headers.alias("headers"))).alias("full"),
     )
     rows = rows.repartitionByRange("url", "time", "id").withColumn("part", F.spark_partition_id())
-    rows = written(rows, "captures")
+    # the struct is built from the written headers: lambdas that stand twice in one projection can lose entries
+    usable = ~F.col("revisit") & F.col("url").isNotNull() & F.col("time").isNotNull()
+    rows = written(rows, "captures").withColumn("full", F.when(usable, F.struct("id", "headers")))
 
     # URLs that go on in another partition are the first or last of theirs
     ends = rows.groupBy("part").agg(F.min("url").alias("a"), F.max("url").alias("b"))
