@@ -11,8 +11,8 @@ that is only just similar and is compared ``d`` splits deep meets in one run wit
 
 Buckets are compared in blocks of about ``block`` sets, a pair of blocks per group, so that no bucket lands in one task.
 Pairs that agree at enough positions are kept by the first of the buckets that both sets share, and only there, so
-that every link is counted once without a table of pairs. Of the sets that are left the shingles are read from the
-texts once more and the similarity is counted exactly.
+that every link is counted once without a table of pairs. The shingles of the sets that are left are made from
+the texts once more and the similarity is counted exactly.
 
 A null text is an empty one. Texts without words are copies of each other and of nothing else. Rows are joined one by
 one, so ids may repeat or be null; the class id is the smallest id of the class, null if it has none. Only the id and
@@ -35,7 +35,7 @@ THRESHOLD = 0.8
 RUNS = 10
 POSITIONS = 64
 LIMIT = 2048
-BLOCK = 128
+BLOCK = 256
 DEPTH = 12
 #: Pairs whose share of equal positions is so far below the threshold are not verified: 4 standard deviations.
 MARGIN = 0.2
@@ -235,7 +235,7 @@ def _leaves(sets: DataFrame, threshold: float, runs: int, positions: int, limit:
     return found.unionByName(buckets.where(F.col("size") > limit))
 
 
-def _links(base: DataFrame, sets: DataFrame, threshold: float, width: int, runs: int, limit: int, block: int) -> DataFrame:
+def _links(texts: DataFrame, sets: DataFrame, threshold: float, width: int, runs: int, limit: int, block: int) -> DataFrame:
     """(set, root, links) of the sets that are similar to another, a row per place where they were compared."""
     leaves = written(_leaves(sets, threshold, runs, POSITIONS, limit), "path-leaves")
     buckets = leaves.groupBy("set").agg(F.collect_list("key").alias("buckets"))
@@ -259,24 +259,45 @@ def _links(base: DataFrame, sets: DataFrame, threshold: float, width: int, runs:
     kept = held.mapInPandas(_candidates(threshold), "key long, i int, j int, set long, partners array<long>")
     kept = written(kept, "path-candidates")
 
-    wanted = kept.select(F.col("set").alias("row")).distinct()
-    tokens = base.join(wanted, "row", "left_semi").select(F.col("row").alias("set"), _tokens(F.col("text"), width).alias("tokens"))
-    tokens = written(tokens, "path-tokens").join(sets.select("set", "copies"), "set")
+    wanted = kept.select("set").distinct().join(sets.select("set", "copies", *_KEY), "set")
+    tokens = _at(texts, wanted, "inner").select("set", "copies", _tokens(F.col("text"), width).alias("tokens"))
+    tokens = written(tokens, "path-tokens")
     checked = kept.join(tokens, "set").repartition(*pairs).sortWithinPartitions(*pairs)
     return written(checked.mapInPandas(_verified(threshold), "set long, root long, links long"), "path-links")
 
 
-def _classes(base: DataFrame, threshold: float, width: int, runs: int, limit: int, block: int) -> DataFrame:
-    """``base`` (row, id, text) as (row, id, class_row, class_id, n_links)."""
-    signed = base.select("row", "id", signature(F.col("text"), width, POSITIONS).alias("s"))
-    signed = written(signed.select("row", "id", "s.*"), "signatures")
+_KEY = ["ih", "th"]
+
+
+def _keys(id_col: Column, text_col: Column) -> list[Column]:
+    """Hashes of id and text, never null, that together tell rows apart unless both are equal."""
+    return [F.xxhash64(id_col).alias("ih"), F.xxhash64(text_col).alias("th")]
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *_keys(F.col(id_col), F.col(text_col)))
+
+
+def _at(texts: DataFrame, wanted: DataFrame, how: str) -> DataFrame:
+    """The rows of ``texts`` with a key of ``wanted``, one for each key.
+
+    The texts are shuffled at any size: ``wanted`` grows with the input, and a plan that broadcasts it while it is small
+    would say nothing about larger inputs.
+    """
+    return texts.join(wanted.hint("shuffle_hash"), _KEY, how).dropDuplicates(_KEY)
+
+
+def _classes(texts: DataFrame, threshold: float, width: int, runs: int, limit: int, block: int) -> DataFrame:
+    """``texts`` as (row, id, ih, th, class_row, class_id, n_links)."""
+    signed = texts.select(F.monotonically_increasing_id().alias("row"), "id", *_KEY, signature(F.col("text"), width, POSITIONS).alias("s"))
+    signed = written(signed.select("row", "id", *_KEY, "s.*"), "signatures")
     same = ["n", "d1", "d2"]
     held = signed.groupBy(*same).agg(F.min("row").alias("set"), F.count("*").alias("copies"), F.min("id").alias("least"))
     held = written(held, "sets")
-    first = signed.select(F.col("row").alias("set"), "sketch")
-    sets = written(held.where("n > 0").join(first, "set").select("set", "n", "copies", "sketch"), "set-sketches")
+    first = signed.select(F.col("row").alias("set"), *_KEY, "sketch")
+    sets = written(held.where("n > 0").join(first, "set").select("set", "n", "copies", *_KEY, "sketch"), "set-sketches")
 
-    links = _links(base, sets, threshold, width, runs, limit, block)
+    links = _links(texts, sets, threshold, width, runs, limit, block)
     root = written(components(links.select(F.col("set").alias("a"), F.col("root").alias("b"))), "roots")
     total = links.groupBy("set").agg(F.sum("links").alias("links"))
     per_set = held.join(root.withColumnRenamed("node", "set"), "set", "left").join(total, "set", "left")
@@ -285,11 +306,7 @@ def _classes(base: DataFrame, threshold: float, width: int, runs: int, limit: in
     per_set = per_set.join(least, "root").select(
         *same, F.col("root").alias("class_row"), "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
     )
-    return signed.select("row", "id", *same).join(per_set, same).drop(*same)
-
-
-def _base(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return signed.select("row", "id", *_KEY, *same).join(per_set, same).drop(*same)
 
 
 def similar_documents(
@@ -300,16 +317,18 @@ def similar_documents(
 
     A class holds the documents that links connect.
     """
-    base = written(_base(docs, id_col, text_col), "documents")
-    return _classes(base, threshold, width, runs, limit, block).select(F.col("id").alias(id_col), "class_id", "n_links")
+    classes = _classes(_texts(docs, id_col, text_col), threshold, width, runs, limit, block)
+    return classes.select(F.col("id").alias(id_col), "class_id", "n_links")
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each class: that with the smallest id, nulls last."""
-    whole = written(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc")), "documents")
-    base = whole.select("row", F.col("doc")[id_col].alias("id"), F.col("doc")[text_col].alias("text"))
+    """``docs`` with one document of each class: that with the smallest id, nulls last.
+
+    Of rows with that id and equal texts, any one stays.
+    """
     settings = {"threshold": THRESHOLD, "width": WIDTH, "runs": RUNS, "limit": LIMIT, "block": BLOCK} | options
-    classes = written(_classes(base, **settings), "classes")
-    first = F.min(F.struct(F.col("id").isNull(), "id", "row"))["row"]
-    keep = classes.groupBy("class_row").agg(first.alias("row")).select("row")
-    return whole.join(keep, "row", "left_semi").select("doc.*")
+    classes = written(_classes(_texts(docs, id_col, text_col), **settings), "classes")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", *_KEY))
+    keep = classes.groupBy("class_row").agg(first.alias("f")).select("f.ih", "f.th").distinct()
+    whole = docs.select(F.struct("*").alias("doc"), *_keys(F.col(id_col), F.col(text_col)))
+    return _at(whole, keep, "left_semi").select("doc.*")
