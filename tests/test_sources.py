@@ -1,5 +1,7 @@
 """Files, schema checks, made-up lines and the shared tables."""
 
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -21,7 +23,7 @@ def test_csv_in_latin1_with_spaced_customer_column(spark, tmp_path):
         "C489435,22632,,-1,2009-12-01 07:46:00,1.85,,France\n"
     )
     path.write_bytes(text.encode("latin-1"))
-    rows = files.load_transactions(spark, str(path)).orderBy("Invoice").collect()
+    rows = files.load_transactions(spark, str(path), encoding="ISO-8859-1").orderBy("Invoice").collect()
     assert files.load_transactions(spark, str(path)).schema == TRANSACTIONS
     assert (rows[0]["Description"], rows[0]["CustomerID"], rows[0]["Quantity"]) == ("CAF\xc9, SET", "013085", 6)
     assert (rows[1]["CustomerID"], rows[1]["Description"], float(rows[1]["Price"])) == (None, None, 1.85)
@@ -110,3 +112,39 @@ def test_shared_folder_comes_from_the_session(spark):
         assert shared_dir(spark) == named.rstrip("/")
     else:
         assert shared_dir(spark)
+
+
+DATES = {
+    "2009-12-01": datetime(2009, 12, 1), "2009-12-01 07:45": datetime(2009, 12, 1, 7, 45), "12/1/2010 8:26": datetime(2010, 12, 1, 8, 26),
+    "2009-12-01 07:45:01": datetime(2009, 12, 1, 7, 45, 1), "2009-12-01T07:45:01": datetime(2009, 12, 1, 7, 45, 1),
+    "2009-12-01 07:45:01.5": datetime(2009, 12, 1, 7, 45, 1, 500000), "1/31/2011": datetime(2011, 1, 31), "": None,
+}
+
+
+def test_csv_dates_numbers_and_quotes(spark, tmp_path):
+    head = "Invoice,StockCode,Description,Quantity,InvoiceDate,Price,Customer ID,Country\n"
+    rows = [f'{n},1,"SET ""15"", LAMP",6.0,{d},2.50,13085.0,X' for n, d in enumerate(DATES)]
+    (tmp_path / "shop.csv").write_text(head + "\n".join(rows) + "\n")
+    got = {int(r.Invoice): r for r in files.load_transactions(spark, str(tmp_path / "shop.csv")).collect()}
+    assert [got[n].InvoiceDate for n in range(len(DATES))] == list(DATES.values())
+    assert {(r.Description, r.Quantity, r.CustomerID) for r in got.values()} == {('SET "15", LAMP', 6, "13085.0")}
+
+
+@pytest.mark.parametrize("column, text", [("Quantity", "6.5"), ("InvoiceDate", "yesterday"), ("Price", "dear")])
+def test_csv_with_a_wrong_value_raises(spark, tmp_path, column, text):
+    row = {"Invoice": "1", "StockCode": "1", "Description": "x", "Quantity": "1", "InvoiceDate": "2009-12-01", "Price": "1", "CustomerID": "1", "Country": "X"}
+    row[column] = text
+    (tmp_path / "wrong.csv").write_text(",".join(row) + "\n" + ",".join(row.values()) + "\n")
+    with pytest.raises(Exception):
+        files.load_transactions(spark, str(tmp_path / "wrong.csv")).collect()
+
+
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_csv_round_trip_keeps_every_text(spark, lines, tmp_path, multi_line):
+    texts = ["  PAD  ", "", None, 'a "b", c', '"', ",", "\u65e5\u672c", "\u20ac", "\\", "\\N", "null"] + (["two\nlines"] if multi_line else [])
+    tx = lines(*[(str(n), "1", 1, "2010-01-01 00:00:00", "1.00", "1", "X", t) for n, t in enumerate(texts)])
+    files.save_csv(tx, str(tmp_path / "out"))
+    back = files.load_transactions(spark, str(tmp_path / "out"), format="csv", multi_line=multi_line)
+    assert {int(r.Invoice): r.Description for r in back.collect()} == dict(enumerate(texts))
+    with pytest.raises(ValueError, match="csv and parquet"):
+        files.load_transactions(spark, str(tmp_path / "out"))

@@ -1,45 +1,78 @@
-"""Transaction lines in files: CSV in Latin-1 as the shop exports them, Parquet between jobs."""
+"""Transaction lines in files: CSV as shops export them, Parquet between jobs."""
 
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tillroll.schema import TRANSACTIONS, require_columns
 
-_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
-
-
-def load_transactions(spark: SparkSession, path: str) -> DataFrame:
+# Layouts of a date, tried in this order: what it looks like, and how it is read. Slashes put the month first.
+DATE_LAYOUTS = (
+    (r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(\.\d{1,6})?$", "yyyy-MM-dd HH:mm:ss[.SSSSSS][.SSSSS][.SSSS][.SSS][.SS][.S]"),
+    (r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$", "yyyy-MM-dd'T'HH:mm:ss"),
+    (r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}$", "yyyy-MM-dd HH:mm"),
+    (r"^\d{4}-\d{2}-\d{2}$", "yyyy-MM-dd"),
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}$", "M/d/yyyy H:mm"),
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2}$", "M/d/yyyy H:mm:ss"),
+    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
+)
+_EMPTY = "\u0001empty\u0001"  # stands for a quoted empty text while a file is read; an unquoted one is NULL
+
+
+def load_transactions(
+    spark: SparkSession, path: str, format: str | None = None, encoding: str = "UTF-8", multi_line: bool = False
+) -> DataFrame:
     """Read one CSV or Parquet file or folder. The customer id is always text.
 
-    Columns are matched by the CSV header, in any order, and may be more than
-    the eight needed. Workbooks must be exported to CSV first.
+    The format is taken from the path's suffix unless it is named. Columns are
+    matched by the CSV header, in any order, and may be more than the eight
+    needed. Quotes inside a quoted text are doubled. Dates may have any of
+    ``DATE_LAYOUTS``, whole numbers a fraction of zero; anything else raises.
+    Older shop exports are ``encoding="ISO-8859-1"``. Texts with line breaks
+    need ``multi_line``, for which a file is read by one task. Workbooks must be
+    exported to CSV first.
     """
-    kind = path.rstrip("/").rsplit(".", 1)[-1].lower()
+    kind = format or path.rstrip("/").rsplit("/", 1)[-1].rpartition(".")[2].lower()
     if kind not in ("csv", "parquet"):
-        raise ValueError(f"unsupported file format: {path}")
+        raise ValueError(f"unsupported file format, name one of csv and parquet: {path}")
     try:
         if kind == "parquet":
             raw = spark.read.parquet(path)
         else:
-            raw = spark.read.option("encoding", "ISO-8859-1").option("header", True).csv(path)
+            raw = spark.read.options(
+                header=True, encoding=encoding, quote='"', escape='"', multiLine=multi_line, emptyValue=_EMPTY,
+                ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+            ).csv(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(path) from error
         raise
     raw = require_columns(raw, set(TRANSACTIONS.fieldNames()))
-    return raw.select(*[
-        _typed(raw, field).alias(field.name) for field in TRANSACTIONS
-    ])
+    return raw.select(*[_typed(raw, field).alias(field.name) for field in TRANSACTIONS])
+
+
+def parsed_date(text: Column) -> Column:
+    """A timestamp from any of the known layouts; NULL from an empty text; other texts raise."""
+    text = F.trim(text)
+    out = F.when(text == "", F.lit(None))
+    for shape, layout in DATE_LAYOUTS:
+        out = out.when(text.rlike(shape), F.to_timestamp_ntz(text, F.lit(layout)))
+    return out.otherwise(F.to_timestamp_ntz(text, F.lit(DATE_LAYOUTS[0][1])))
 
 
-def _typed(raw: DataFrame, field: T.StructField):
+def _typed(raw: DataFrame, field: T.StructField) -> Column:
     value = F.col(field.name)
-    if isinstance(raw.schema[field.name].dataType, T.StringType) and isinstance(
-        field.dataType, T.TimestampNTZType
-    ):
-        return F.to_timestamp_ntz(value, F.lit(_TIME_FORMAT))
+    if not isinstance(raw.schema[field.name].dataType, T.StringType):
+        return value.cast(field.dataType)
+    value = F.when(value == _EMPTY, "").otherwise(value)
+    if isinstance(field.dataType, T.StringType):
+        return value
+    if isinstance(field.dataType, T.TimestampNTZType):
+        return parsed_date(value)
+    value = F.nullif(F.trim(value), F.lit(""))
+    if isinstance(field.dataType, T.IntegralType):
+        value = F.regexp_replace(value, r"\.0*$", "")
     return value.cast(field.dataType)
 
 
@@ -63,10 +96,12 @@ def create_transactions(tx: DataFrame, name: str = "transactions") -> DataFrame:
     return typed
 
 
-def save_csv(df: DataFrame, path: str) -> None:
-    df.write.option("header", True).option("encoding", "ISO-8859-1").option(
-        "timestampNTZFormat", _TIME_FORMAT
-    ).csv(path)
+def save_csv(df: DataFrame, path: str, encoding: str = "UTF-8") -> None:
+    """Write ``df`` so that ``load_transactions`` reads back the same texts: blanks kept, NULL apart from empty."""
+    df.write.options(
+        header=True, encoding=encoding, quote='"', escape='"', nullValue="", emptyValue='""',
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, timestampNTZFormat="yyyy-MM-dd HH:mm:ss[.SSSSSS]",
+    ).csv(path)
 
 
 def save_table(df: DataFrame, path: str) -> None:
