@@ -290,7 +290,8 @@ def measure(name: str) -> str:
 
 ORACLE: dict[str, str] = {
     "load_transactions": q(f"SELECT {RAW} FROM t"),
-    "union_periods": q(f"SELECT {RAW} FROM t WHERE InvoiceDate IS NOT NULL"),
+    "load_awkward_csv": q(f"""SELECT {RAW.replace('Description', "CASE abs(Quantity) % 5 WHEN 0 THEN '  PAD  ' WHEN 1 THEN 'SET \"15\", RED' WHEN 2 THEN '' WHEN 3 THEN '日本 é, €' END AS Description")} FROM t"""),
+    "union_periods": q(f"SELECT {RAW} FROM t"),
     "validate_schema": q("SELECT TRUE AS valid, COUNT(*) AS row_count, COUNT(CustomerID) AS known_rows FROM t"),
     "table_profile": profile(),
     "save_table": q(f"SELECT {DONE} FROM cleaned"),
@@ -368,7 +369,7 @@ ORACLE: dict[str, str] = {
     "top_1_per_group": q("""SELECT CustomerID, StockCode, SUM(Quantity)::BIGINT AS units FROM s GROUP BY CustomerID, StockCode
         QUALIFY ROW_NUMBER() OVER (PARTITION BY CustomerID ORDER BY SUM(Quantity) DESC, StockCode) = 1"""),
     "global_rank": q("SELECT CustomerID, orders AS order_count, ROW_NUMBER() OVER (ORDER BY orders, CustomerID) AS place, COUNT(*) OVER () AS customers FROM spend"),
-    "union_all": q("SELECT strftime(InvoiceDate, '%Y-%m') AS year_month, COUNT(*) AS line_count FROM t WHERE InvoiceDate IS NOT NULL GROUP BY ALL"),
+    "union_all": q("SELECT strftime(InvoiceDate, '%Y-%m') AS year_month, COUNT(*) AS line_count FROM t GROUP BY ALL"),
     "select_distinct": q("SELECT DISTINCT CustomerID, Invoice, InvoiceDate FROM s"),
     "drop_duplicates": q(f"SELECT {RAW} FROM (SELECT DISTINCT * FROM t)"),
     "cte_chain": SUMMARY_SQL,
@@ -388,6 +389,10 @@ ORACLE: dict[str, str] = {
         CAST(LEAST(GREATEST(Price::DOUBLE, b.pl), b.ph) AS DOUBLE) AS Price, CustomerID, Country FROM lines,
         (SELECT ROUND(quantile_cont(Quantity::DOUBLE, 0.05), 4) AS ql, ROUND(quantile_cont(Quantity::DOUBLE, 0.95), 4) AS qh,
                 ROUND(quantile_cont(Price::DOUBLE, 0.05), 4) AS pl, ROUND(quantile_cont(Price::DOUBLE, 0.95), 4) AS ph FROM lines) AS b"""),
+    "winsorize_fine": q("""SELECT Invoice, StockCode, Description, CAST(LEAST(GREATEST(Quantity::DOUBLE, b.ql), b.qh) AS DOUBLE) AS Quantity, InvoiceDate,
+        CAST(LEAST(GREATEST(Price::DOUBLE, b.pl), b.ph) AS DOUBLE) AS Price, CustomerID, Country FROM lines,
+        (SELECT ROUND(quantile_cont(Quantity::DOUBLE, 0.013), 5) AS ql, ROUND(quantile_cont(Quantity::DOUBLE, 0.987), 5) AS qh,
+                ROUND(quantile_cont(Price::DOUBLE, 0.013), 5) AS pl, ROUND(quantile_cont(Price::DOUBLE, 0.987), 5) AS ph FROM lines) AS b"""),
     "clean_description": q(f"SELECT {RAW.replace('Description', 'upper(trim(Description)) AS Description')} FROM t"),
     "add_revenue": q("SELECT Invoice, StockCode, CAST(Quantity AS DOUBLE) AS Quantity, CAST(Price AS DOUBLE) AS Price, CAST(Revenue AS DOUBLE) AS Revenue FROM cleaned"),
     "cleaning_report": report(),

@@ -45,10 +45,20 @@ def load_transactions(spark, folder):
     return t.plain(files.load_transactions(spark, path))
 
 
+def load_awkward_csv(spark, folder):
+    """A file whose descriptions hold blanks, quotes, commas, nothing, and letters beyond Latin-1."""
+    kind = F.abs("Quantity") % 5
+    texts = F.when(kind == 0, "  PAD  ").when(kind == 1, 'SET "15", RED').when(kind == 2, "").when(kind == 3, "\u65e5\u672c \u00e9, \u20ac")
+    path = fresh_path(spark, "awkward")
+    files.save_csv(t.lines(spark, folder).withColumn("Description", texts), path)
+    return t.plain(files.load_transactions(spark, path, format="csv"))
+
+
 def _periods(spark, folder):
     tx = t.lines(spark, folder)
     start = F.to_timestamp_ntz(F.lit(PERIOD_START))
-    return tx.where(F.col("InvoiceDate") < start), tx.where(F.col("InvoiceDate") >= start)
+    date = F.col("InvoiceDate")
+    return tx.where(date < start), tx.where((date >= start) | date.isNull())
 
 
 def union_periods(spark, folder):
@@ -94,8 +104,8 @@ def insert_rows(spark, folder):
 # --- filters and projections
 
 
-def _where(condition, *columns):
-    return lambda spark, folder: t.plain(t.lines(spark, folder, *columns).where(condition()))
+def _where(condition, *columns, cancelled=None):
+    return lambda spark, folder: t.plain(t.lines(spark, folder, *columns, cancelled=cancelled).where(condition()))
 
 
 def _sold_and_returned():
@@ -108,7 +118,7 @@ def min_volume(spark, folder):
 
 
 def having_filter(spark, folder):
-    tx = t.lines(spark, folder, "Invoice", "CustomerID").where(is_valid_sale())
+    tx = t.lines(spark, folder, "Invoice", "CustomerID", cancelled=False).where(is_valid_sale())
     orders = tx.groupBy("CustomerID").agg(F.countDistinct("Invoice").alias("order_count"))
     return orders.where(F.col("order_count") == 1)
 
@@ -139,7 +149,7 @@ def customer_filter(spark, folder):
 
 
 def join_cohort(spark, folder):
-    tx = t.lines(spark, folder, "Invoice", "InvoiceDate", "CustomerID").where(is_valid_sale())
+    tx = t.lines(spark, folder, "Invoice", "InvoiceDate", "CustomerID", cancelled=False).where(is_valid_sale())
     active = tx.groupBy("CustomerID", month_start(F.col("InvoiceDate")).alias("activity_month")).agg(
         F.count(F.lit(1)).alias("line_count")
     )
@@ -248,7 +258,7 @@ def agg_ratio(spark, folder):
 
 
 def agg_share(spark, folder):
-    tx = t.lines(spark, folder, "Invoice", "Quantity", "Price", "CustomerID", "Country").where(is_valid_sale())
+    tx = t.lines(spark, folder, "Invoice", "Quantity", "Price", "CustomerID", "Country", cancelled=False).where(is_valid_sale())
     countries = tx.groupBy("Country").agg(F.sum(line_revenue()).alias("r"), F.count(F.lit(1)).alias("n"))
     everything = Window.partitionBy()  # country rows
     return countries.select(
@@ -259,7 +269,7 @@ def agg_share(spark, folder):
 
 
 def agg_histogram(spark, folder):
-    tx = t.lines(spark, folder, "Invoice", "CustomerID").where(is_valid_sale())
+    tx = t.lines(spark, folder, "Invoice", "CustomerID", cancelled=False).where(is_valid_sale())
     orders = tx.groupBy("CustomerID").agg(F.countDistinct("Invoice").alias("order_count"))
     return orders.groupBy("order_count").agg(F.count(F.lit(1)).alias("customer_count"))
 
@@ -281,7 +291,7 @@ def exact_quantile(spark, folder):
 
 
 def _orders(spark, folder):
-    tx = t.lines(spark, folder, "Invoice", "CustomerID").where(is_valid_sale())
+    tx = t.lines(spark, folder, "Invoice", "CustomerID", cancelled=False).where(is_valid_sale())
     return tx.groupBy("CustomerID").agg(F.countDistinct("Invoice").alias("order_count"))
 
 
@@ -308,7 +318,7 @@ def w_ntile5(spark, folder):
 
 
 def w_lag(spark, folder):
-    tx = t.lines(spark, folder, "Invoice", "InvoiceDate", "CustomerID").where(is_valid_sale())
+    tx = t.lines(spark, folder, "Invoice", "InvoiceDate", "CustomerID", cancelled=False).where(is_valid_sale())
     orders = tx.groupBy("CustomerID", "Invoice").agg(F.min("InvoiceDate").alias("bought_at"))
     return ordering.global_lag(orders, "CustomerID", ["bought_at", "Invoice"], "bought_at", "previous_at")
 
@@ -321,7 +331,7 @@ def w_rolling(spark, folder):
 
 def w_cumulative(spark, folder):
     # country rows; equal values share a total
-    tx = t.lines(spark, folder, "Invoice", "CustomerID", "Country").where(is_valid_sale())
+    tx = t.lines(spark, folder, "Invoice", "CustomerID", "Country", cancelled=False).where(is_valid_sale())
     countries = tx.groupBy("Country").agg(F.countDistinct("CustomerID").alias("buyers"))
     running = F.sum("buyers").over(Window.orderBy(F.desc("buyers")))
     return countries.select("Country", "buyers", running.alias("running_buyers"))
@@ -348,7 +358,7 @@ def top_k(spark, folder):
 
 
 def top_1_per_group(spark, folder):
-    tx = t.lines(spark, folder, "Invoice", "StockCode", "Quantity", "CustomerID").where(is_valid_sale())
+    tx = t.lines(spark, folder, "Invoice", "StockCode", "Quantity", "CustomerID", cancelled=False).where(is_valid_sale())
     units = tx.groupBy("CustomerID", "StockCode").agg(F.sum("Quantity").alias("units"))
     place = F.row_number().over(Window.partitionBy("CustomerID").orderBy(F.desc("units"), F.asc("StockCode")))
     return units.withColumn("place", place).where("place = 1").drop("place")
@@ -372,7 +382,7 @@ def union_all(spark, folder):
 
 
 def select_distinct(spark, folder):
-    tx = t.lines(spark, folder, "Invoice", "InvoiceDate", "CustomerID").where(is_valid_sale())
+    tx = t.lines(spark, folder, "Invoice", "InvoiceDate", "CustomerID", cancelled=False).where(is_valid_sale())
     return tx.select("CustomerID", "Invoice", "InvoiceDate").distinct()
 
 
@@ -403,6 +413,11 @@ def winsorize(spark, folder):
     return t.plain(cleaning.winsorize(t.kept(spark, folder), 0.05, 0.95))
 
 
+def winsorize_fine(spark, folder):
+    """Bounds at percentiles of three digits."""
+    return t.plain(cleaning.winsorize(t.kept(spark, folder), 0.013, 0.987))
+
+
 def clean_all(spark, folder):
     return t.plain(cleaning.clean_all(t.lines(spark, folder)))
 
@@ -701,6 +716,7 @@ def cltv_discounted(spark, folder):
 QUERIES: dict[str, t.Query] = {
     # sources and sinks
     "load_transactions": load_transactions,
+    "load_awkward_csv": load_awkward_csv,
     "union_periods": union_periods,
     "validate_schema": schema_check,
     "table_profile": lambda spark, folder: profile.table_profile(t.lines(spark, folder)),
@@ -711,7 +727,7 @@ QUERIES: dict[str, t.Query] = {
     # filters and projections
     "valid_sales": _where(is_valid_sale),
     "positive_price": _where(is_priced, "Invoice", "StockCode", "Quantity", "Price"),
-    "cancellations_only": _where(is_cancelled, "Invoice", "StockCode", "Quantity"),
+    "cancellations_only": _where(is_cancelled, "Invoice", "StockCode", "Quantity", cancelled=True),
     "exclude_home_market": _where(is_abroad, "Invoice", "StockCode", "CustomerID", "Country"),
     "min_volume": min_volume,
     "having_filter": having_filter,
@@ -775,6 +791,7 @@ QUERIES: dict[str, t.Query] = {
     "clean_duplicates": clean_duplicates,
     "clean_test_accounts": _step(cleaning.clean_test_accounts),
     "winsorize": winsorize,
+    "winsorize_fine": winsorize_fine,
     "clean_description": _step(cleaning.clean_description),
     "add_revenue": _of_cleaned(lambda df: df.select("Invoice", "StockCode", "Quantity", "Price", "Revenue")),
     "cleaning_report": lambda spark, folder: cleaning.cleaning_report(t.lines(spark, folder)),

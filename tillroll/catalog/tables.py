@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tillroll.plans import cleaning, features, modelling, rfm, scoring
-from tillroll.schema import COLUMNS, required
+from tillroll.schema import COLUMNS, required, wanted_lines
 from tillroll.sources.warehouse import transactions
 from tillroll.staging import stage
 
@@ -21,13 +21,13 @@ PREDICTION_DAYS = 90
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def lines(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
-    return transactions(spark, folder, columns or COLUMNS)
+def lines(spark: SparkSession, folder: str, *columns: str, cancelled: bool | None = None) -> DataFrame:
+    return transactions(spark, folder, columns or COLUMNS, cancelled)
 
 
 def on_lines(job: Callable, **options) -> Query:
     """``job`` over the transaction lines, with only the columns it reads."""
-    return lambda spark, folder: job(transactions(spark, folder, required(job)), **options)
+    return lambda spark, folder: job(transactions(spark, folder, required(job), wanted_lines(job)), **options)
 
 
 def kept(spark: SparkSession, folder: str) -> DataFrame:

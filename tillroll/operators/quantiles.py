@@ -2,11 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from decimal import Decimal
+
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tillroll.operators.ordering import global_running_total
 
-_VALUE = "decimal(20,4)"
+
+def quantile_scale(df: DataFrame, columns: list[str], quantiles: list[float]) -> int:
+    """The decimals that hold every quantile exactly: those of the column and those of the quantile's number."""
+    scale = 0
+    for column in columns:
+        kind = df.schema[column].dataType
+        if isinstance(kind, T.DecimalType):
+            scale = max(scale, kind.scale)
+        elif not isinstance(kind, T.IntegralType):
+            raise ValueError(f"{column} is {kind.simpleString()}; exact quantiles need whole numbers or decimals")
+    return scale + max(-Decimal(repr(float(q))).as_tuple().exponent for q in quantiles)
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], quantiles: list[float]) -> DataFrame:
@@ -16,7 +28,9 @@ def exact_quantiles(df: DataFrame, columns: list[str], quantiles: list[float]) -
     value costs one row per task). The two order statistics around
     ``(n - 1) * q`` are then found on the running count over the values.
     """
-    names = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast(_VALUE).alias("v")) for c in columns])
+    scale = quantile_scale(df, columns, quantiles)
+    value = f"decimal({16 + scale},{scale})"
+    names = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast(value).alias("v")) for c in columns])
     counts = (
         df.select(F.explode(names).alias("x"))
         .select("x.name", "x.v")
@@ -29,10 +43,10 @@ def exact_quantiles(df: DataFrame, columns: list[str], quantiles: list[float]) -
     spans = running.groupBy("name").agg(
         F.min(F.col("upto") - F.col("n")).alias("start"), F.max("upto").alias("stop")
     )
-    wanted = F.explode(F.array(*[F.lit(float(q)) for q in quantiles])).alias("q")
+    wanted = F.explode(F.array(*[F.struct(F.lit(float(q)).alias("q"), F.lit(Decimal(repr(float(q)))).cast(f"decimal(20,{scale})").alias("d")) for q in quantiles])).alias("w")
     targets = (
         spans.select("name", "start", (F.col("stop") - F.col("start") - 1).alias("last"), wanted)
-        .withColumn("at", F.col("last") * F.col("q"))
+        .select("name", "start", "last", "w.q", (F.col("last") * F.col("w.d")).alias("at"))
         .withColumn("low", F.col("start") + F.floor("at"))
         .withColumn("high", F.col("start") + F.ceil("at"))
     )
@@ -50,8 +64,9 @@ def exact_quantiles(df: DataFrame, columns: list[str], quantiles: list[float]) -
             F.max(F.when(holds("high"), F.col("v"))).alias("upper"),
         )
     )
-    step = (F.col("upper") - F.col("lower")).cast("double") * (F.col("at") - F.floor("at"))
-    return found.select("name", "q", (F.col("lower").cast("double") + step).cast(_VALUE).alias("value"))
+    # a difference of two values has the column's decimals, so that the product fits the scale
+    step = (F.col("upper") - F.col("lower")) * (F.col("at") - F.floor("at")).cast(f"decimal({scale + 1},{scale})")
+    return found.select("name", "q", (F.col("lower") + step).cast(value).alias("value"))
 
 
 def quantile_row(df: DataFrame, wanted: dict[str, tuple[str, float]]) -> DataFrame:

@@ -15,7 +15,7 @@ _MONTHLY = ("Invoice", "Quantity", "InvoiceDate", "Price", "CustomerID")
 MICROS_PER_DAY = 86_400_000_000
 
 
-@reads(*_MONTHLY)
+@reads(*_MONTHLY, cancelled=False)
 def adv_rolling_3m(tx: DataFrame) -> DataFrame:
     """Mean and sum over this and the two months before that have sales."""
     # month rows only: one partition is enough
@@ -29,7 +29,7 @@ def adv_rolling_3m(tx: DataFrame) -> DataFrame:
     )
 
 
-@reads(*_MONTHLY)
+@reads(*_MONTHLY, cancelled=False)
 def adv_mom_growth(tx: DataFrame) -> DataFrame:
     previous = F.lag("revenue").over(Window.orderBy("year_month"))
     grown = months(tx).withColumn("previous", previous)
@@ -41,7 +41,7 @@ def adv_mom_growth(tx: DataFrame) -> DataFrame:
     )
 
 
-@reads("Invoice", "InvoiceDate", "CustomerID")
+@reads("Invoice", "InvoiceDate", "CustomerID", cancelled=False)
 def adv_purchase_gaps(tx: DataFrame, k: int = 15) -> DataFrame:
     """Mean days between consecutive purchase times of a customer.
 
@@ -63,7 +63,7 @@ def adv_purchase_gaps(tx: DataFrame, k: int = 15) -> DataFrame:
     return top_rows(shown, [F.asc("avg_days_between_purchases"), F.asc("CustomerID")], k)
 
 
-@reads("Invoice", "Quantity", "Price", "CustomerID", "Country")
+@reads("Invoice", "Quantity", "Price", "CustomerID", "Country", cancelled=False)
 def adv_country_cumulative(tx: DataFrame) -> DataFrame:
     countries = tx.where(is_valid_sale()).groupBy("Country").agg(F.sum(line_revenue()).alias("revenue"))
     # country rows only; the default frame lets equal revenues share a total
@@ -80,7 +80,7 @@ def adv_country_cumulative(tx: DataFrame) -> DataFrame:
     )
 
 
-@reads("Invoice", "StockCode", "Description", "Quantity", "CustomerID")
+@reads("Invoice", "StockCode", "Description", "Quantity", "CustomerID", cancelled=False)
 def adv_top_product_per_customer(tx: DataFrame, k: int = 15) -> DataFrame:
     # a customer's lines of one product are few: nothing to sum up before the minimum over text
     bought = tx.where(is_valid_sale()).groupBy("CustomerID", "StockCode").agg(
@@ -95,7 +95,7 @@ def adv_top_product_per_customer(tx: DataFrame, k: int = 15) -> DataFrame:
     )
 
 
-@reads("Invoice", "Quantity", "Price")
+@reads("Invoice", "Quantity", "Price", cancelled=False)
 def adv_basket_sizes(tx: DataFrame) -> DataFrame:
     baskets = (
         tx.where(~is_cancelled())
@@ -148,7 +148,7 @@ def cross_sell_strict(tx: DataFrame, bought: str = "85123A", missing: str = "840
     return top_rows(prospects.select("CustomerID"), [F.asc("CustomerID")], k)
 
 
-@reads("Invoice", "Quantity", "InvoiceDate", "Price", "CustomerID")
+@reads("Invoice", "Quantity", "InvoiceDate", "Price", "CustomerID", cancelled=False)
 def adv_quarterly(tx: DataFrame) -> DataFrame:
     day = F.col("quarter_start")
     return (

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tillroll.functions.money import percent
 from tillroll.functions.rules import is_cancelled
@@ -15,10 +15,12 @@ from tillroll.staging import written
 # Stock codes that are services, fees or tests.
 SERVICE_CODES = ["POST", "D", "DOT", "M", "BANK CHARGES", "TEST", "PADS", "ADJUST", "CRUK"]
 
-# After clipping to interpolated bounds: four decimals hold them exactly for
-# percentiles of two digits, six the product.
-CLIPPED = "decimal(16,4)"
-REVENUE = "decimal(24,6)"
+PRICE_SCALE = 2
+
+
+def _decimals(df: DataFrame, column: str) -> int:
+    kind = df.schema[column].dataType
+    return kind.scale if isinstance(kind, T.DecimalType) else 0
 
 
 def _true(condition: Column) -> Column:
@@ -102,9 +104,13 @@ def clip_bounds(lines: DataFrame, lower_pct: float = 0.01, upper_pct: float = 0.
 def clip(lines: DataFrame, bounds: DataFrame) -> DataFrame:
     """Quantity and price held within one row of bounds."""
 
+    # the bounds have the decimals that hold them exactly
+    scale = max(_decimals(bounds, c) for c in bounds.columns)
+    clipped = f"decimal({12 + scale},{scale})"
+
     def held(column: str, low: str, high: str) -> Column:
-        inside = F.greatest(F.col(column).cast(CLIPPED), F.col(low).cast(CLIPPED))
-        capped = F.least(inside, F.col(high).cast(CLIPPED))
+        inside = F.greatest(F.col(column).cast(clipped), F.col(low).cast(clipped))
+        capped = F.least(inside, F.col(high).cast(clipped))
         return F.when(F.col(column).isNotNull(), capped)
 
     return (
@@ -127,7 +133,9 @@ def clean_description(tx: DataFrame) -> DataFrame:
 
 
 def add_revenue(tx: DataFrame) -> DataFrame:
-    return tx.withColumn("Revenue", (F.col("Quantity") * F.col("Price")).cast(REVENUE))
+    # a clipped quantity has the decimals of its percentile, a clipped price two more; their product has both
+    scale = max(6, 2 * _decimals(tx, "Price") - PRICE_SCALE)
+    return tx.withColumn("Revenue", (F.col("Quantity") * F.col("Price")).cast(f"decimal({min(38, 18 + scale)},{scale})"))
 
 
 def finish(lines: DataFrame, bounds: DataFrame) -> DataFrame:

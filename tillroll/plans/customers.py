@@ -27,7 +27,7 @@ def customer_spend(tx: DataFrame) -> DataFrame:
     )
 
 
-@reads(*_SPEND, "Country")
+@reads(*_SPEND, "Country", cancelled=False)
 def customers_top_spend(tx: DataFrame, k: int = 20) -> DataFrame:
     """Best customers with their rank; of several countries the first by name is shown."""
     invoices = (
@@ -83,7 +83,7 @@ def customers_aov(tx: DataFrame, k: int = 10) -> DataFrame:
     return top_rows(values, [F.desc("avg_order_value"), F.asc("CustomerID")], k)
 
 
-@reads("Invoice", "CustomerID")
+@reads("Invoice", "CustomerID", cancelled=False)
 def customers_repeat_rate(tx: DataFrame) -> DataFrame:
     orders = (
         tx.where(is_valid_sale()).groupBy("CustomerID").agg(F.countDistinct("Invoice").alias("orders"))
@@ -96,7 +96,7 @@ def customers_repeat_rate(tx: DataFrame) -> DataFrame:
     )
 
 
-@reads("Invoice", "InvoiceDate", "CustomerID")
+@reads("Invoice", "InvoiceDate", "CustomerID", cancelled=False)
 def customers_cohorts(tx: DataFrame) -> DataFrame:
     """Customers active per month, by the month of their first purchase.
 
@@ -118,7 +118,7 @@ def customers_cohorts(tx: DataFrame) -> DataFrame:
     )
 
 
-@reads("Invoice", "InvoiceDate", "CustomerID")
+@reads("Invoice", "InvoiceDate", "CustomerID", cancelled=False)
 def customers_lifetime(tx: DataFrame, k: int = 10) -> DataFrame:
     span = (
         tx.where(is_valid_sale())

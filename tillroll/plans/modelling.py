@@ -47,18 +47,18 @@ class ModelConfig:
 
 
 # The six models and their search spaces. Spark trees have no
-# minimum size to split a node and stop at depth 30; leaf limits of 15, 31 and
+# minimum size to split a node and stop at depth 30, which stands for no limit; leaf limits of 15, 31 and
 # 63 are depths 4, 5 and 6.
 MODELS = {
     "LinearRegression": ModelConfig(LinearRegression),
     "DecisionTree": ModelConfig(
         DecisionTreeRegressor,
-        {"seed": SEED, "maxDepth": 10},
+        {"seed": SEED, "maxDepth": 30},
         {"maxDepth": [3, 5, 7, 10, 15], "minInstancesPerNode": [1, 2, 4, 8]},
     ),
     "RandomForest": ModelConfig(
         RandomForestRegressor,
-        {"seed": SEED, "numTrees": 100, "maxDepth": 10},
+        {"seed": SEED, "numTrees": 100, "maxDepth": 30},
         {"numTrees": [50, 100, 200], "maxDepth": [5, 10, 15, 30], "minInstancesPerNode": [1, 2, 4]},
     ),
     "GradientBoosting": ModelConfig(

@@ -23,7 +23,7 @@ def per_product(sales: DataFrame, by: list[str], name: str, **sums: Column) -> D
 _SALES = ("Invoice", "StockCode", "Description", "Quantity", "Price")
 
 
-@reads(*_SALES)
+@reads(*_SALES, cancelled=False)
 def products_top_revenue(tx: DataFrame, k: int = 20) -> DataFrame:
     # the distinct invoices per product are nearly the lines: nothing to sum up first
     stats = tx.where(~is_cancelled() & is_priced()).groupBy("StockCode").agg(
@@ -35,7 +35,7 @@ def products_top_revenue(tx: DataFrame, k: int = 20) -> DataFrame:
     return top_rows(stats, [F.desc("total_revenue"), F.asc("StockCode")], k)
 
 
-@reads(*_SALES)
+@reads(*_SALES, cancelled=False)
 def products_top_units(tx: DataFrame, k: int = 20) -> DataFrame:
     sales = tx.where(~is_cancelled() & is_priced())
     stats = per_product(
@@ -44,7 +44,7 @@ def products_top_units(tx: DataFrame, k: int = 20) -> DataFrame:
     return top_rows(stats, [F.desc("units_sold"), F.asc("StockCode")], k)
 
 
-@reads(*_SALES)
+@reads(*_SALES, cancelled=True)
 def products_most_returned(tx: DataFrame, k: int = 20) -> DataFrame:
     stats = tx.where(is_cancelled()).groupBy("StockCode").agg(
         F.min("Description").alias("Description"),
@@ -95,7 +95,7 @@ def products_single_buyer(tx: DataFrame, buyers: int = 1, k: int = 10) -> DataFr
     return top_rows(stats.where(F.col("unique_buyer_count") == buyers), [F.asc("StockCode")], k)
 
 
-@reads("Invoice", "StockCode", "Description", "Quantity", "Country")
+@reads("Invoice", "StockCode", "Description", "Quantity", "Country", cancelled=False)
 def products_best_by_country(tx: DataFrame, k: int = 15) -> DataFrame:
     """Best seller of each foreign country, then the strongest of those."""
     sales = tx.where(~is_cancelled() & is_abroad())

@@ -38,7 +38,7 @@ def revenue_totals(tx: DataFrame) -> DataFrame:
     )
 
 
-@reads("Invoice", "Quantity", "InvoiceDate", "Price", "CustomerID")
+@reads("Invoice", "Quantity", "InvoiceDate", "Price", "CustomerID", cancelled=False)
 def revenue_monthly(tx: DataFrame) -> DataFrame:
     return (
         tx.where(is_valid_sale())
@@ -54,7 +54,7 @@ def revenue_monthly(tx: DataFrame) -> DataFrame:
     )
 
 
-@reads("Invoice", "Quantity", "InvoiceDate", "Price", "CustomerID")
+@reads("Invoice", "Quantity", "InvoiceDate", "Price", "CustomerID", cancelled=False)
 def revenue_weekly(tx: DataFrame) -> DataFrame:
     return (
         tx.where(is_valid_sale())
@@ -72,7 +72,7 @@ def revenue_weekly(tx: DataFrame) -> DataFrame:
     )
 
 
-@reads("Invoice", "Quantity", "InvoiceDate", "Price", "CustomerID")
+@reads("Invoice", "Quantity", "InvoiceDate", "Price", "CustomerID", cancelled=False)
 def revenue_top_months(tx: DataFrame, k: int = 10) -> DataFrame:
     best = top_rows(months(tx), [F.desc("revenue"), F.asc("year_month")], k)
     return best.select(
@@ -83,7 +83,7 @@ def revenue_top_months(tx: DataFrame, k: int = 10) -> DataFrame:
     )
 
 
-@reads("Invoice", "Quantity", "InvoiceDate", "Price", "CustomerID")
+@reads("Invoice", "Quantity", "InvoiceDate", "Price", "CustomerID", cancelled=False)
 def revenue_yearly(tx: DataFrame) -> DataFrame:
     return (
         tx.where(is_valid_sale())
@@ -96,7 +96,7 @@ def revenue_yearly(tx: DataFrame) -> DataFrame:
     )
 
 
-@reads("Invoice", "Quantity", "InvoiceDate", "Price", "CustomerID")
+@reads("Invoice", "Quantity", "InvoiceDate", "Price", "CustomerID", cancelled=False)
 def revenue_avg_daily(tx: DataFrame) -> DataFrame:
     """Mean over the days with a sale."""
     days = (
@@ -107,7 +107,7 @@ def revenue_avg_daily(tx: DataFrame) -> DataFrame:
     return days.agg(mean(F.col("revenue")).alias("avg_daily_revenue"))
 
 
-@reads("Invoice", "Quantity", "InvoiceDate", "Price", "CustomerID")
+@reads("Invoice", "Quantity", "InvoiceDate", "Price", "CustomerID", cancelled=False)
 def revenue_quartiles(tx: DataFrame) -> DataFrame:
     by_revenue = Window.orderBy("revenue", "year_month")
     return months(tx).select(

@@ -12,7 +12,7 @@ from tillroll.plans.rfm import RFM_INPUT, segments_sql
 from tillroll.schema import reads
 
 
-@reads("Invoice", "Quantity", "InvoiceDate", "Price", "CustomerID", "Country")
+@reads("Invoice", "Quantity", "InvoiceDate", "Price", "CustomerID", "Country", cancelled=False)
 def v_customer_summary(tx: DataFrame) -> DataFrame:
     """Per customer and country."""
     orders = F.countDistinct("Invoice")
@@ -31,7 +31,7 @@ def v_customer_summary(tx: DataFrame) -> DataFrame:
     )
 
 
-@reads("Invoice", "Quantity", "InvoiceDate", "Price", "CustomerID")
+@reads("Invoice", "Quantity", "InvoiceDate", "Price", "CustomerID", cancelled=False)
 def v_monthly_revenue(tx: DataFrame) -> DataFrame:
     month = F.col("month")
     return (

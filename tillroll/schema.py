@@ -24,15 +24,18 @@ COLUMNS = TRANSACTIONS.fieldNames()
 HOME_MARKET = "United Kingdom"
 
 
-def reads(*columns: str) -> Callable:
+def reads(*columns: str, cancelled: bool | None = None) -> Callable:
     """Record which transaction columns a job touches.
 
     Where the table is assembled from several others, the loader joins only
-    what these columns need (see ``sources.warehouse``).
+    what these columns need (see ``sources.warehouse``). ``cancelled`` says that
+    the job drops all lines but the cancelled ones, or all cancelled ones, so
+    that the loader can filter on stored flags.
     """
 
     def mark(job):
         job.reads = columns
+        job.cancelled = cancelled
         return job
 
     return mark
@@ -42,6 +45,10 @@ def required(job: Callable) -> tuple[str, ...]:
     return getattr(job, "reads", tuple(COLUMNS))
 
 
+def wanted_lines(job: Callable) -> bool | None:
+    return getattr(job, "cancelled", None)
+
+
 def validate_schema(df: DataFrame) -> tuple[DataFrame, bool]:
     """Accept ``Customer ID`` for ``CustomerID``; the flag tells whether all columns are there."""
     if "Customer ID" in df.columns and "CustomerID" not in df.columns:

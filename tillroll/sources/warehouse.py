@@ -18,7 +18,6 @@ from pyspark.sql.types import StructType
 from tillroll.schema import COLUMNS, HOME_MARKET
 
 _schemas: dict[tuple[str, str], StructType] = {}
-_SPLIT_BYTES = 128 * 1024 * 1024
 _FROM_PART = {"Description", "Price"}
 _FROM_ORDERS = {"InvoiceDate", "CustomerID", "Country"}
 
@@ -31,21 +30,6 @@ def _table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(_schemas[key]).parquet(path)
 
 
-def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """The order lines, spread over the cores if their files are too few and too small to keep them busy.
-
-    A file is read by as many tasks as it has row groups. Tables with a split's
-    worth of data per core are read as they lie.
-    """
-    lines = _table(spark, path)
-    cores = spark.sparkContext.defaultParallelism
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    held = where.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(where)
-    if held.getFileCount() < cores and held.getLength() < cores * _SPLIT_BYTES:
-        return lines.repartition(cores, "l_orderkey", "l_partkey")
-    return lines
-
-
 def _orders(spark: SparkSession, folder: str, wanted: set[str]) -> DataFrame:
     orders = _table(spark, f"{folder}/orders.parquet")
     second_of_day = F.col("o_orderkey") * 7919 % 86_400
@@ -67,11 +51,20 @@ def _orders(spark: SparkSession, folder: str, wanted: set[str]) -> DataFrame:
     return out.drop("o_custkey")
 
 
-def transactions(spark: SparkSession, folder: str, columns: Iterable[str] = COLUMNS) -> DataFrame:
+def transactions(
+    spark: SparkSession, folder: str, columns: Iterable[str] = COLUMNS, cancelled: bool | None = None
+) -> DataFrame:
+    """The lines, read as they lie; with ``cancelled`` only those that are, or are not, on a cancelled invoice.
+
+    That filter is on the stored flags and reaches the scan, which a test of the assembled invoice number cannot.
+    """
     wanted = set(columns)
-    returned = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
+    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
+    returned = (flag == "R") & (status == "F")
     key = F.col("l_partkey")
-    lines = _lines(spark, f"{folder}/lineitem.parquet")
+    lines = _table(spark, f"{folder}/lineitem.parquet")
+    if cancelled is not None:
+        lines = lines.where(returned if cancelled else (flag != "R") | (status != "F") | flag.isNull() | status.isNull())
     if wanted & _FROM_PART:
         part = _table(spark, f"{folder}/part.parquet")
         # the price is made here, once per part, and not once per line
