@@ -8,6 +8,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tillroll.schema import TRANSACTIONS  # noqa: E402
 from tillroll.session import local_session  # noqa: E402
+from tillroll.staging import scratch  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -17,7 +18,8 @@ def spark():
     session = local_session(8, memory="4g", shuffle_partitions=4)
     # keep several partitions on tiny tables, so that global orders really span them
     session.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    yield session
+    with scratch(session):
+        yield session
     session.stop()
 
 

@@ -83,7 +83,7 @@ def test_lag_of_null_groups(spark):
 
 
 def test_with_totals(tied):
-    out = with_totals(tied, "test", top=F.max("value"), n=F.count(F.lit(1)))
+    out = with_totals(tied, tied, top=F.max("value"), n=F.count(F.lit(1)))
     assert out.where("top = 100 AND n = 4000").count() == 4000
 
 

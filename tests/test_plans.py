@@ -75,3 +75,19 @@ def test_totals_are_broadcast_as_one_row(spark):
     nested = [line for line in executed(frame).splitlines() if "BroadcastNestedLoopJoin" in line]
     assert len(nested) == 1
     assert frame.agg(F.count(F.lit(1))).first()[0] == 2
+
+
+@pytest.mark.parametrize("name", ["revenue_monthly", "cancellations_only", "customers_top_spend", "revenue_quartiles"])
+def test_the_cancellation_flag_reaches_the_scan(spark, name):
+    plan = executed(QUERIES[name](spark, SMALL))
+    pushed = next(re.search(r"PushedFilters: \[([^\]]*)", line).group(1) for line in plan.splitlines() if "FileScan" in line and "l_returnflag" in line)
+    assert "l_returnflag" in pushed and "l_linestatus" in pushed
+    assert "REPARTITION" not in plan
+
+
+@pytest.mark.parametrize("name", ["customers_active", "kpi_churn_rate", "scalar_cross", "cross_sell_strict", "rfm_raw_sql"])
+def test_building_a_frame_runs_no_query(spark, name):
+    before = spark._jsc.sc().dagScheduler().nextJobId()
+    frame = QUERIES[name](spark, SMALL)
+    started = spark._jsc.sc().dagScheduler().nextJobId() - before
+    assert frame.columns and started <= 5  # the schemas of the five tables

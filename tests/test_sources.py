@@ -93,19 +93,37 @@ def test_synthetic_lines_are_the_same_on_any_partitioning(spark):
 
 def test_stage_is_built_once_and_again_after_discard(spark, tmp_path):
     built = []
+    spark.range(7).write.parquet(str(tmp_path / "in"))
 
     def build():
         built.append(1)
         return spark.range(3)
 
     for _ in range(2):
-        assert staging.stage(spark, "here", "probe", build).count() == 3
+        assert staging.stage(spark, str(tmp_path / "in"), "probe", build).count() == 3
     assert len(built) == 1
     staging.discard(spark)
-    assert staging.stage(spark, "here", "probe", build).count() == 3
+    assert staging.stage(spark, str(tmp_path / "in"), "probe", build).count() == 3
     assert len(built) == 2
 
 
+def test_stage_follows_its_input(spark, tmp_path):
+    path = str(tmp_path / "in")
+    build = lambda: spark.read.parquet(path)
+    for rows in (7, 9, 9):
+        spark.range(rows).write.mode("overwrite").parquet(path)
+        assert staging.stage(spark, path, "follow", build).count() == rows
+
+
+def test_scratch_deletes_what_was_written(spark):
+    with staging.scratch(spark):
+        path = staging.fresh_path(spark, "gone")
+        spark.range(2).write.parquet(path)
+        assert spark.read.parquet(path).count() == 2
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
 def test_shared_folder_comes_from_the_session(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:

@@ -198,7 +198,7 @@ def anti_null_aware(spark, folder):
 def scalar_cross(spark, folder):
     tx = t.lines(spark, folder, "InvoiceDate", "CustomerID")
     last = tx.groupBy("CustomerID").agg(F.max("InvoiceDate").alias("last_seen"))
-    dated = ordering.with_totals(last, "seen", newest=F.max("last_seen"))
+    dated = ordering.with_totals(last, tx, newest=F.max("InvoiceDate"))
     days = whole_days(F.col("last_seen"), F.col("newest"))
     return dated.where(F.col("CustomerID").isNotNull()).select(
         "CustomerID", "last_seen", "newest", days.alias("days_since")

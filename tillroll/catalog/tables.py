@@ -10,10 +10,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tillroll import staging
 from tillroll.plans import cleaning, features, modelling, rfm, scoring
 from tillroll.schema import COLUMNS, required, wanted_lines
-from tillroll.sources.warehouse import transactions
-from tillroll.staging import stage
+from tillroll.sources.warehouse import TABLES, transactions
 
 SPLIT = "2001-05-01"
 PREDICTION_DAYS = 90
@@ -21,6 +21,10 @@ PREDICTION_DAYS = 90
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def stage(spark: SparkSession, folder: str, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+    return staging.stage(spark, folder, label, build, [f"{folder}/{t}.parquet" for t in TABLES])
+
+
 def lines(spark: SparkSession, folder: str, *columns: str, cancelled: bool | None = None) -> DataFrame:
     return transactions(spark, folder, columns or COLUMNS, cancelled)
 

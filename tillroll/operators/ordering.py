@@ -77,10 +77,9 @@ def top_rows(df: DataFrame, order: list[Column], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
-def with_totals(df: DataFrame, label: str, **totals: Column) -> DataFrame:
-    """Add aggregates over all rows of ``df`` to each row; ``df`` is computed once."""
-    base = written(df, label)
-    return base.crossJoin(F.broadcast(base.agg(*[c.alias(n) for n, c in totals.items()])))
+def with_totals(df: DataFrame, source: DataFrame, **totals: Column) -> DataFrame:
+    """Add aggregates over all rows of ``source`` to each row of ``df``: a second scan of the columns they need, one row broadcast."""
+    return df.crossJoin(F.broadcast(source.agg(*[c.alias(n) for n, c in totals.items()])))
 
 
 def global_rank(df: DataFrame, value: str, key: str, rank: str, descending: bool = True) -> DataFrame:

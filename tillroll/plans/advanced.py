@@ -138,12 +138,11 @@ def cross_sell(tx: DataFrame, bought: str = "85123A", missing: str = "84029E", k
 def cross_sell_strict(tx: DataFrame, bought: str = "85123A", missing: str = "84029E", k: int = 15) -> DataFrame:
     """The same under the literal NOT IN rule: one guest purchase of the other product empties the result.
 
-    The guests are one of the groups, so the flag needs no second pass over the
-    lines; Spark would broadcast the whole list of a NOT IN.
+    Guests are counted apart; Spark would broadcast the whole list of a NOT IN.
     """
     who = F.col("CustomerID")
-    guests = F.count(F.when(who.isNull() & F.col("has_other"), 1))
-    flagged = with_totals(_buyers(tx, bought, missing), "buyers", guests=guests)
+    others = tx.where(F.col("StockCode") == missing)
+    flagged = with_totals(_buyers(tx, bought, missing), others, guests=F.count(F.when(who.isNull(), 1)))
     prospects = flagged.where((F.col("guests") == 0) & who.isNotNull() & F.col("has") & ~F.col("has_other"))
     return top_rows(prospects.select("CustomerID"), [F.asc("CustomerID")], k)
 

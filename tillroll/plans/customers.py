@@ -136,11 +136,10 @@ def customers_active(tx: DataFrame, days: int = 90) -> DataFrame:
     The shares are of all customers, cancel-only ones included, and so need not add up to 100.
     """
     customers = tx.groupBy("CustomerID").agg(
-        F.max("InvoiceDate").alias("last_seen"),
         F.max(F.when(is_valid_sale(), F.col("InvoiceDate"))).alias("last_sale"),
     )
     dated = with_totals(
-        customers, "last_sales", newest=F.max("last_seen"), everyone=F.count("CustomerID")
+        customers, tx, newest=F.max("InvoiceDate"), everyone=F.countDistinct("CustomerID")
     ).where(F.col("last_sale").isNotNull())
     recent = whole_days(F.col("last_sale"), F.col("newest")) <= days
     status = F.when(recent, f"Active (<= {days} days)").otherwise(f"Inactive (> {days} days)")

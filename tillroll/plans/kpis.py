@@ -77,7 +77,7 @@ def kpi_repeat_rate(fact: DataFrame) -> DataFrame:
 def days_since_last_purchase(fact: DataFrame) -> DataFrame:
     """Per customer, whole days to the newest line."""
     last = fact.groupBy("CustomerID").agg(F.max("InvoiceDate").alias("last"))
-    dated = with_totals(last, "last_purchase", newest=F.max("last"))
+    dated = with_totals(last, fact, newest=F.max("InvoiceDate"))
     days = whole_days(F.col("last"), F.col("newest"))
     return dated.select("CustomerID", days.alias("DaysSinceLastPurchase"))
 

@@ -234,8 +234,10 @@ def register(spark: SparkSession, folder: str, name: str, path: str, scores: dic
 def read_registry(spark: SparkSession, folder: str) -> DataFrame | None:
     try:
         return spark.read.schema(REGISTRY).parquet(folder)
-    except AnalysisException:
-        return None
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def current_models(entries: DataFrame) -> DataFrame:

@@ -12,9 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tillroll.functions.dates import whole_days
 from tillroll.functions.money import big, line_revenue, percent, ratio, rounded
-from tillroll.functions.rules import is_valid_sale, ntile_of_rank, qcut_of_rank
-from tillroll.operators.ordering import global_row_number, with_totals
+from tillroll.functions.rules import is_valid_sale
+from tillroll.operators.ordering import global_row_number, global_running_total, with_totals
 from tillroll.schema import reads, require_columns
+from tillroll.staging import written
 
 RFM_INPUT = ("Invoice", "Quantity", "InvoiceDate", "Price", "CustomerID")
 
@@ -99,7 +100,6 @@ LOST_BIG = {"sql": "Cant Lose Them", "python": "Can't Lose Them"}
 def _customer_metrics(lines: DataFrame, revenue: Column, sale: Column) -> DataFrame:
     """Per customer over the lines where ``sale`` holds; recency is left open until the newest date is known."""
     return lines.groupBy("CustomerID").agg(
-        F.max("InvoiceDate").alias("seen"),
         F.max(F.when(sale, F.col("InvoiceDate"))).alias("bought"),
         F.countDistinct(F.when(sale, F.col("Invoice"))).alias("Frequency"),
         F.sum(F.when(sale, revenue)).alias("Monetary"),
@@ -110,7 +110,7 @@ def _customer_metrics(lines: DataFrame, revenue: Column, sale: Column) -> DataFr
 def rfm_raw_sql(tx: DataFrame) -> DataFrame:
     """Metrics over valid sales; the newest date is of the whole table, guests and cancellations included."""
     metrics = _customer_metrics(tx, line_revenue(), is_valid_sale())
-    dated = with_totals(metrics, "rfm", newest=F.max("seen")).where(F.col("bought").isNotNull())
+    dated = with_totals(metrics, tx, newest=F.max("InvoiceDate")).where(F.col("bought").isNotNull())
     return dated.select(
         "CustomerID", whole_days(F.col("bought"), F.col("newest")).alias("Recency"), "Frequency", "Monetary"
     )
@@ -119,7 +119,7 @@ def rfm_raw_sql(tx: DataFrame) -> DataFrame:
 def rfm_base_full(cleaned: DataFrame) -> DataFrame:
     """Metrics over cleaned lines, recency against one day after the newest."""
     metrics = _customer_metrics(cleaned, F.col("Revenue"), F.lit(True))
-    dated = with_totals(metrics, "rfm", newest=F.max("seen"))
+    dated = with_totals(metrics, cleaned, newest=F.max("InvoiceDate"))
     reference = F.col("newest") + F.expr("interval 1 day")
     return dated.select(
         "CustomerID", whole_days(F.col("bought"), reference).alias("Recency"), "Frequency", "Monetary"
@@ -130,29 +130,68 @@ def validate_rfm_input(df: DataFrame) -> DataFrame:
     return require_columns(df, {"CustomerID", "Recency", "Frequency", "Monetary"})
 
 
-def rfm_scores(rfm: DataFrame, flavour: str = "python", n_quantiles: int = 5) -> DataFrame:
-    """R, F and M scores from 1 to ``n_quantiles``; equal values are told apart by the customer id.
+_METRIC = "decimal(38,10)"
+
 
-    Each score needs one global order of the customers. The first one starts
-    from the metrics, the others from the table the previous one wrote.
+def _cut_points(metrics: DataFrame, names: list[str], flavour: str, n_quantiles: int) -> DataFrame:
+    """One row: per metric of ``names``, the last (value, customer) of every quantile but the highest.
+
+    The customers are counted per value, and the running count says in which
+    value a quantile ends. Only inside those few values are customers put in
+    order; where a quantile ends with the value, no order is needed and the
+    customer is left open.
     """
-    scored = validate_rfm_input(rfm)
-    by_id = F.asc("CustomerID")
+    one = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("v"), F.col("CustomerID").alias("id")) for n in names]))
+    long = metrics.select(one.alias("x")).select("x.*")
+    counts = long.groupBy("name", "v").agg(F.count(F.lit(1)).alias("n"))
+    running = global_running_total(counts, [F.col("name"), F.col("v")], "n", "upto")
+    spans = running.groupBy("name").agg(F.min(F.col("upto") - F.col("n")).alias("start"), F.max("upto").alias("stop"))
+    rows, k = F.col("stop") - F.col("start"), F.col("k")
     if flavour == "sql":
-        # oldest first, so that recent customers land in the high tiles
-        orders = {"R_Score": F.desc("Recency"), "F_Score": F.asc("Frequency"), "M_Score": F.asc("Monetary")}
-        cut, reverse = ntile_of_rank, False
+        last = k * F.floor(rows / n_quantiles) + F.least(k, rows % n_quantiles)
     else:
-        orders = {"R_Score": F.asc("Recency"), "F_Score": F.asc("Frequency"), "M_Score": F.asc("Monetary")}
-        cut, reverse = qcut_of_rank, True
-    for score, order in orders.items():
-        placed = global_row_number(scored, [order, by_id], rank="_place", rows="_rows")
-        value = cut(F.col("_place"), F.col("_rows"), n_quantiles)
-        if score == "R_Score" and reverse:
-            value = F.lit(n_quantiles + 1) - value
-        scored = placed.withColumn(score, value.cast("bigint")).drop("_place", "_rows")
-    digits = [F.col(c).cast("string") for c in orders]
-    return scored.withColumn("RFM_Score", F.concat(*digits))
+        last = F.floor((rows - 1) * k / n_quantiles) + 1
+    tiles = F.explode(F.sequence(F.lit(1), F.lit(n_quantiles - 1))).alias("k")
+    # a row per metric and quantile
+    ends = spans.select("name", "start", "stop", tiles).select("name", "k", (F.col("start") + last).alias("place"))
+    here = running.join(F.broadcast(ends), "name").where((F.col("upto") - F.col("n") < F.col("place")) & (F.col("place") <= F.col("upto")))
+    ends = here.select("name", "v", "k", (F.col("place") - F.col("upto") + F.col("n")).alias("nth"), (F.col("place") == F.col("upto")).alias("whole"))
+    split = ends.where("NOT whole")
+    inside = long.join(F.broadcast(split.select("name", "v").distinct()), ["name", "v"])
+    placed = global_row_number(inside, [F.col("name"), F.col("v"), F.col("id")], rank="rn")
+    before = placed.groupBy("name", "v").agg(F.min("rn").alias("first"))
+    wanted = split.join(before, ["name", "v"]).select("name", "v", "k", (F.col("first") + F.col("nth") - 1).alias("rn"))
+    named = placed.join(F.broadcast(wanted), ["name", "v", "rn"]).select("name", "k", "v", "id")
+    open_ended = ends.where("whole").select("name", "k", "v", F.lit(None).cast("string").alias("id"))
+    cuts = named.unionByName(open_ended)
+    listed = {n: F.collect_list(F.when(F.col("name") == n, F.struct("v", "id"))).alias(f"_{n}") for n in names}
+    return cuts.agg(*listed.values())
+
+
+def rfm_scores(rfm: DataFrame, flavour: str = "python", n_quantiles: int = 5) -> DataFrame:
+    """R, F and M scores from 1 to ``n_quantiles``; equal values are told apart by the customer id.
+
+    The customers are written once, the ends of the quantiles are found and
+    broadcast, and all customers are labelled in one pass.
+    """
+    scored = written(validate_rfm_input(rfm), "rfm")
+    names = ["Recency", "Frequency", "Monetary"]
+    # in the SQL flavour oldest first, so that recent customers land in the high tiles
+    signs = {"Recency": -1 if flavour == "sql" else 1, "Frequency": 1, "Monetary": 1}
+    metrics = scored.select("CustomerID", *[(F.col(n) * signs[n]).cast(_METRIC).alias(n) for n in names])
+    cuts = _cut_points(metrics, names, flavour, n_quantiles)
+    scored = scored.crossJoin(F.broadcast(cuts))
+
+    def tile(name: str) -> Column:
+        value, who = (F.col(name) * signs[name]).cast(_METRIC), F.col("CustomerID")
+        behind = lambda cut: (value > cut["v"]) | ((value == cut["v"]) & (who > cut["id"]))
+        return F.size(F.filter(f"_{name}", behind)) + 1
+
+    for name, score in zip(names, ("R_Score", "F_Score", "M_Score")):
+        number = F.lit(n_quantiles + 1) - tile(name) if name == "Recency" and flavour != "sql" else tile(name)
+        scored = scored.withColumn(score, number.cast("bigint"))
+    digits = [F.col(c).cast("string") for c in ("R_Score", "F_Score", "M_Score")]
+    return scored.drop(*[f"_{n}" for n in names]).withColumn("RFM_Score", F.concat(*digits))
 
 
 def segment_of(r: Column, f: Column, flavour: str = "python") -> Column:

@@ -22,6 +22,9 @@ def local_session(cores: int | str = 8, memory: str = "8g", shuffle_partitions:
     return spark
 
 
+_own: dict[str, str] = {}  # by application, for local sessions that name no folder
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see, as the session names it in ``spark.checkpoint.dir``.
 
@@ -32,6 +35,7 @@ def shared_dir(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="tillroll-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _own:
+        _own[application] = tempfile.mkdtemp(prefix="tillroll-")
+    return _own[application]

@@ -13,21 +13,16 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
 
 from tillroll.schema import COLUMNS, HOME_MARKET
 
-_schemas: dict[tuple[str, str], StructType] = {}
+TABLES = ("lineitem", "orders", "customer", "nation", "part")
 _FROM_PART = {"Description", "Price"}
 _FROM_ORDERS = {"InvoiceDate", "CustomerID", "Country"}
 
 
 def _table(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet table; its footers are read for the schema once per application."""
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _schemas:
-        _schemas[key] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[key]).parquet(path)
+    return spark.read.parquet(path)
 
 
 def _orders(spark: SparkSession, folder: str, wanted: set[str]) -> DataFrame:

@@ -9,15 +9,16 @@ filter pushdown.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from tillroll.session import shared_dir
 
-_stages: dict[tuple[str, str, str], tuple[str, StructType]] = {}
+_stages: dict[tuple[str, str, str], tuple[tuple, str, StructType]] = {}
 
 
 def _home(spark: SparkSession) -> str:
@@ -35,19 +36,31 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def stage(spark: SparkSession, source: str, label: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """A table derived from ``source``, built by the first job of the application that asks for it."""
+def identity(spark: SparkSession, *paths: str) -> tuple:
+    """What changes when a file under ``paths`` does: a digest of all names, sizes and times. No content is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
+    mark = F.xxhash64("path", "length", "modificationTime")
+    return tuple(files.agg(F.count(F.lit(1)), F.sum("length"), F.bit_xor(mark), F.max("modificationTime").cast("string")).first())
+
+
+def stage(spark: SparkSession, source: str, label: str, build: Callable[[], DataFrame], inputs: list[str] | None = None) -> DataFrame:
+    """A table derived from ``source``, built by the first job of the application that asks for it.
+
+    It is built anew when a file of ``inputs`` (by default: of ``source``) has changed since.
+    """
     key = (spark.sparkContext.applicationId, source, label)
-    if key in _stages:
+    now = identity(spark, *(inputs or [source]))
+    if key in _stages and _stages[key][0] == now:
+        _, path, schema = _stages[key]
         try:
-            path, schema = _stages[key]
             return spark.read.schema(schema).parquet(path)
-        except AnalysisException:  # the folder was emptied in between
-            del _stages[key]
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":  # the folder was emptied in between
+                raise
     df = build()
     path = fresh_path(spark, label)
     df.write.parquet(path)
-    _stages[key] = (path, df.schema)
+    _stages[key] = (now, path, df.schema)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -58,3 +71,12 @@ def discard(spark: SparkSession) -> None:
     application = spark.sparkContext.applicationId
     for key in [k for k in _stages if k[0] == application]:
         del _stages[key]
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables written inside, all of them, at the end."""
+    try:
+        yield
+    finally:
+        discard(spark)
