@@ -25,7 +25,7 @@ def scans(df, column: str) -> list[str]:
 @pytest.mark.parametrize("name", [
     "revenue_totals", "revenue_monthly", "revenue_weekly", "customers_frequency_dist", "customers_cohorts",
     "customers_top_spend", "products_top_revenue", "products_best_by_country", "v_product_summary",
-    "adv_purchase_gaps", "cross_sell", "cleaning_report", "adv_country_cumulative", "adv_basket_sizes", "table_profile", "kpi_by",
+    "adv_purchase_gaps", "cross_sell", "cleaning_report", "adv_country_cumulative", "adv_basket_sizes", "table_profile",
 ])
 def test_one_pass_over_the_lines(spark, name):
     plan = executed(QUERIES[name](spark, SMALL))

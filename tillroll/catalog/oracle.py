@@ -7,9 +7,117 @@ depend on a fitted model.
 
 from __future__ import annotations
 
-from tillroll.plans.cleaning import AUDITED
-from tillroll.plans.rfm import PLAYBOOK
-from tillroll.plans.scoring import TIERS
+
+# Steps of the cleaning report, written out apart from the code under test.
+AUDITED = [
+    "Remove Missing Customer ID",
+    "Remove Cancelled Transactions",
+    "Remove Non-Positive Quantities",
+    "Remove Non-Positive Prices",
+    "Remove Duplicates",
+    "Remove Test Accounts & Codes",
+]
+# Segments and their playbook, written out apart from the code under test.
+PLAYBOOK = [
+    (
+        'Champions',
+        'Best customers, buy recently and buy often with high spend.',
+        'Upsell premium products, reward loyalty, seek advocacy.',
+        'Invite to VIP program, early access to new collections, ask for reviews.',
+        'Personalized Email / Dedicated Account Manager',
+    ),
+    (
+        'Loyal Customers',
+        'Buy regularly. Responsive to promotions.',
+        'Maintain engagement, cross-sell related categories.',
+        'Loyalty program points acceleration, recommend companion items.',
+        'Email / Push Notifications',
+    ),
+    (
+        'Potential Loyalists',
+        'Recent shoppers with moderate frequency and spend.',
+        'Increase purchase frequency.',
+        'Offer multi-buy discounts, discount code for next purchase within 30 days.',
+        'SMS / Push Notifications',
+    ),
+    (
+        'New Customers',
+        'Bought very recently but only once.',
+        'Onboard and secure the second purchase.',
+        'Welcome sequence with discount, usage/styling guides, customer support follow-up.',
+        'Email / In-app greetings',
+    ),
+    (
+        'At Risk',
+        "Frequent/big spenders in the past, but haven't purchased in a while.",
+        'Win them back before they churn.',
+        "Send renewal/re-activation discount code, ask feedback, 'We miss you' campaign.",
+        'Personalized Email / Re-targeting Ads',
+    ),
+    (
+        "Can't Lose Them",
+        'Used to make massive purchases often, but inactive for a long time.',
+        'Emergency reactivation.',
+        'High-value direct discount, phone outreach, exclusive renewal offers.',
+        'Personalized Email / Direct Call',
+    ),
+    (
+        'Need Attention',
+        'Above-average recency and frequency, but not quite loyal.',
+        'Nudge into loyal status.',
+        'Limited-time offers, bundle deals based on browse history.',
+        'Email / Web Popups',
+    ),
+    (
+        'About to Sleep',
+        'Below-average recency, frequency and spend. Will lose them if not reactivated.',
+        'Low-cost re-engagement.',
+        'Share popular products list, low value coupon.',
+        'Email / Push',
+    ),
+    (
+        'Hibernating',
+        'Low frequency, low spend, and inactive for a long time.',
+        'Cost-effective recovery attempt.',
+        'Reconstruct value proposition, send massive seasonal clearance campaign.',
+        'Email',
+    ),
+    (
+        'Lost',
+        'Lowest R, F, and M scores. Churned.',
+        'Minimal spend. Abandon unless high acquisition cost justifies it.',
+        'Standard automated newsletter, survey on why they left.',
+        'Email',
+    ),
+]
+# Tiers of acquisition spending, written out apart from the code under test.
+TIERS = [
+    (
+        'VIP',
+        150.0,
+        'VIP Tier: Exclusive Loyalty Program Entry & Dedicated Account Outreach',
+        'Offer invitation to key collections previews and reward bonus acceleration.',
+        '350%',
+        'High (92%)',
+    ),
+    (
+        'Core',
+        40.0,
+        'Core Tier: Targeted Cross-Category Product Bundles Campaign',
+        'Push recommendation emails containing matched item pairs.',
+        '220%',
+        'Medium-High (85%)',
+    ),
+    (
+        'Volume',
+        10.0,
+        'Volume Tier: Low-cost automated reactivation sequences',
+        'Send email sequence highlighting popular discount items.',
+        '140%',
+        'Medium (78%)',
+    ),
+]
+
 
 SPLIT = "TIMESTAMP '2001-05-01'"
 CANCELLED = "starts_with(Invoice, 'C')"
@@ -238,6 +346,15 @@ def scaled(centre: str, spread: str) -> str:
     return q(f"SELECT CustomerID, {columns} FROM features")
 
 
+def scaled_test(centre: str, spread: str) -> str:
+    """The test split in units of the train split; ``{}`` stands for a column of the train split."""
+    side = "CAST('0x' || md5(CustomerID)[1:8] AS BIGINT) % 100 < 80"
+    names = ("Recency", "Frequency", "Monetary", "Is_UK")
+    stats = ", ".join(f"{centre.format(f'CAST({c} AS DOUBLE)')} AS {c}_c, {spread.format(f'CAST({c} AS DOUBLE)')} AS {c}_s" for c in names)
+    columns = ", ".join(f"{rnd(f'(CAST({c} AS DOUBLE) - {c}_c) / COALESCE(NULLIF({c}_s, 0), 1)', 6)} AS {c}" for c in names)
+    return q(f"SELECT CustomerID, {columns} FROM features, (SELECT {stats} FROM features WHERE {side}) WHERE NOT ({side})")
+
+
 def summary(source: str, averages: list[str], names: list[str]) -> str:
     columns = ", ".join(f"{a} AS {n}" for a, n in zip(averages, names[2:6]))
     return q(f"""SELECT Segment AS {names[0]}, COUNT(*) AS {names[1]}, {columns},
@@ -284,6 +401,23 @@ MEASURES = {
 TIER_TABLE = f"(VALUES {values(TIERS)}) AS tiers(Tier, CAC_Cap, Strategy, Next_Action, Expected_ROI, Confidence)"
 
 
+def by_group(*keys: str) -> str:
+    """All eleven measures per group of the lines with their dimensions."""
+    g = ", ".join(keys)
+    same = " AND ".join(f"a.{k} IS NOT DISTINCT FROM b.{k}" for k in keys)
+    fact = """(SELECT cleaned.*, Segment, strftime(InvoiceDate, '%Y') AS Year, 'Q' || quarter(InvoiceDate) AS Quarter
+        FROM cleaned LEFT JOIN rpg USING (CustomerID))"""
+    return q(f"""SELECT a.*, b.* EXCLUDE ({g}) FROM
+        (SELECT {g}, {', '.join(f'{sql} AS {n}' for n, sql in MEASURES.items())} FROM {fact} GROUP BY {g}) AS a JOIN
+        (SELECT {g}, 45.0::DOUBLE AS assumed_cac, {rnd('SUM(CAST(predicted_cltv AS DECIMAL(28, 6)))', 2)} AS total_predicted_cltv,
+          {rnd('AVG(predicted_cltv)', 2)} AS avg_predicted_cltv, COALESCE({rnd('AVG(predicted_cltv) / 45', 4)}, 0) AS ltv_to_cac,
+          CAST(COUNT(*) FILTER (n > 1) AS DOUBLE) / COUNT(*) AS repeat_purchase_rate,
+          CAST(COUNT(*) FILTER (datesub('day', seen, (SELECT MAX(InvoiceDate) FROM cleaned)) > 90) AS DOUBLE) / COUNT(*) AS churn_rate
+          FROM (SELECT {g}, CustomerID, COUNT(DISTINCT Invoice) AS n FROM {fact} GROUP BY {g}, CustomerID)
+          JOIN (SELECT CustomerID, MAX(InvoiceDate) AS seen FROM cleaned GROUP BY CustomerID) USING (CustomerID)
+          LEFT JOIN (SELECT CustomerID, predicted_cltv FROM scored) USING (CustomerID) GROUP BY {g}) AS b ON {same}""")
+
+
 def measure(name: str) -> str:
     return q(f"SELECT {MEASURES[name]} AS {name} FROM cleaned")
 
@@ -324,6 +458,8 @@ ORACLE: dict[str, str] = {
     "join_features": q("SELECT * FROM behaviour"),
     "join_rfm_behaviour": q("SELECT * EXCLUDE (target_revenue) FROM features"),
     "join_target": q("SELECT CustomerID, target_revenue FROM features"),
+    "anti_null_in_list": q(f"""SELECT (SELECT COUNT(*) FROM (SELECT DISTINCT CustomerID FROM s WHERE CustomerID NOT IN (SELECT CustomerID FROM t WHERE {CANCELLED}))) AS not_in_list,
+        (SELECT COUNT(*) FROM t WHERE {CANCELLED} AND CustomerID IS NULL) AS nulls_in_list"""),
     "anti_null_aware": q(f"SELECT DISTINCT CustomerID FROM s WHERE CustomerID NOT IN (SELECT CustomerID FROM t WHERE {CANCELLED} AND CustomerID IS NOT NULL)"),
     "scalar_cross": q("""SELECT CustomerID, MAX(InvoiceDate) AS last_seen, (SELECT MAX(InvoiceDate) FROM t) AS newest,
         datesub('day', MAX(InvoiceDate), (SELECT MAX(InvoiceDate) FROM t)) AS days_since FROM t WHERE CustomerID IS NOT NULL GROUP BY CustomerID"""),
@@ -415,6 +551,8 @@ ORACLE: dict[str, str] = {
     "returning_rate": q(f"""SELECT COUNT(*) AS customers, COUNT(*) FILTER (target_revenue > 0) AS returning_customers,
         {pct('COUNT(*) FILTER (target_revenue > 0)', 'COUNT(*)')} AS returning_pct FROM features"""),
     "scale_standard": scaled("AVG({}) OVER ()", "STDDEV_POP({}) OVER ()"),
+    "scale_test_standard": scaled_test("AVG({})", "STDDEV_POP({})"),
+    "scale_test_minmax": scaled_test("MIN({})", "(MAX({0}) - MIN({0}))"),
     "scale_minmax": scaled("MIN({}) OVER ()", "(MAX({0}) OVER () - MIN({0}) OVER ())"),
     "rfm_raw_sql": q("SELECT CustomerID, Recency, Frequency, CAST(Monetary AS DOUBLE) AS Monetary FROM rs"),
     "rfm_scores_ntile": q("SELECT * EXCLUDE (Segment) REPLACE (CAST(Monetary AS DOUBLE) AS Monetary) FROM rsg"),
@@ -511,7 +649,9 @@ ORACLE: dict[str, str] = {
         COUNT(*) AS invoice_count, {rnd('CAST(SUM(v) AS DOUBLE) / COUNT(v)', 2)} AS avg_basket_value
         FROM (SELECT Invoice, SUM(Quantity) AS u, SUM(r) AS v FROM tr WHERE NOT {CANCELLED} GROUP BY Invoice) GROUP BY 1"""),
     "cross_sell": q(CROSS.format(" AND CustomerID IS NOT NULL")),
-    "cross_sell_strict": q(CROSS.format("")),
+    "cross_sell_strict": q(CROSS.format("").replace("'7'", "'68'")),
+    "cross_sell_strict_guest": q(f"""SELECT (SELECT COUNT(*) FROM ({CROSS.format("").replace("LIMIT 15", "")})) AS strict,
+        (SELECT COUNT(*) FROM ({CROSS.format(" AND CustomerID IS NOT NULL").replace("LIMIT 15", "")})) AS plain"""),
     "adv_quarterly": q("""SELECT strftime(InvoiceDate, '%Y') AS sales_year, 'Q' || quarter(InvoiceDate) AS quarter,
         CAST(SUM(r) AS DOUBLE) AS quarterly_revenue, COUNT(DISTINCT Invoice) AS order_count FROM s GROUP BY 1, 2"""),
     "v_customer_summary": q(CUSTOMER_SUMMARY),
@@ -539,7 +679,10 @@ ORACLE: dict[str, str] = {
         FROM (SELECT UNNEST(generate_series(date_trunc('year', MIN(InvoiceDate)), date_trunc('year', MAX(InvoiceDate)) + INTERVAL 1 YEAR - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS d FROM cleaned)"""),
     "dim_customers": q(f"SELECT c.*, Recency, RFM_Score, Segment FROM ({CUSTOMER_SUMMARY}) AS c LEFT JOIN rpg USING (CustomerID)"),
     "dim_products": PRODUCT_SUMMARY,
-    "kpi_by": q(f"SELECT Country, {', '.join(f'{sql} AS {n}' for n, sql in MEASURES.items())} FROM cleaned GROUP BY Country"),
+    "kpi_by": by_group("Country"),
+    "kpi_by_segment": by_group("Segment"),
+    "kpi_by_quarter": by_group("Year", "Quarter"),
+    "kpi_by_product": by_group("StockCode"),
     "kpi_overview": q(f"""SELECT COUNT(*) AS total_customers, {rnd('AVG(Monetary)', 2)} AS avg_historical_spend,
         {rnd('(SELECT SUM(Monetary) FROM rpg)', 2)} AS total_historical_spend,
         (SELECT 100.0::DOUBLE - CAST(COUNT(*) FILTER (Recency > 90) AS DOUBLE) / COUNT(*) * 100 FROM rpg) AS retention_pct,

@@ -195,6 +195,23 @@ def anti_null_aware(spark, folder):
     return joins.not_in(buyers, cancelled, "CustomerID")
 
 
+def anti_null_in_list(spark, folder):
+    """How many buyers are not in a list that holds a NULL: none, by the rule of NOT IN."""
+    tx = t.lines(spark, folder, "Invoice", "CustomerID")
+    buyers = tx.where(is_valid_sale()).select("CustomerID").distinct()
+    cancelled = tx.where(is_cancelled()).select("CustomerID")
+    left = joins.not_in(buyers, cancelled, "CustomerID").agg(F.count(F.lit(1)).alias("not_in_list"))
+    listed = cancelled.agg(F.count(F.when(F.col("CustomerID").isNull(), 1)).alias("nulls_in_list"))
+    return left.crossJoin(listed)
+
+
+def cross_sell_strict_guest(spark, folder):
+    """Guests bought the product not to have, so that nobody is a prospect; the plain rule finds some."""
+    tx = t.lines(spark, folder, "StockCode", "CustomerID")
+    strict = advanced.cross_sell_strict(tx, **CROSS_SELL, k=10**6).agg(F.count(F.lit(1)).alias("strict"))
+    return strict.crossJoin(advanced.cross_sell(tx, **CROSS_SELL, k=10**6).agg(F.count(F.lit(1)).alias("plain")))
+
+
 def scalar_cross(spark, folder):
     tx = t.lines(spark, folder, "InvoiceDate", "CustomerID")
     last = tx.groupBy("CustomerID").agg(F.max("InvoiceDate").alias("last_seen"))
@@ -466,6 +483,18 @@ def feature_table(spark, folder):
     return features.feature_table(t.cleaned(spark, folder), t.SPLIT, t.PREDICTION_DAYS)
 
 
+def _scaled_test(method):
+    """The test customers in the units of the training ones."""
+
+    def run(spark, folder):
+        columns = ["Recency", "Frequency", "Monetary", "Is_UK"]
+        train, test = t.split(spark, folder)
+        out = features.apply_scaler(test, features.fit_scaler(train, columns, method))
+        return out.select("CustomerID", *[rounded(F.col(c), 6).alias(c) for c in columns])
+
+    return run
+
+
 def _scaled(method):
     def run(spark, folder):
         columns = ["Recency", "Frequency", "Monetary", "Is_UK"]
@@ -542,8 +571,15 @@ def dim_customers(spark, folder):
     return kpis.dim_customers(summary, t.segments(spark, folder))
 
 
-def kpi_by(spark, folder):
-    return kpis.kpi_by(t.cleaned(spark, folder), ["Country"])
+def _kpi_by(*by):
+    def run(spark, folder):
+        fact = t.cleaned(spark, folder)
+        facts = kpis.customer_facts(fact, t.stand_in(spark, folder))
+        out = kpis.kpi_by(kpis.with_dimensions(fact, t.segments(spark, folder)), list(by), customers=facts)
+        digits = {"total_predicted_cltv": 2, "avg_predicted_cltv": 2, "ltv_to_cac": 4}
+        return out.withColumns({c: rounded(F.col(c), d) for c, d in digits.items()})
+
+    return run
 
 
 def kpi_overview(spark, folder):
@@ -745,6 +781,7 @@ QUERIES: dict[str, t.Query] = {
     "join_rfm_behaviour": join_rfm_behaviour,
     "join_target": join_target,
     "anti_null_aware": anti_null_aware,
+    "anti_null_in_list": anti_null_in_list,
     "scalar_cross": scalar_cross,
     "join_strategy": join_strategy,
     "star_join": star_join,
@@ -813,6 +850,8 @@ QUERIES: dict[str, t.Query] = {
     "returning_rate": lambda spark, folder: features.returning_rate(t.feature_table(spark, folder)),
     "scale_standard": _scaled("standard"),
     "scale_minmax": _scaled("minmax"),
+    "scale_test_standard": _scaled_test("standard"),
+    "scale_test_minmax": _scaled_test("minmax"),
     # segments
     "rfm_raw_sql": lambda spark, folder: t.plain(rfm.rfm_raw_sql(t.lines(spark, folder, *rfm.RFM_INPUT))),
     "rfm_scores_ntile": rfm_scores_ntile,
@@ -867,7 +906,8 @@ QUERIES: dict[str, t.Query] = {
     # the fixture has no product with a single buyer
     "products_single_buyer": t.on_lines(products.products_single_buyer, buyers=20),
     "cross_sell": t.on_lines(advanced.cross_sell, **CROSS_SELL),
-    "cross_sell_strict": t.on_lines(advanced.cross_sell_strict, **CROSS_SELL),
+    "cross_sell_strict": t.on_lines(advanced.cross_sell_strict, bought="5", missing="68"),
+    "cross_sell_strict_guest": cross_sell_strict_guest,
     "eda_monthly_trend": _of_cleaned(kpis.eda_monthly_trend),
     "eda_top_countries": _of_cleaned(kpis.eda_top_countries),
     # measures
@@ -885,7 +925,10 @@ QUERIES: dict[str, t.Query] = {
     "dim_date": dim_date,
     "dim_customers": dim_customers,
     "dim_products": t.on_lines(views.v_product_summary),
-    "kpi_by": kpi_by,
+    "kpi_by": _kpi_by("Country"),
+    "kpi_by_segment": _kpi_by("Segment"),
+    "kpi_by_quarter": _kpi_by("Year", "Quarter"),
+    "kpi_by_product": _kpi_by("StockCode"),
     "kpi_overview": kpi_overview,
     # models and scoring
     "daily_run": daily_run,

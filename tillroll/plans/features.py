@@ -272,11 +272,8 @@ def returning_rate(features: DataFrame) -> DataFrame:
     )
 
 
-def scale(df: DataFrame, columns: list[str], method: str = "standard") -> DataFrame:
-    """Standard (population deviation) or min-max scaling; a constant column becomes 0.
-
-    The statistics are one row, taken in one pass.
-    """
+def fit_scaler(df: DataFrame, columns: list[str], method: str = "standard") -> DataFrame:
+    """One row: centre and spread of every column, by population deviation or by range. A constant column's spread is 1."""
     if method not in ("standard", "minmax"):
         raise ValueError(f"unknown scaling method: {method}")
     centre, spread = {
@@ -286,10 +283,18 @@ def scale(df: DataFrame, columns: list[str], method: str = "standard") -> DataFr
     stats = []
     for c in columns:
         value = F.col(c).cast("double")
-        stats += [centre(value).alias(f"_{c}_centre"), spread(value).alias(f"_{c}_spread")]
-    scaled = {
-        c: (F.col(c).cast("double") - F.col(f"_{c}_centre"))
-        / F.when(F.col(f"_{c}_spread") == 0, 1.0).otherwise(F.col(f"_{c}_spread"))
-        for c in columns
-    }
-    return df.crossJoin(F.broadcast(df.agg(*stats))).withColumns(scaled).select(*df.columns)
+        width = spread(value)
+        stats.append(F.struct(centre(value).alias("centre"), F.when(width == 0, 1.0).otherwise(width).alias("spread")).alias(c))
+    return df.agg(*stats)
+
+
+def apply_scaler(df: DataFrame, scaler: DataFrame) -> DataFrame:
+    """``df`` with the columns of a fitted scaler in its units; the scaler may come from other rows."""
+    fitted = F.broadcast(scaler.select(F.struct("*").alias("_fit")))
+    part = lambda c: F.col("_fit")[c]
+    scaled = {c: (F.col(c).cast("double") - part(c)["centre"]) / part(c)["spread"] for c in scaler.columns}
+    return df.crossJoin(fitted).withColumns(scaled).select(*df.columns)
+
+
+def scale(df: DataFrame, columns: list[str], method: str = "standard") -> DataFrame:
+    return apply_scaler(df, fit_scaler(df, columns, method))

@@ -58,14 +58,45 @@ def kpi(fact: DataFrame, *names: str) -> DataFrame:
     return fact.agg(*[MEASURES[n]().alias(n) for n in names])
 
 
-def kpi_by(fact: DataFrame, by: list[str], names: list[str] | None = None) -> DataFrame:
-    """Any measures under any grouping.
+def kpi_by(
+    fact: DataFrame, by: list[str], names: list[str] | None = None, customers: DataFrame | None = None, cac: float = ASSUMED_CAC
+) -> DataFrame:
+    """Any measures under any grouping; with ``customers`` (see ``customer_facts``) all eleven.
 
     Lines are first summed per group, invoice and customer, so that the distinct
-    counts run on invoices instead of lines.
+    counts run on invoices instead of lines. The measures of customers are over
+    those who bought in the group: the repeat rate counts their invoices of the
+    group, days and predictions are those of the customer as a whole.
     """
     invoices = fact.groupBy(*by, "Invoice", "CustomerID").agg(F.sum("Revenue").alias("Revenue"))
-    return invoices.groupBy(*by).agg(*[MEASURES[n]().alias(n) for n in names or MEASURES])
+    sums = invoices.groupBy(*by).agg(*[MEASURES[n]().alias(n) for n in names or MEASURES])
+    if customers is None:
+        return sums
+    members = invoices.groupBy(*by, "CustomerID").agg(F.count(F.lit(1)).alias("orders")).join(customers, "CustomerID", "left")
+    everyone = F.count(F.lit(1))
+    value = F.col("predicted_cltv").cast("decimal(28,6)")
+    of_customers = members.groupBy(*[F.col(c).alias(f"_{c}") for c in by]).agg(
+        F.lit(cac).alias("assumed_cac"),
+        F.sum(value).cast("double").alias("total_predicted_cltv"),
+        mean(value).alias("avg_predicted_cltv"),
+        _or_zero(ratio(mean(value), F.lit(cac))).alias("ltv_to_cac"),
+        _or_zero(ratio(F.count(F.when(F.col("orders") > 1, 1)), everyone)).alias("repeat_purchase_rate"),
+        _or_zero(ratio(F.count(F.when(F.col("DaysSinceLastPurchase") > CHURN_DAYS, 1)), everyone)).alias("churn_rate"),
+    )
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
+    return sums.join(of_customers, same).drop(*[f"_{c}" for c in by])
+
+
+def customer_facts(fact: DataFrame, scored: DataFrame) -> DataFrame:
+    """Per customer: days since the last purchase and the predicted value, for ``kpi_by``."""
+    return days_since_last_purchase(fact).join(scored.select("CustomerID", "predicted_cltv"), "CustomerID", "left")
+
+
+def with_dimensions(fact: DataFrame, segments: DataFrame) -> DataFrame:
+    """Lines with the columns of the star's dimensions: segment, year and quarter beside country and product."""
+    day = F.col("InvoiceDate")
+    dated = fact.withColumns({"Year": year_label(day), "Quarter": quarter_label(day)})
+    return dated.join(segments.select("CustomerID", "Segment"), "CustomerID", "left")
 
 
 def kpi_repeat_rate(fact: DataFrame) -> DataFrame:
