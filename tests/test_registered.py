@@ -9,7 +9,7 @@ import __spark_entry__ as entry
 from tillroll.catalog.oracle import ORACLE
 from tillroll.catalog.queries import QUERIES
 
-SLOW = {"model_gbt", "model_xgb", "model_lgbm", "train_all", "random_search_cv", "model_forest"}
+SLOW = {"model_gbt", "model_xgb", "model_lgbm", "train_all", "random_search_cv"}
 
 
 @pytest.fixture(scope="module")

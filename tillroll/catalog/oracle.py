@@ -312,6 +312,10 @@ def report() -> str:
         COALESCE({pct('o - a', 'o')}, 0) AS total_removed_pct FROM ({steps})""")
 
 
+RULE = "CAST(Recency * 2 + Frequency * 5 + 7 AS DOUBLE)"
+TEST_SIDE = "CAST('0x' || md5(CustomerID)[1:8] AS BIGINT) % 100 >= 80"
+
+
 def regression(actual: str, predicted: str) -> str:
     e = f"({actual} - {predicted})"
     return (
@@ -687,12 +691,20 @@ ORACLE: dict[str, str] = {
         {rnd('(SELECT SUM(Monetary) FROM rpg)', 2)} AS total_historical_spend,
         (SELECT 100.0::DOUBLE - CAST(COUNT(*) FILTER (Recency > 90) AS DOUBLE) / COUNT(*) * 100 FROM rpg) AS retention_pct,
         {rnd('AVG(predicted_cltv)', 2)} AS avg_predicted_cltv FROM scored"""),
+    "model_linear_rule": q(f"SELECT 'LinearRegression' AS Model, {regression('y', 'y')} FROM (SELECT {RULE} AS y FROM features WHERE {TEST_SIDE})"),
+    "feature_importance_rule": q("""SELECT Feature, CASE Feature WHEN 'Frequency' THEN 5.0::DOUBLE WHEN 'Recency' THEN 2.0::DOUBLE ELSE 0.0::DOUBLE END AS Importance
+        FROM (SELECT UNNEST(['Frequency', 'Monetary', 'Recency', 'Tenure', 'Product_Diversity', 'Avg_Basket_Size', 'Avg_Order_Value', 'Avg_Monthly_Spend',
+            'Seasonal_Score_Q4', 'Avg_Purchase_Interval', 'Revenue_Growth', 'Is_UK']) AS Feature)"""),
+    "score_batch_rule": q(f"SELECT CustomerID, {RULE} AS predicted_cltv FROM features"),
+    "score_whatif_rule": q("SELECT CustomerID, CAST(2 + (Frequency + 1) * 5 + 7 AS DOUBLE) AS predicted_cltv FROM features"),
+    "residuals_rule": q(f"SELECT CustomerID, {RULE} AS actual, {RULE} AS predicted, 0.0::DOUBLE AS residual FROM features WHERE {TEST_SIDE}"),
+    "load_best_rule": q(f"SELECT CustomerID, {RULE} AS predicted_cltv, 'LinearRegression' AS model FROM features"),
     "daily_run": q("""SELECT 'cleaning_report' AS table_name, 6::BIGINT AS row_count
         UNION ALL SELECT 'cleaned', COUNT(*) FROM lines
         UNION ALL SELECT 'segments', COUNT(*) FROM rp
         UNION ALL SELECT 'segment_summary', COUNT(DISTINCT Segment) FROM rpg
         UNION ALL SELECT 'features', COUNT(*) FROM f_rfm
-        UNION ALL SELECT 'model_comparison', 2
+        UNION ALL SELECT 'model_comparison', 3
         UNION ALL SELECT 'scored', COUNT(*) FROM f_rfm
         UNION ALL SELECT 'importance', 12
         UNION ALL SELECT 'residuals', COUNT(*) FROM f_rfm WHERE CAST('0x' || md5(CustomerID)[1:8] AS BIGINT) % 100 >= 80"""),

@@ -27,6 +27,7 @@ from tillroll.plans import (
     scoring,
     views,
 )
+from tillroll.plans.features import TARGET
 from tillroll.schema import validate_schema
 from tillroll.sources import files
 from tillroll.staging import fresh_path
@@ -592,11 +593,15 @@ def kpi_overview(spark, folder):
 # --- models
 
 
+# The models of the registered runs that fit several. Boosting, with its hundreds of small jobs, has queries of its own.
+FITTED = ["LinearRegression", "DecisionTree", "RandomForest"]
+
+
 def daily_run(spark, folder):
     """All result tables of one run, with their sizes."""
     out = fresh_path(spark, "daily")
     tables = daily.daily_run(
-        t.lines(spark, folder), out, t.SPLIT, t.PREDICTION_DAYS, ["LinearRegression", "DecisionTree"], tune=False
+        t.lines(spark, folder), out, t.SPLIT, t.PREDICTION_DAYS, FITTED, tune=False
     )
     counts = [
         spark.read.parquet(path).agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
@@ -662,7 +667,7 @@ def model_registry(spark, folder):
 
 def _saved_models(spark, train, test):
     path = fresh_path(spark, "models")
-    for name in ("LinearRegression", "DecisionTree"):
+    for name in FITTED:
         trained = modelling.train_model(train, name, tune=False)
         row = modelling.evaluate([trained], test).first()
         modelling.save_model(trained, path, row.asDict())
@@ -687,7 +692,7 @@ def _linear(spark, folder):
 
 def feature_importance(spark, folder):
     train, _ = t.split(spark, folder)
-    trained = modelling.train_model(train, "RandomForest", tune=False, numTrees=20)
+    trained = modelling.train_model(train, "RandomForest", tune=False)
     return modelling.feature_importance(spark, trained.model)
 
 
@@ -700,6 +705,58 @@ def residuals_stand_in(spark, folder):
     return modelling.residuals(t.stand_in(spark, folder), scoring.PREDICTED)
 
 
+# Fits on a target that is a rule of two features: what a model finds and predicts can then be said in SQL.
+
+
+def _ruled(spark, folder):
+    rule = F.col("Recency") * 2.0 + F.col("Frequency") * 5.0 + 7.0
+    table = t.feature_table(spark, folder).withColumn(TARGET, rule)
+    return table, *modelling.train_test_split(table)
+
+
+def _ruled_model(spark, folder):
+    table, train, test = _ruled(spark, folder)
+    return modelling.train_model(train, "LinearRegression", tune=False), table, test
+
+
+def model_linear_rule(spark, folder):
+    trained, _, test = _ruled_model(spark, folder)
+    out = modelling.evaluate([trained], test)
+    return out.select("Model", *[rounded(F.col(m), 4).alias(m) for m in ("MAE", "RMSE", "R2", "MAPE")])
+
+
+def feature_importance_rule(spark, folder):
+    trained, _, _ = _ruled_model(spark, folder)
+    out = modelling.feature_importance(spark, trained.model)
+    return out.select("Feature", rounded(F.col("Importance"), 4).alias("Importance"))
+
+
+def score_batch_rule(spark, folder):
+    trained, table, _ = _ruled_model(spark, folder)
+    out = scoring.score_batch(trained.model, table)
+    return out.select("CustomerID", rounded(F.col(scoring.PREDICTED), 4).alias(scoring.PREDICTED))
+
+
+def score_whatif_rule(spark, folder):
+    trained, table, _ = _ruled_model(spark, folder)
+    out = scoring.score_whatif(trained.model, table, Recency=1, Frequency=F.col("Frequency") + 1)
+    return out.select("CustomerID", rounded(F.col(scoring.PREDICTED), 4).alias(scoring.PREDICTED))
+
+
+def residuals_rule(spark, folder):
+    trained, _, test = _ruled_model(spark, folder)
+    out = modelling.residuals(trained.model.transform(test))
+    return out.select("CustomerID", *[rounded(F.col(c), 4).alias(c) for c in ("actual", "predicted", "residual")])
+
+
+def load_best_rule(spark, folder):
+    """The saved model with the best score is the one that found the rule."""
+    table, train, test = _ruled(spark, folder)
+    name, model = modelling.load_best(spark, _saved_models(spark, train, test))
+    out = scoring.score_batch(model, table)
+    return out.select("CustomerID", rounded(F.col(scoring.PREDICTED), 4).alias(scoring.PREDICTED), F.lit(name).alias("model"))
+
+
 def permutation_importance(spark, folder):
     return modelling.permutation_importance(*_linear(spark, folder))
 
@@ -951,6 +1008,12 @@ QUERIES: dict[str, t.Query] = {
     "residuals_linear": residuals,
     "permutation_importance": permutation_importance,
     "score_batch": score_batch,
+    "model_linear_rule": model_linear_rule,
+    "feature_importance_rule": feature_importance_rule,
+    "score_batch_rule": score_batch_rule,
+    "score_whatif_rule": score_whatif_rule,
+    "residuals_rule": residuals_rule,
+    "load_best_rule": load_best_rule,
     "score_whatif": score_whatif,
     "cac_tier_threshold": cac_tier_threshold,
     "cac_tier_percentile": cac_tier_percentile,
