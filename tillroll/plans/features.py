@@ -213,10 +213,8 @@ def revenue_growth(times: DataFrame, days: DataFrame) -> DataFrame:
 
 def first_country(times: DataFrame) -> DataFrame:
     """Country of a customer's earliest line that has one; of several at that time the first by name."""
-    seen = times.where(F.col("Country").isNotNull()).groupBy("CustomerID", "Country").agg(
-        F.min("InvoiceDate").alias("since")
-    )
-    return seen.groupBy("CustomerID").agg(F.min_by("Country", F.struct("since", "Country")).alias("Country"))
+    earliest = F.min_by("Country", F.struct("InvoiceDate", "Country"))
+    return times.where(F.col("Country").isNotNull()).groupBy("CustomerID").agg(earliest.alias("Country"))
 
 
 def is_uk(times: DataFrame) -> DataFrame:
@@ -249,12 +247,16 @@ def _behaviour(observed: DataFrame, times: DataFrame, orders: DataFrame) -> Data
 
 def feature_table(cleaned: DataFrame, split: str, days: int = 90) -> DataFrame:
     """Features of everyone who bought before ``split``, with their spend in the ``days`` after it."""
-    observed, prediction = split_windows(cleaned, split, days)
-    times = written(invoice_times(observed), "times")
+    observed, _ = split_windows(cleaned, split, days)
+    until = _moment(split) + F.make_dt_interval(F.lit(days))
+    # both windows are summed to invoices in one pass; the target needs no more than those of the second
+    both = written(invoice_times(cleaned.where(F.col("InvoiceDate") < until)), "times")
+    times, later = both.where(F.col("InvoiceDate") < _moment(split)), both.where(F.col("InvoiceDate") >= _moment(split))
     orders = invoice_days(times).groupBy("CustomerID").agg(
         *_rfm_measures(split), *_basket_measures(), _interval_measure()
     )
-    table = _joined([_behaviour(observed, times, orders), target_revenue(prediction)])
+    target = later.groupBy("CustomerID").agg(F.sum("revenue").cast("double").alias(TARGET))
+    table = _joined([_behaviour(observed, times, orders), target])
     whole = ("Frequency", "Recency", "Tenure", "Product_Diversity", "Is_UK")
     filled = [
         F.coalesce(F.col(c).cast("bigint" if c in whole else "double"), F.lit(0)).alias(c)
