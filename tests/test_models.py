@@ -181,3 +181,11 @@ def test_calendar_covers_whole_years(lines):
     days = kpis.dim_date(tx)
     assert days.count() == 365 + 366
     assert days.agg(F.min("Date").cast("string"), F.max("Date").cast("string")).first() == ("2011-01-01", "2012-12-31")
+
+
+def test_importance_of_a_model_without_weights_is_zero(spark):
+    class Plain:
+        pass
+
+    rows = modelling.feature_importance(spark, Plain(), ["a", "b"]).collect()
+    assert [tuple(r) for r in rows] == [("a", 0.0), ("b", 0.0)]

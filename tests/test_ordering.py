@@ -137,3 +137,12 @@ def test_not_in_follows_sql(spark, listed):
     right.createOrReplaceTempView("r")
     expected = {r["k"] for r in spark.sql("SELECT k FROM l WHERE k NOT IN (SELECT k FROM r)").collect()}
     assert {r["k"] for r in not_in(left, right, "k").collect()} == expected
+
+
+def test_row_part_of_increasing_ids(spark):
+    """The global orders rest on this: the lower 33 bits count the rows of a partition from 0."""
+    rows = spark.range(1000).repartition(7).select(
+        F.spark_partition_id().alias("p"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("r")
+    )
+    per_part = rows.groupBy("p").agg(F.min("r").alias("a"), F.max("r").alias("b"), F.countDistinct("r").alias("n"))
+    assert all(r.a == 0 and r.b == r.n - 1 for r in per_part.collect())

@@ -16,18 +16,16 @@ from tillroll.staging import written
 def _in_order(df: DataFrame, order: list[Column], label: str) -> DataFrame:
     """``df`` written in range partitions, with ``_part`` and ``_row`` giving each row's place.
 
-    ``monotonically_increasing_id`` holds the partition in its upper 31 bits and
-    the row within it in the lower 33. The places are only valid together with
-    the partitioning that made them, hence the written table.
+    ``monotonically_increasing_id`` counts the rows of a partition in its lower
+    33 bits, which a test pins. The places are only valid together with the
+    partitioning that made them, hence the written table.
     """
     place = F.monotonically_increasing_id()
     placed = (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .withColumn("_place", place)
-        .withColumn("_part", F.shiftright("_place", 33))
-        .withColumn("_row", F.col("_place").bitwiseAND((1 << 33) - 1))
-        .drop("_place")
+        .withColumn("_part", F.spark_partition_id())
+        .withColumn("_row", place.bitwiseAND((1 << 33) - 1))
     )
     return written(placed, label)
 

@@ -176,8 +176,7 @@ def star_join(fact: DataFrame, segments: DataFrame, products: DataFrame, calenda
     return (
         sales.join(segments.select("CustomerID", "Segment"), "CustomerID", "left")
         .join(named, "StockCode", "left")
-        # a few thousand days
-        .join(F.broadcast(calendar), "Date", "left")
+        .join(calendar, "Date", "left")
         .groupBy("Segment", "Year", "Quarter")
         .agg(
             F.sum("Revenue").cast("double").alias("net_sales"),

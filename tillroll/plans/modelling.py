@@ -269,10 +269,11 @@ def load_best(spark: SparkSession, folder: str) -> tuple[str, PipelineModel]:
 
 
 def feature_importance(spark: SparkSession, model: Transformer, names: list[str] = FEATURES) -> DataFrame:
-    """Signed coefficients or tree importances, largest first; one row per feature."""
+    """Signed coefficients or tree importances, largest first; one row per feature. A model without either has zeros."""
     last = model.stages[-1] if isinstance(model, PipelineModel) else model
-    weights = last.coefficients if hasattr(last, "coefficients") else last.featureImportances
-    rows = [(n, float(w)) for n, w in zip(names, weights.toArray())]
+    weights = getattr(last, "coefficients", None) or getattr(last, "featureImportances", None)
+    values = weights.toArray() if weights is not None else [0.0] * len(names)
+    rows = [(n, float(w)) for n, w in zip(names, values)]
     return spark.createDataFrame(rows, "Feature string, Importance double").orderBy(F.desc("Importance"), "Feature")
 
 
