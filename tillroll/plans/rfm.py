@@ -156,6 +156,7 @@ def _cut_points(metrics: DataFrame, names: list[str], flavour: str, n_quantiles:
     ends = spans.select("name", "start", "stop", tiles).select("name", "k", (F.col("start") + last).alias("place"))
     here = running.join(F.broadcast(ends), "name").where((F.col("upto") - F.col("n") < F.col("place")) & (F.col("place") <= F.col("upto")))
     ends = here.select("name", "v", "k", (F.col("place") - F.col("upto") + F.col("n")).alias("nth"), (F.col("place") == F.col("upto")).alias("whole"))
+    ends = written(ends, "cuts")  # a row per metric and quantile, read several times below
     split = ends.where("NOT whole")
     inside = long.join(F.broadcast(split.select("name", "v").distinct()), ["name", "v"])
     placed = global_row_number(inside, [F.col("name"), F.col("v"), F.col("id")], rank="rn")
