@@ -61,7 +61,7 @@ def test_equal_texts_have_equal_fingerprints(docs, texts):
     got = {r.doc_id // 3: r.fingerprint for r in fingerprints.fingerprints(docs).collect()}
     assert got[4] == got[5] != got[6]
     assert {len(f) for f in got.values()} == {0, fingerprints.BINS * fingerprints.BITS // 4}
-    assert [i for i, f in got.items() if not f] == [i for i, t in enumerate(texts) if not shingles(t)] or sorted(i for i, f in got.items() if not f) == [i for i, t in enumerate(texts) if not shingles(t)]
+    assert sorted(i for i, f in got.items() if not f) == [i for i, t in enumerate(texts) if not shingles(t)]
 
 
 def test_no_python_in_the_plan(docs):
