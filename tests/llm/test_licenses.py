@@ -64,6 +64,32 @@ def test_differences_name_the_wording():
     assert licenses.differences(template, ["a", "z"])[0] == "other"
 
 
+def found_in(text):
+    return [(text[f["start"] : f["end"]], f["license"], f["wording"]) for f in licenses.findings_of(text)]
+
+
+def test_every_notice_of_a_block_is_found():
+    apache, mit, cc = "Licensed under the Apache License, Version 2.0.", "Released under the MIT License.", "Licensed under CC BY 4.0."
+    named = {apache: "Apache-2.0", mit: "MIT", cc: "CC-BY-4.0"}
+    assert found_in(f"{apache}\n{mit}") == [(apache, "Apache-2.0", "exact"), (mit, "MIT", "exact")]
+    texts = [apache, mit, "Nothing here.", cc, mit, mit, apache]
+    assert found_in(" ".join(texts)) == [(t, named[t], "exact") for t in texts if t in named]
+    both = [t for name, t in licenses.TEMPLATES if name.startswith("GPL") and name.endswith("later")]
+    assert found_in("\n".join(both)) == [(both[0], "GPL-3.0-or-later", "exact"), (both[1], "GPL-2.0-or-later", "exact")]
+    changed = [t.replace("redistribute it", "share it") for t in both]
+    assert found_in(" ".join(changed)) == [(changed[0], "GPL-3.0-or-later", "variant"), (changed[1], "GPL-2.0-or-later", "variant")]
+
+
+def test_all_templates_in_one_block():
+    text = "\n".join(t for _, t in licenses.TEMPLATES)
+    assert [(f["template"], f["wording"]) for f in licenses.findings_of(text)] == [(n, "exact") for n in range(len(licenses.TEMPLATES))]
+
+
+def test_a_longer_template_that_ranks_first_hides_no_exact_one():
+    cc = "Licensed under CC BY 4.0."
+    assert found_in(f"{cc} This program is free software under the terms of its License.") == [(cc, "CC-BY-4.0", "exact")]
+
+
 def test_empty_table(docs):
     assert licenses.scan_licenses(docs.limit(0)).count() == 0
     assert docs.select(licenses.findings(F.col("text"))).limit(0).count() == 0

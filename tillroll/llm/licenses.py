@@ -80,6 +80,7 @@ COVERED = 0.8
 FINDING = "array<struct<start:long,end:long,license:string,template:int,reduction:double,wording:string,differences:array<string>>>"
 _SENTENCE = re.compile(r"(?:[^\n.!?]|[.!?](?!\s|$))+[.!?]*", re.MULTILINE)
 _WORD = re.compile(r"\w+")
+_STOP = re.compile(r"[.:!?]*")
 
 
 def _words(text: str) -> list[str]:
@@ -99,7 +100,7 @@ def _compressors(templates):
 
 
 def blocks(text: str) -> list[tuple[int, int]]:
-    """(start, end) of the runs of sentences that may hold a license."""
+    """(start, end) of the runs of sentences that may hold licenses."""
     if not any(h in text.lower() for h in HINTS):
         return []
     runs: list[list[int]] = []
@@ -116,41 +117,125 @@ def blocks(text: str) -> list[tuple[int, int]]:
     return [(a, b) for a, b in runs]
 
 
-def differences(template: list[str], block: list[str]) -> tuple[str, list[str]]:
-    """The wording of a block against a template: exact, variant or other, and where it differs."""
-    size = len(template)
-    for at in range(len(block) - size + 1):
+def _occurrences(template: list[str], block: list[str]) -> list[int]:
+    """Where the words of a template stand in a row, without overlaps."""
+    size, out, at = len(template), [], 0
+    while template:
+        try:
+            at = block.index(template[0], at, len(block) - size + 1)
+        except ValueError:
+            break
         if block[at : at + size] == template:
-            return "exact", []
-    match = difflib.SequenceMatcher(None, template, block, autojunk=False)
+            out.append(at)
+            at += size
+        else:
+            at += 1
+    return out
+
+
+def _variant(match: difflib.SequenceMatcher, size: int) -> list | None:
+    """The matching blocks, if they cover enough of the template."""
     found = [m for m in match.get_matching_blocks() if m.size]
-    if not found or sum(m.size for m in found) < COVERED * size:
-        return "other", []
+    return found if found and sum(m.size for m in found) >= COVERED * size else None
+
+
+def _changes(match: difflib.SequenceMatcher, found: list, template: list[str], block: list[str]) -> list[str]:
     low, high = found[0].b, found[-1].b + found[-1].size  # the stretch of the block that the template covers
     changes = []
     for kind, a, b, c, d in match.get_opcodes():
         if kind == "equal" or (a == b and (d <= low or c >= high)):
             continue
         changes.append(f"{' '.join(template[a:b])} -> {' '.join(block[max(c, low):min(d, high)])}")
-    return "variant", changes
+    return changes
+
+
+def differences(template: list[str], block: list[str]) -> tuple[str, list[str]]:
+    """The wording of a block against a template: exact, variant or other, and where it differs."""
+    if _occurrences(template, block):
+        return "exact", []
+    match = difflib.SequenceMatcher(None, template, block, autojunk=False)
+    found = _variant(match, len(template))
+    return ("variant", _changes(match, found, template, block)) if found else ("other", [])
+
+
+def _near(match: difflib.SequenceMatcher, template: list[str], block: list[str]):
+    """(low, high, matched words, differences) of a variant close to the longest run of words shared with the block."""
+    size = len(template)
+    match.set_seq1(template)
+    run = match.find_longest_match()
+    first = max(0, run.b - run.a - size)
+    window = block[first : run.b - run.a + 2 * size]
+    inner = difflib.SequenceMatcher(None, template, window, autojunk=False)
+    found = _variant(inner, size) if run.size else None
+    if not found:
+        return None
+    words = {first + m.b + n for m in found for n in range(m.size)}
+    return min(words), max(words) + 1, words, _changes(inner, found, template, window)
+
+
+def _notice(order: list[int], wording: list[list[str]], block: list[str]):
+    """(template, low, high, kind, differences) of the first template in ``order`` that the words of a block confirm."""
+    exact = {n: at for n in order if (at := _occurrences(wording[n], block))}
+    match = difflib.SequenceMatcher(None, [], block, autojunk=False)
+    for n in order:
+        if n in exact:
+            # a template that is part of another one that stands here as well
+            n = max(exact, key=lambda m: len(wording[m]) if m == n or _occurrences(wording[n], wording[m]) else 0)
+            return n, exact[n][0], exact[n][0] + len(wording[n]), "exact", []
+        near = _near(match, wording[n], block)
+        if not near:
+            continue
+        low, high, words, changes = near
+        for m, places in exact.items():
+            for at in places:
+                end = at + len(wording[m])
+                if at < high and end > low and not words.issuperset(range(at, end)):
+                    return m, at, end, "exact", []
+        return n, low, high, "variant", changes
+    return None
+
+
+def _apart(best: int, template: list[str], block: list[str]):
+    """Like ``_notice``: a variant of one template, however far its words lie apart."""
+    match = difflib.SequenceMatcher(None, template, block, autojunk=False)
+    found = _variant(match, len(template))
+    return found and (best, found[0].b, found[-1].b + found[-1].size, "variant", _changes(match, found, template, block))
+
+
+def _gains(text: str, plain, primed) -> list[float]:
+    raw = text.encode()
+    size = len(plain.compress(raw))
+    return [(size - len(c.compress(raw))) / size for c in primed]
 
 
 def findings_of(text: str, templates=TEMPLATES) -> list[dict]:
     plain, primed, wording = _compressors(templates)
     out = []
-    for start, end in blocks(text):
-        raw = text[start:end].encode()
-        size = len(plain.compress(raw))
-        gains = [(size - len(c.compress(raw))) / size for c in primed]
-        words = _words(text[start:end])
-        best = max(range(len(gains)), key=lambda n: (gains[n], -n))
-        kind, changes = differences(wording[best], words)
-        if kind != "other":
+    pieces = [(start, end, True) for start, end in blocks(text)]
+    while pieces:
+        start, end, is_block = pieces.pop()
+        piece = text[start:end]
+        if not any(h in piece.lower() for h in HINTS):
+            continue
+        spans = [(start + w.start(), start + w.end()) for w in _WORD.finditer(piece)]
+        words = [text[a:b].lower() for a, b in spans]
+        gains = _gains(piece, plain, primed)
+        order = sorted(range(len(gains)), key=lambda n: (-gains[n], n))
+        notice = _notice(order, wording, words) or (is_block and _apart(order[0], wording[order[0]], words))
+        if not notice:
+            continue
+        n, low, high, kind, changes = notice
+        behind = start
+        for at in _occurrences(words[low:high], words):  # repeated notices at once
+            a, b = spans[at][0], _STOP.match(text, spans[at + high - low - 1][1], end).end()
             out.append({
-                "start": start, "end": end, "license": templates[best][0], "template": best, "reduction": gains[best],
+                "start": a, "end": b, "license": templates[n][0], "template": n, "reduction": _gains(text[a:b], plain, primed[n : n + 1])[0],
                 "wording": kind, "differences": changes,
             })
-    return out
+            pieces.append((behind, a, False))
+            behind = b
+        pieces.append((behind, end, False))
+    return sorted(out, key=lambda f: f["start"])
 
 
 def findings(text: Column | str, templates=TEMPLATES) -> Column:
