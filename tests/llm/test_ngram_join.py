@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tillroll.llm import ngram_join, shingles
 from tillroll.llm.components import components
@@ -71,6 +72,35 @@ def test_equals_brute_force(docs, texts, options):
         assert {i: r.n_links for i, r in got.items()} == dict(enumerate(links))
 
 
+def test_runs_are_repeated_until_the_recall_is_reached(spark):
+    """Pairs just above the threshold among documents that share most shingles with all others."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(8))
+    shared, texts = [word() for _ in range(60)], []
+    for _ in range(60):
+        own = [word() for _ in range(40)]
+        copy = shared + own
+        copy[95:] = [word() for _ in range(5)]
+        copy[63] = word()
+        texts += [" ".join(shared + own), " ".join(copy)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    _, links = brute_force(texts)
+    assert set(links) == {1}
+    found = ngram_join.similar_documents(docs, runs=3, limit=4).agg(F.sum("n_links")).first()[0]
+    assert found >= 0.95 * sum(links)  # three runs alone find fewer
+
+
+def test_needed_runs():
+    one = [ngram_join.meeting(d, 0.8, 64, 1) for d in range(1, 6)]
+    assert [round(p, 2) for p in one] == [0.64, 0.47, 0.38, 0.32, 0.27]
+    needs = [ngram_join.needed_runs(d, 0.8, 64, 0.95) for d in range(1, 14)]
+    assert needs == sorted(needs) and needs[3] <= ngram_join.RUNS < needs[5]
+    for depth, runs in enumerate(needs, 1):
+        assert ngram_join.meeting(depth, 0.8, 64, runs) >= 0.95 > ngram_join.meeting(depth, 0.8, 64, runs - 1)
+    with pytest.raises(ValueError):
+        ngram_join.needed_runs(3, 0.8, 64, 1.0)
+
+
 def test_one_document_of_each_class_stays(docs, texts):
     classes, _ = brute_force(texts)
     out = ngram_join.deduplicated(docs)

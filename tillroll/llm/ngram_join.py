@@ -6,9 +6,11 @@ chosen paths: in every run a node of the recursion draws positions, ``1 / thresh
 its sets by the shingle they have there. Buckets of one are dropped, buckets of at most ``limit`` are compared by brute
 force, larger ones are split again, each with draws of its own. Pairs that are similar enough meet in every step of a
 path more often than once, others die out. Large buckets whose sets are like one of theirs would split forever; they are
-compared by brute force as well. A single path misses a pair now and then, ``runs`` paths do not: a pair
-that is only just similar and is compared ``d`` splits deep meets in one run with probability 0.63, 0.47, 0.37, 0.31,
-0.27 for d = 1 to 5, hence in ten runs with at least 0.95.
+compared by brute force as well. A single path misses a pair now and then, and the more often the deeper it goes: a pair
+that is only just similar and is compared ``d`` splits deep meets in one run with probability 0.64, 0.47, 0.38, 0.32,
+0.27 for d = 1 to 5, and 0.13 for d = 13. Hence all sets go through ``runs`` runs, and those whose buckets were split so often
+that this is too little for ``recall`` through as many more as their depth needs, until no set lies deeper than its runs allow.
+Both sets of a pair go as deep as the pair, so both take part in the runs that it needs.
 
 Buckets are compared in blocks of about ``block`` sets, a pair of blocks per group, so that no bucket lands in one task.
 Pairs that agree at enough positions are kept by the first of the buckets that both sets share, and only there, so
@@ -22,6 +24,8 @@ text are read, so extra columns cannot clash. An empty table gives no rows.
 
 from __future__ import annotations
 
+import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,10 +38,13 @@ from tillroll.staging import written
 
 THRESHOLD = 0.8
 RUNS = 10
+#: Least probability to meet of a pair whose similarity is the threshold.
+RECALL = 0.95
 POSITIONS = 64
 LIMIT = 256
 BLOCK = 256
 DEPTH = 12
+MOST_RUNS = 4096
 #: Pairs whose share of equal positions is so far below the threshold are not verified: 4 standard deviations.
 MARGIN = 0.2
 _SET = "struct<n:int,d1:long,d2:long,sketch:array<int>>"
@@ -201,8 +208,37 @@ def _tokens(text: Column, width: int) -> Column:
     return pack(text)
 
 
-def _leaves(sets: DataFrame, threshold: float, runs: int, positions: int, limit: int) -> DataFrame:
-    """(key, set, size) of all buckets that are to be compared."""
+def meeting(depth: int, threshold: float, positions: int, runs: int) -> float:
+    """How likely a pair at the threshold meets in one of ``runs`` runs, if it is compared after ``depth`` splits.
+
+    The positions the pair agrees at are the same in every run; their number varies from pair to pair.
+    """
+    total = 0.0
+    for agree in range(positions + 1):
+        alive = 1.0
+        for _ in range(depth):
+            alive = 1 - (1 - alive / (threshold * positions)) ** agree
+        total += math.comb(positions, agree) * threshold**agree * (1 - threshold) ** (positions - agree) * (1 - (1 - alive) ** runs)
+    return total
+
+
+def needed_runs(depth: int, threshold: float, positions: int, recall: float) -> int:
+    """The least number of runs after which a pair at the threshold has met with probability ``recall``."""
+    if not 0 < recall < 1:
+        raise ValueError("recall must lie between 0 and 1")
+    high = 1
+    while meeting(depth, threshold, positions, high) < recall:
+        high *= 2
+        if high > MOST_RUNS:
+            raise ValueError(f"a recall of {recall} needs more than {MOST_RUNS} runs")
+    return next(n for n in range(high // 2, high + 1) if n and meeting(depth, threshold, positions, n) >= recall)
+
+
+def _paths(sets: DataFrame, starts: DataFrame, threshold: float, positions: int, limit: int) -> tuple[DataFrame, DataFrame]:
+    """(key, set, size) of the buckets that are to be compared, and (set, depth): how deep the buckets of a set lie.
+
+    ``starts`` are (path, set, sketch) of the runs to make.
+    """
     draw = int(threshold * positions * 1_000_000)
 
     def split(nodes: DataFrame) -> DataFrame:
@@ -223,13 +259,13 @@ def _leaves(sets: DataFrame, threshold: float, runs: int, positions: int, limit:
         sizes = sizes.groupBy("size", "members", "parity").agg(F.min("key").alias("key"))
         return written(keyed.join(sizes.select("key", "size"), "key"), "path-buckets")
 
-    root = F.explode(F.sequence(F.lit(1).cast("long"), F.lit(runs).cast("long")))
-    buckets = split(sets.select("set", "sketch", root.alias("path")))
+    buckets = split(starts)
     found = buckets.where(F.col("size") <= limit)
-    for _ in range(DEPTH):
+    depths = found.select("set", F.lit(1).alias("depth"))
+    for depth in range(1, DEPTH + 1):
         large = buckets.where(F.col("size") > limit)
         if large.isEmpty():
-            return found
+            return found, depths
         nodes = large.withColumnRenamed("key", "path").join(sets.select("set", "sketch"), "set")
         # how much the sets of a bucket are like one of them; buckets of similar sets would not come apart
         pivot = nodes.groupBy("path").agg(F.min_by("sketch", F.xxhash64("set", "path")).alias("pivot"))
@@ -238,15 +274,42 @@ def _leaves(sets: DataFrame, threshold: float, runs: int, positions: int, limit:
         near = written(near.select("path", (F.col("near") >= threshold - MARGIN).alias("dense")), "path-density")
         nodes = written(nodes.join(near, "path"), "path-large")
         dense = nodes.where("dense").select(F.col("path").alias("key"), "set", "size")
+        # a set that is split once more may be lost by that, and then lies in no bucket of the next depth
+        depths = depths.unionByName(nodes.select("set", F.when(F.col("dense"), depth).otherwise(depth + 1).alias("depth")))
         buckets = split(nodes.where("NOT dense").select("path", "set", "sketch"))
         found = found.unionByName(dense).unionByName(buckets.where(F.col("size") <= limit))
     # what has not come apart by now is compared as it is, in blocks
-    return found.unionByName(buckets.where(F.col("size") > limit))
+    return found.unionByName(buckets.where(F.col("size") > limit)), depths
 
 
-def _links(texts: DataFrame, sets: DataFrame, threshold: float, width: int, runs: int, limit: int, block: int) -> DataFrame:
+def _leaves(sets: DataFrame, threshold: float, runs: int, positions: int, limit: int, recall: float) -> DataFrame:
+    """(key, set, size) of all buckets that are to be compared, of as many runs as the recall needs."""
+    needs = [max(runs, needed_runs(max(d, 1), threshold, positions, recall)) for d in range(DEPTH + 2)]
+    asked = F.get(F.array(*map(F.lit, needs)), F.col("depth"))
+    root = F.explode(F.sequence(F.lit(1).cast("long"), F.lit(runs).cast("long")))
+    found, depths = _paths(sets, sets.select("set", "sketch", root.alias("path")), threshold, positions, limit)
+    if needs[1] > runs:  # then even sets without a bucket, and else only those that lie deep
+        depths = depths.unionByName(sets.select("set", F.lit(1).alias("depth")))
+    deepest = depths.where(asked > runs).groupBy("set").agg(F.max(asked).alias("needed"))
+    state = written(deepest.select("set", F.lit(runs).alias("done"), "needed"), "path-runs")
+    for again in itertools.count(1):  # the depth, and with it the number of runs, has a bound
+        low = state.where("needed > done").agg(F.min("done")).first()[0]
+        if low is None:
+            return found
+        # sets that lie deeper than before meet in new runs with those that were known to lie so deep
+        run = F.explode(F.sequence(F.lit(low + 1).cast("long"), F.col("needed").cast("long")))
+        starts = state.where(F.col("needed") > low).join(sets.select("set", "sketch"), "set").select("set", "sketch", run.alias("run"))
+        starts = starts.select("set", "sketch", F.xxhash64(F.lit(again), "run").alias("path"))
+        more, depths = _paths(sets, starts, threshold, positions, limit)
+        found = found.unionByName(more)
+        deepest = depths.groupBy("set").agg(F.max(asked).alias("asked"))
+        state = state.join(deepest, "set", "left").select("set", F.col("needed").alias("done"), F.greatest("needed", "asked").alias("needed"))
+        state = written(state, "path-runs")
+
+
+def _links(texts: DataFrame, sets: DataFrame, threshold: float, width: int, runs: int, limit: int, block: int, recall: float) -> DataFrame:
     """(set, root, links) of the sets that are similar to another, a row per place where they were compared."""
-    leaves = written(_leaves(sets, threshold, runs, POSITIONS, limit), "path-leaves")
+    leaves = written(_leaves(sets, threshold, runs, POSITIONS, limit, recall), "path-leaves")
     buckets = leaves.groupBy("set").agg(F.collect_list("key").alias("buckets"))
     facts = sets.select("set", "n", "sketch").join(buckets, "set")
     blocks = F.ceil(F.col("size") / block).cast("int")
@@ -296,7 +359,7 @@ def _at(texts: DataFrame, wanted: DataFrame, how: str) -> DataFrame:
     return texts.join(wanted.hint("shuffle_hash"), _KEY, how).dropDuplicates(_KEY)
 
 
-def _classes(texts: DataFrame, threshold: float, width: int, runs: int, limit: int, block: int) -> DataFrame:
+def _classes(texts: DataFrame, threshold: float, width: int, runs: int, limit: int, block: int, recall: float) -> DataFrame:
     """``texts`` as (row, id, ih, th, class_row, class_id, n_links)."""
     signed = texts.select(F.monotonically_increasing_id().alias("row"), "id", *_KEY, signature(F.col("text"), width, POSITIONS).alias("s"))
     signed = written(signed.select("row", "id", *_KEY, "s.*"), "signatures")
@@ -306,7 +369,7 @@ def _classes(texts: DataFrame, threshold: float, width: int, runs: int, limit: i
     first = signed.select(F.col("row").alias("set"), *_KEY, "sketch")
     sets = written(held.where("n > 0").join(first, "set").select("set", "n", "copies", *_KEY, "sketch"), "set-sketches")
 
-    links = _links(texts, sets, threshold, width, runs, limit, block)
+    links = _links(texts, sets, threshold, width, runs, limit, block, recall)
     root = written(components(links.select(F.col("set").alias("a"), F.col("root").alias("b"))), "roots")
     total = links.groupBy("set").agg(F.sum("links").alias("links"))
     per_set = held.join(root.withColumnRenamed("node", "set"), "set", "left").join(total, "set", "left")
@@ -320,13 +383,13 @@ def _classes(texts: DataFrame, threshold: float, width: int, runs: int, limit: i
 
 def similar_documents(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, width: int = WIDTH,
-    runs: int = RUNS, limit: int = LIMIT, block: int = BLOCK,
+    runs: int = RUNS, limit: int = LIMIT, block: int = BLOCK, recall: float = RECALL,
 ) -> DataFrame:
     """One row per document: the id, ``class_id`` and ``n_links``, the number of other documents it is similar to.
 
-    A class holds the documents that links connect.
+    A class holds the documents that links connect. ``runs`` are made for all sets; more follow where ``recall`` needs them.
     """
-    classes = _classes(_texts(docs, id_col, text_col), threshold, width, runs, limit, block)
+    classes = _classes(_texts(docs, id_col, text_col), threshold, width, runs, limit, block, recall)
     return classes.select(F.col("id").alias(id_col), "class_id", "n_links")
 
 
@@ -335,7 +398,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Of rows with that id and equal texts, any one stays.
     """
-    settings = {"threshold": THRESHOLD, "width": WIDTH, "runs": RUNS, "limit": LIMIT, "block": BLOCK} | options
+    settings = {"threshold": THRESHOLD, "width": WIDTH, "runs": RUNS, "limit": LIMIT, "block": BLOCK, "recall": RECALL} | options
     classes = written(_classes(_texts(docs, id_col, text_col), **settings), "classes")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", *_KEY))
     keep = classes.groupBy("class_row").agg(first.alias("f")).select("f.ih", "f.th").distinct()
