@@ -89,6 +89,18 @@ def test_the_mix_repeats_documents(spark):
     assert counts == {i: v[2] for i, v in got.items() if v[2]}
 
 
+def test_a_source_without_words_keeps_its_weight(spark):
+    rows = [(i, "w " * 10, s, "", "") for i, s in enumerate("bcd" * 100)]
+    rows += [(1000, None, "a", "", ""), (1001, " \n", "a", "", ""), (1002, "", "bb", "", "")]
+    got = mixed(spark.createDataFrame(rows, SCHEMA))
+    taken = dict.fromkeys(("a", "b", "bb", "c", "d"), 0)
+    for source, size, copies, _ in got.values():
+        taken[source] += size * copies
+    wanted = mixing.targets({"a": 0, "b": 1000, "bb": 0, "c": 1000, "d": 1000})
+    assert all(abs(taken[s] - wanted[s]) <= 20 for s in wanted)
+    assert [round(wanted[s] / wanted["c"], 6) for s in ("b", "c", "d")] == [2, 1, 2]
+
+
 def test_overlapping_sources(spark):
     rows = [(i, "w " * 10, s) for i, s in enumerate([["a"], ["a", "b"], ["b"], ["b", "a"]] * 50)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, sources array<string>")

@@ -144,12 +144,14 @@ def mix(docs: DataFrame, size: Column, sources: Column, key: Column, repeats: in
     rows = written(rows.withColumn("slice", F.pmod(F.shiftright("place", 20), F.lit(slices))), "mix-rows")
     in_slices = written(rows.groupBy("sources", "slice").agg(F.sum("size").alias("words")), "mix-slices")
     laps = in_slices.groupBy("sources").agg(F.sum("words").alias("lap"))
-    capacity = {tuple(r.sources): r.lap for r in laps.collect() if r.lap}  # one row per pattern
+    held = {tuple(r.sources): r.lap for r in laps.collect()}  # one row per pattern
     sizes: dict = defaultdict(int)
-    for member in {s for p in capacity for s in p}:
-        sizes[member] = sum(words for p, words in capacity.items() if member in p)
+    for pattern, words in held.items():
+        for member in pattern:
+            sizes[member] += words  # a source without words has its place among the weights as well
+    capacity = {p: words for p, words in held.items() if words}
     # overlapping sources hold more together than all documents; the quotas share what there is
-    share = sum(capacity.values()) / sum(sizes.values()) if sizes else 0
+    share = sum(capacity.values()) / sum(sizes.values()) if capacity else 0
     quota = {s: int(q * share) for s, q in targets(sizes, repeats).items()}
     flow = least_cost_flow(capacity, quota, repeats)
 
