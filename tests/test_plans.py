@@ -93,3 +93,8 @@ def test_building_a_frame_runs_no_query(spark, name):
     frame = QUERIES[name](spark, SMALL)
     started = spark._jsc.sc().dagScheduler().nextJobId() - before
     assert frame.columns and started <= 5  # schemas, and whether the staged tables are still those of their input
+
+
+def test_prospects_are_counted_without_a_limit(spark):
+    plan = executed(QUERIES["cross_sell_strict_guest"](spark, SMALL))
+    assert "Limit" not in plan and "TakeOrdered" not in plan and "Sort " not in plan

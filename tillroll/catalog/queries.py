@@ -209,8 +209,8 @@ def anti_null_in_list(spark, folder):
 def cross_sell_strict_guest(spark, folder):
     """Guests bought the product not to have, so that nobody is a prospect; the plain rule finds some."""
     tx = t.lines(spark, folder, "StockCode", "CustomerID")
-    strict = advanced.cross_sell_strict(tx, **CROSS_SELL, k=10**6).agg(F.count(F.lit(1)).alias("strict"))
-    return strict.crossJoin(advanced.cross_sell(tx, **CROSS_SELL, k=10**6).agg(F.count(F.lit(1)).alias("plain")))
+    strict = advanced.cross_sell_strict(tx, **CROSS_SELL, k=None).agg(F.count(F.lit(1)).alias("strict"))
+    return strict.crossJoin(advanced.cross_sell(tx, **CROSS_SELL, k=None).agg(F.count(F.lit(1)).alias("plain")))
 
 
 def scalar_cross(spark, folder):

@@ -125,17 +125,21 @@ def _buyers(tx: DataFrame, bought: str, missing: str) -> DataFrame:
     )
 
 
+def _first_customers(customers: DataFrame, k: int | None) -> DataFrame:
+    return customers if k is None else top_rows(customers, [F.asc("CustomerID")], k)
+
+
 @reads("StockCode", "CustomerID")
-def cross_sell(tx: DataFrame, bought: str = "85123A", missing: str = "84029E", k: int = 15) -> DataFrame:
-    """Customers who bought one product and never the other."""
+def cross_sell(tx: DataFrame, bought: str = "85123A", missing: str = "84029E", k: int | None = 15) -> DataFrame:
+    """Customers who bought one product and never the other: the first ``k`` of them, or all, in no order, if ``k`` is None."""
     prospects = _buyers(tx, bought, missing).where(
         F.col("CustomerID").isNotNull() & F.col("has") & ~F.col("has_other")
     )
-    return top_rows(prospects.select("CustomerID"), [F.asc("CustomerID")], k)
+    return _first_customers(prospects.select("CustomerID"), k)
 
 
 @reads("StockCode", "CustomerID")
-def cross_sell_strict(tx: DataFrame, bought: str = "85123A", missing: str = "84029E", k: int = 15) -> DataFrame:
+def cross_sell_strict(tx: DataFrame, bought: str = "85123A", missing: str = "84029E", k: int | None = 15) -> DataFrame:
     """The same under the literal NOT IN rule: one guest purchase of the other product empties the result.
 
     Guests are counted apart; Spark would broadcast the whole list of a NOT IN.
@@ -144,7 +148,7 @@ def cross_sell_strict(tx: DataFrame, bought: str = "85123A", missing: str = "840
     others = tx.where(F.col("StockCode") == missing)
     flagged = with_totals(_buyers(tx, bought, missing), others, guests=F.count(F.when(who.isNull(), 1)))
     prospects = flagged.where((F.col("guests") == 0) & who.isNotNull() & F.col("has") & ~F.col("has_other"))
-    return top_rows(prospects.select("CustomerID"), [F.asc("CustomerID")], k)
+    return _first_customers(prospects.select("CustomerID"), k)
 
 
 @reads("Invoice", "Quantity", "InvoiceDate", "Price", "CustomerID", cancelled=False)
