@@ -80,3 +80,9 @@ def test_features_of_odd_texts():
     assert all(v == 0 for v in toxicity.feature_row("", kinds))
     row = dict(zip(names, toxicity.feature_row("YOU IDIOT!! 1d10t id1ot sooo", kinds)))
     assert row["strong_count"] > 0 and row["near_you"] == 1 and row["masked_strong"] >= 1 and row["capitals"] > 0 and row["stretched"] > 0
+
+
+def test_shouted_words_count_in_long_texts():
+    kinds = toxicity._kinds(toxicity.Lexicon(frozenset(), frozenset()))
+    row = dict(zip(toxicity.FEATURES, toxicity.feature_row("word " * 1000 + "IDIOT " * 100, kinds)))
+    assert row["shouted"] == 100 / 1100

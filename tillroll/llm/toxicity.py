@@ -100,7 +100,7 @@ def feature_row(text: str, kinds: dict[str, int]) -> list[float]:
     near = sum(not YOU.isdisjoint(words[max(0, i - NEAR) : i + NEAR + 1]) for i in strong)
     chars = max(1, len(text))
     capitals = sum(map(str.isupper, text)) if not text.islower() else 0
-    shouted = sum(w.isupper() for w in _WORD.findall(text) if len(w) > 2) if capitals > len(words) else 0
+    shouted = sum(w.isupper() for w in _WORD.findall(text) if len(w) > 2) if capitals else 0
     masked = [m.lower() for m in _MASKED.findall(text)]
     plain = [re.sub(r"[^\w]|_", "", m.translate(_LEET)) for m in masked]
     return [
