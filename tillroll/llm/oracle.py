@@ -89,10 +89,41 @@ WITH parts AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
+_BYTES = "list_transform(generate_series(1, octet_length(encode(w))), lambda i: CAST('0x' || substr(hex(encode(w)), CAST(2 * i - 1 AS INTEGER), 2) AS BIGINT))"
+_BIT = "xor(x >> 1, 3988292384 * (x & 1))"
+_CRC = (
+    f"xor(4294967295, list_reduce(list_prepend(4294967295, {_BYTES}), "
+    f"lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, k: {_BIT})))"
+)
+_SPLIT = "unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'))"
+RESAMPLING = f"""
+WITH said AS (SELECT doc_id, {_SPLIT} AS w FROM documents), aim AS (SELECT {_SPLIT} AS w FROM benchmark),
+vocabulary AS (SELECT w, {_CRC} % 10000 AS bucket FROM (SELECT w FROM said UNION SELECT w FROM aim)),
+s AS (SELECT bucket, count(*) AS n FROM said JOIN vocabulary USING (w) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM aim JOIN vocabulary USING (w) GROUP BY bucket),
+gain AS (
+  SELECT bucket, CAST(floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT count(*) FROM said) + 10000)
+    / ((coalesce(s.n, 0) + 1)::DOUBLE * ((SELECT count(*) FROM aim) + 10000)))) AS BIGINT) AS gain
+  FROM s FULL JOIN t USING (bucket)
+), weight AS (
+  SELECT doc_id, count(*) AS n, CAST(floor(sum(gain) / count(*)) AS BIGINT) AS weight FROM said JOIN vocabulary USING (w) JOIN gain USING (bucket) GROUP BY doc_id
+), scored AS (
+  SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM documents LEFT JOIN weight USING (doc_id)
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place FROM scored
+)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN n_features >= 20 AND place <= (SELECT floor(10 * count(*) / 100) FROM scored WHERE n_features >= 20) THEN place END AS rank
+FROM placed
+"""
+
 LLM_ORACLE: dict[str, str] = {
     "op2_top_k": TOP_K,
     "op4_warc_revisits": REVISITS,
     "op7_chat_format": CHAT,
+    "op13_resampling": RESAMPLING,
 }
 if corpus_pipeline.ORACLE_SQL:
     LLM_ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

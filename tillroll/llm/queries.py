@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillroll.llm import chat, fingerprints, licenses, mixing, ngram_join, packing, revisits, secrets, topk, toxicity
+from tillroll.llm import chat, fingerprints, licenses, mixing, ngram_join, packing, resampling, revisits, secrets, topk, toxicity, urls, whitening
 from tillroll.llm.oracle import LLM_ORACLE  # noqa: F401
 from tillroll.llm.shipping import ship
 
@@ -148,6 +148,28 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_documents(_read(spark, sf_dir, "documents"))
 
 
+URL_RULES = [
+    urls.Rule("block", "net", "/"), urls.Rule("allow", "example.net", "/en/"), urls.Rule("block", "example.com", "/de/"), urls.Rule("allow", "org", "/fr/")
+]
+
+
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _read(spark, sf_dir, "pages").select("page_id", "url")
+    # the pages have no labels of their own; those that the stated rules decide are the labelled ones
+    known = pages.select("url", urls.stated(urls.host(F.col("url")), urls.path(F.col("url")), URL_RULES)["verdict"].alias("label"))
+    return urls.judged(pages, URL_RULES, known)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whitening.whitened(_read(spark, sf_dir, "embeddings"))
+    return out.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resampling.resampled(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+    return drawn.drop("n_words")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -163,5 +185,8 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mix": op8_source_mix,
     "op9_fingerprints": op9_fingerprints,
     "op10_ngram_join": op10_ngram_join,
+    "op11_url_filter": op11_url_filter,
+    "op12_whitening": op12_whitening,
+    "op13_resampling": op13_resampling,
     "pipeline": pipeline,
 }
