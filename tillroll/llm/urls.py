@@ -161,17 +161,15 @@ def judged(
     split = urls.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"))
     split = split.select("id", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"), tokens(F.col("url")).alias("tokens"))
     split = split.withColumn("s", stated(F.col("host"), F.col("path"), rules))
-    open_ = F.col("s").isNull()
-    lists = split.where(open_).select("tokens").distinct()
+    ruled, other = split.where("s IS NOT NULL"), split.where("s IS NULL")
     best = F.max(F.struct("confidence", "n", (F.col("label") == BLOCK).alias("blocks"), "size", "label")).alias("m")
-    verdicts = matches(lists, "tokens", found).groupBy("tokens").agg(best)
-    # decided rows have no list to look for
-    split = split.withColumn("tokens", F.when(open_, F.col("tokens")))
-    return split.join(verdicts, "tokens", "left").select(
-        F.col("id").alias(id_col),
-        "host",
-        "path",
-        F.col("s.rule").alias("rule"),
-        F.coalesce("s.verdict", "m.label", F.lit(default)).alias("verdict"),
+    verdicts = matches(other.select("tokens").distinct(), "tokens", found).groupBy("tokens").agg(best)
+    columns = [F.col("id").alias(id_col), "host", "path"]
+    said = other.join(verdicts, "tokens", "left").select(
+        *columns,
+        F.lit(None).cast("string").alias("rule"),
+        F.coalesce("m.label", F.lit(default)).alias("verdict"),
         F.col("m.confidence").alias("confidence"),
     )
+    # these have no list to look for, and would all meet under its null
+    return ruled.select(*columns, "s.rule", "s.verdict", F.lit(None).cast("double").alias("confidence")).unionByName(said)
