@@ -108,6 +108,54 @@ def test_one_document_of_each_class_stays(docs, texts):
     assert sorted(r.doc_id for r in out.collect()) == sorted(set(classes))
 
 
+def test_rows_grow_with_the_group_and_not_with_its_square(spark, monkeypatch):
+    """Near copies of one text, all different: no table that the join writes has more rows per set in larger groups."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    base = [word() for _ in range(100)]
+
+    def copy():
+        text = list(base)
+        for _ in range(rng.randrange(4)):
+            text[rng.randrange(100)] = word()
+        return " ".join([*text, word()])
+
+    texts, per_set = [copy() for _ in range(1200)], {}
+    held = [sets(t) for t in texts]
+    near = [[j for j in range(i) if len(held[i] & held[j]) / len(held[i] | held[j]) >= 0.8] for i in range(len(held))]
+    real = ngram_join.written
+    for n in (300, 1200):
+        rows, links, root = per_set.setdefault(n, {}), [0] * n, list(range(n))
+
+        def counted(df, label):
+            out = real(df, label)
+            rows[label] = rows.get(label, 0) + out.count() / n  # noqa: B023
+            return out
+
+        monkeypatch.setattr(ngram_join, "written", counted)
+        docs = spark.createDataFrame(list(enumerate(texts[:n])), "doc_id long, text string").repartition(3)
+        got = {r.doc_id: (r.class_id, r.n_links) for r in ngram_join.similar_documents(docs, limit=64).collect()}
+        for i in range(n):
+            links[i] += len(near[i])
+            for j in near[i]:
+                links[j] += 1
+                old, new = sorted((root[i], root[j]), reverse=True)
+                root = [new if r == old else r for r in root] if old != new else root
+        assert got == {i: (root[i], links[i]) for i in range(n)}
+    small, large = per_set[300], per_set[1200]
+    # a set has a row in each of its buckets, and at most one where it has a partner that no earlier bucket has shown it
+    assert large.pop("path-candidates") <= large["path-leaves"]
+    for label, rows in large.items():
+        assert rows <= 1.2 * small.get(label, 0) + 0.05, label
+
+
+def test_of_rows_with_one_id_the_choice_is_fixed(spark):
+    rows = [(1, "a b c d e f", lang, n, "x") for lang in ("en", "de", None) for n in (1, 2, None)] * 2 + [(1, "a b c d e f.", "fr", 3, "x")]
+    docs = [spark.createDataFrame(rows[k:] + rows[:k], SCHEMA).repartition(1 + k) for k in (0, 3, 7)]
+    kept = [ngram_join.deduplicated(d.withColumn("m", F.create_map(F.lit("k"), "n"))).collect() for d in docs]
+    assert len(kept[0]) == 1 and kept[0] == kept[1] == kept[2]
+
+
 def test_repeated_rows_and_null_ids(spark):
     rows = [(1, "a b c d e f", "en", 1, ""), (1, "a b c d e f", "en", 1, ""), (None, "a b c d e f", "en", 1, ""), (2, "q r s", "en", 1, "")]
     docs = spark.createDataFrame(rows, SCHEMA)

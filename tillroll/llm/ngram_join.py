@@ -12,7 +12,9 @@ that is only just similar and is compared ``d`` splits deep meets in one run wit
 that this is too little for ``recall`` through as many more as their depth needs, until no set lies deeper than its runs allow.
 Both sets of a pair go as deep as the pair, so both take part in the runs that it needs.
 
-Buckets are compared in blocks of about ``block`` sets, a pair of blocks per group, so that no bucket lands in one task.
+A bucket is compared where its sets fit into memory together: those of up to ``block`` sets and ``BYTES`` of shingles are
+one group of rows, in which every set has one row. Only a bucket beyond that is cut into blocks, which meet two by two, so
+that no bucket lands in one task; a set of it then has a row for each block. Pairs exist inside tasks only, never as rows.
 Pairs that agree at enough positions are kept by the first of the buckets that both sets share, and only there, so
 that every link is counted once without a table of pairs. The shingles of the sets that are left are made from
 the texts once more and the similarity is counted exactly.
@@ -42,7 +44,9 @@ RUNS = 10
 RECALL = 0.95
 POSITIONS = 64
 LIMIT = 256
-BLOCK = 256
+BLOCK = 2048
+BYTES = 16 << 20
+SALTS = 32
 DEPTH = 12
 MOST_RUNS = 4096
 #: Pairs whose share of equal positions is so far below the threshold are not verified: 4 standard deviations.
@@ -98,7 +102,7 @@ def _whole_groups(frames: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[l
 
 
 def _plausible(sketch: np.ndarray, n: np.ndarray, side: np.ndarray, low: float, threshold: float):
-    """Pairs (x, y) of a group that can be similar; ``side`` is 0 or 1 if two blocks meet, else 0."""
+    """(a, b, fit): which of the sets ``a`` and ``b`` of a group can be similar; ``side`` is 0 or 1 if two blocks meet, else 0."""
     a = np.flatnonzero(side == 0)
     b = np.flatnonzero(side == 1) if side.any() else a
     same = np.zeros((len(a), len(b)), np.int16)
@@ -106,10 +110,22 @@ def _plausible(sketch: np.ndarray, n: np.ndarray, side: np.ndarray, low: float,
         same += sketch[a, j][:, None] == sketch[b, j][None, :]
     fit = same >= low * sketch.shape[1]
     fit &= np.minimum(n[a][:, None], n[b][None, :]) >= threshold * np.maximum(n[a][:, None], n[b][None, :])
-    if not side.any():
-        fit = np.triu(fit, 1)
-    x, y = np.nonzero(fit)
-    return a[x], b[y]
+    return a, b, fit if side.any() else np.triu(fit, 1)
+
+
+def _met_before(buckets: list[np.ndarray], key: int, a: np.ndarray, b: np.ndarray, fit: np.ndarray) -> np.ndarray:
+    """``fit`` without the pairs that share a bucket before ``key``; they are kept there."""
+    earlier = [np.unique(k[k < key]) for k in buckets]
+    flat, owner = np.concatenate(earlier), np.repeat(np.arange(len(earlier)), [len(k) for k in earlier])
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    place_a, place_b = np.full(len(buckets), -1), np.full(len(buckets), -1)
+    place_a[a], place_b[b] = np.arange(len(a)), np.arange(len(b))
+    for members in np.split(owner, np.flatnonzero(np.diff(flat)) + 1):
+        if len(members) > 1:
+            one, two = place_a[members], place_b[members]
+            fit[np.ix_(one[one >= 0], two[two >= 0])] = False
+    return fit
 
 
 def _candidates(threshold: float):
@@ -125,36 +141,43 @@ def _candidates(threshold: float):
                 key = int(group["key"].iat[0])
                 names = group["set"].to_numpy()
                 sketch = np.stack(group["sketch"].to_numpy())
-                x, y = _plausible(sketch, group["n"].to_numpy(), group["side"].to_numpy(), threshold - MARGIN, threshold)
-                if not len(x):
-                    continue
-                # the buckets of a set before this one; a pair that shares one of them is kept there
-                earlier = [frozenset(k[k < key].tolist()) for k in group["buckets"]]
-                partners: dict[int, list[int]] = {}
-                for p, q in zip(x.tolist(), y.tolist()):
-                    if not earlier[p] or not earlier[q] or earlier[p].isdisjoint(earlier[q]):
-                        partners.setdefault(p, []).append(int(names[q]))
-                        partners.setdefault(q, [])
-                for p, found in partners.items():
-                    out.append((key, int(group["i"].iat[0]), int(group["j"].iat[0]), int(names[p]), found))
+                a, b, fit = _plausible(sketch, group["n"].to_numpy(), group["side"].to_numpy(), threshold - MARGIN, threshold)
+                if fit.any():
+                    fit = _met_before(group["buckets"].tolist(), key, a, b, fit)
+                found = dict.fromkeys(b[fit.any(axis=0)].tolist(), names[:0])
+                found |= {int(a[x]): names[b[np.flatnonzero(fit[x])]] for x in np.flatnonzero(fit.any(axis=1))}
+                out += [(key, int(group["i"].iat[0]), int(group["j"].iat[0]), int(names[p]), partners) for p, partners in found.items()]
             yield pd.DataFrame(out, columns=[*keys, "set", "partners"])
 
     return find
 
 
-def shared_counts(left: list[np.ndarray], right: list[np.ndarray], width: int = 4096) -> np.ndarray:
-    """How many elements each left set shares with each right set."""
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray], width: int = 1024) -> np.ndarray:
+    """How many elements each left set shares with each right set; sets have fewer than 2**24, so the sums are exact."""
     values, number = np.unique(np.concatenate([*left, *right]), return_inverse=True)
     row = np.repeat(np.arange(len(left) + len(right)), [len(s) for s in (*left, *right)])
     order = np.argsort(number, kind="stable")
     number, row = number[order], row[order]
-    out = np.zeros((len(left), len(right)), np.float64)
+    out = np.zeros((len(left), len(right)), np.float32)
     for low in range(0, len(values), width):
         here = slice(*np.searchsorted(number, [low, low + width]))
         table = np.zeros((len(left) + len(right), width), np.float32)
         table[row[here], number[here] - low] = 1
         out += table[: len(left)] @ table[len(left) :].T
-    return out.astype(np.int64)
+    return out
+
+
+def _roots(count: int, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """By node, the smallest node it hangs together with over the edges (p, q)."""
+    root = np.arange(count)
+    while True:
+        low = root.copy()
+        np.minimum.at(low, p, root[q])
+        np.minimum.at(low, q, root[p])
+        low = low[low]
+        if np.array_equal(low, root):
+            return root
+        root = low
 
 
 def _verified(threshold: float):
@@ -164,34 +187,25 @@ def _verified(threshold: float):
         for groups in _whole_groups(frames, ["key", "i", "j"]):
             out = []
             for group in groups:
-                names = group["set"].tolist()
-                place = {name: n for n, name in enumerate(names)}
+                group = group.sort_values("set")
+                names = group["set"].to_numpy()
                 tokens = [np.frombuffer(t, np.uint64) for t in group["tokens"]]
-                copies = group["copies"].tolist()
-                pairs = [(p, place[q]) for p, found in enumerate(group["partners"]) for q in found]
-                if len(pairs) > 2 * len(names):
-                    a, b = sorted({p for p, _ in pairs}), sorted({q for _, q in pairs})
-                    at_a, at_b = {p: n for n, p in enumerate(a)}, {q: n for n, q in enumerate(b)}
-                    table = shared_counts([tokens[p] for p in a], [tokens[q] for q in b])
-                    shared = [int(table[at_a[p], at_b[q]]) for p, q in pairs]
+                size, copies = np.array([len(t) for t in tokens]), group["copies"].to_numpy()
+                p = np.repeat(np.arange(len(names)), [len(x) for x in group["partners"]])
+                q = np.searchsorted(names, np.concatenate(group["partners"].to_numpy()))
+                if len(p) > 2 * len(names) and size.max() < 1 << 24:
+                    (a, at_a), (b, at_b) = np.unique(p, return_inverse=True), np.unique(q, return_inverse=True)
+                    shared = shared_counts([tokens[x] for x in a], [tokens[x] for x in b])[at_a, at_b].astype(np.int64)
                 else:
-                    shared = [len(np.intersect1d(tokens[p], tokens[q], assume_unique=True)) for p, q in pairs]
-                links, root = [0] * len(names), list(range(len(names)))
-
-                def top(v):
-                    while root[v] != v:
-                        root[v] = root[root[v]]
-                        v = root[v]
-                    return v
-
-                for (p, q), both in zip(pairs, shared):
-                    if both / (len(tokens[p]) + len(tokens[q]) - both) >= threshold:
-                        links[p] += copies[q]
-                        links[q] += copies[p]
-                        u, v = sorted((top(p), top(q)), key=names.__getitem__)
-                        root[v] = u
-                out += [(names[v], names[top(v)], links[v]) for v in range(len(names)) if links[v]]
-            yield pd.DataFrame(out, columns=["set", "root", "links"])
+                    shared = np.array([len(np.intersect1d(tokens[x], tokens[y], assume_unique=True)) for x, y in zip(p, q)], np.int64)
+                link = shared / (size[p] + size[q] - shared) >= threshold
+                p, q = p[link], q[link]
+                links, root = np.zeros(len(names), np.int64), names[_roots(len(names), p, q)]
+                np.add.at(links, p, copies[q])
+                np.add.at(links, q, copies[p])
+                some = np.flatnonzero(links)
+                out.append(pd.DataFrame({"set": names[some], "root": root[some], "links": links[some]}))
+            yield pd.concat(out, ignore_index=True)
 
     return verify
 
@@ -235,29 +249,34 @@ def needed_runs(depth: int, threshold: float, positions: int, recall: float) ->
 
 
 def _paths(sets: DataFrame, starts: DataFrame, threshold: float, positions: int, limit: int) -> tuple[DataFrame, DataFrame]:
-    """(key, set, size) of the buckets that are to be compared, and (set, depth): how deep the buckets of a set lie.
+    """(key, set, size, weight) of the buckets that are to be compared, and (set, depth): how deep the buckets of a set lie.
 
-    ``starts`` are (path, set, sketch) of the runs to make.
+    ``starts`` are (path, set, n, sketch) of the runs to make. A bucket's weight is the number of shingles of its sets.
     """
     draw = int(threshold * positions * 1_000_000)
 
     def split(nodes: DataFrame) -> DataFrame:
-        """The children of ``nodes`` (path, set, sketch)."""
+        """The children of ``nodes`` (path, set, n, sketch)."""
         drawn = F.filter(
             F.sequence(F.lit(0), F.lit(positions - 1)),
             lambda j: F.pmod(F.xxhash64("path", j), F.lit(draw)) < 1_000_000,
         )
         child = F.explode(F.transform(drawn, lambda j: F.xxhash64("path", j, F.get("sketch", j))))
-        keyed = written(nodes.select(child.alias("key"), "set"), "path-keys")
+        keyed = written(nodes.select(child.alias("key"), "set", "n"), "path-keys")
         # equal members give equal sums; of such buckets one is enough
         member = F.xxhash64("set")
         sizes = keyed.groupBy("key").agg(
             F.count("*").alias("size"),
+            F.sum("n").alias("weight"),
             F.sum(member.cast("decimal(38,0)")).alias("members"),
             F.bit_xor(F.xxhash64("set", F.lit(1))).alias("parity"),
         ).where("size > 1")
-        sizes = sizes.groupBy("size", "members", "parity").agg(F.min("key").alias("key"))
-        return written(keyed.join(sizes.select("key", "size"), "key"), "path-buckets")
+        sizes = sizes.groupBy("size", "weight", "members", "parity").agg(F.min("key").alias("key"))
+        return written(keyed.drop("n").join(sizes.select("key", "size", "weight"), "key"), "path-buckets")
+
+    # a bucket may hold a third of all sets, so its sets are dealt by salts as well
+    salt = F.pmod(F.xxhash64("set"), F.lit(SALTS)).cast("int")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
 
     buckets = split(starts)
     found = buckets.where(F.col("size") <= limit)
@@ -266,28 +285,28 @@ def _paths(sets: DataFrame, starts: DataFrame, threshold: float, positions: int,
         large = buckets.where(F.col("size") > limit)
         if large.isEmpty():
             return found, depths
-        nodes = large.withColumnRenamed("key", "path").join(sets.select("set", "sketch"), "set")
+        nodes = large.withColumnRenamed("key", "path").join(sets.select("set", "n", "sketch"), "set").withColumn("salt", salt)
         # how much the sets of a bucket are like one of them; buckets of similar sets would not come apart
-        pivot = nodes.groupBy("path").agg(F.min_by("sketch", F.xxhash64("set", "path")).alias("pivot"))
+        pivot = nodes.groupBy("path").agg(F.min_by("sketch", F.xxhash64("set", "path")).alias("pivot")).select("path", "pivot", salts)
         same = F.size(F.filter(F.zip_with("sketch", "pivot", lambda x, y: x == y), lambda e: e)) / positions
-        near = nodes.join(pivot, "path").groupBy("path").agg(F.avg(same).alias("near"))
+        near = nodes.join(pivot, ["path", "salt"]).groupBy("path").agg(F.avg(same).alias("near"))
         near = written(near.select("path", (F.col("near") >= threshold - MARGIN).alias("dense")), "path-density")
-        nodes = written(nodes.join(near, "path"), "path-large")
-        dense = nodes.where("dense").select(F.col("path").alias("key"), "set", "size")
+        nodes = written(nodes.join(near.select("path", "dense", salts), ["path", "salt"]).drop("salt"), "path-large")
+        dense = nodes.where("dense").select(F.col("path").alias("key"), "set", "size", "weight")
         # a set that is split once more may be lost by that, and then lies in no bucket of the next depth
         depths = depths.unionByName(nodes.select("set", F.when(F.col("dense"), depth).otherwise(depth + 1).alias("depth")))
-        buckets = split(nodes.where("NOT dense").select("path", "set", "sketch"))
+        buckets = split(nodes.where("NOT dense").select("path", "set", "n", "sketch"))
         found = found.unionByName(dense).unionByName(buckets.where(F.col("size") <= limit))
     # what has not come apart by now is compared as it is, in blocks
     return found.unionByName(buckets.where(F.col("size") > limit)), depths
 
 
 def _leaves(sets: DataFrame, threshold: float, runs: int, positions: int, limit: int, recall: float) -> DataFrame:
-    """(key, set, size) of all buckets that are to be compared, of as many runs as the recall needs."""
+    """(key, set, size, weight) of all buckets that are to be compared, of as many runs as the recall needs."""
     needs = [max(runs, needed_runs(max(d, 1), threshold, positions, recall)) for d in range(DEPTH + 2)]
     asked = F.get(F.array(*map(F.lit, needs)), F.col("depth"))
     root = F.explode(F.sequence(F.lit(1).cast("long"), F.lit(runs).cast("long")))
-    found, depths = _paths(sets, sets.select("set", "sketch", root.alias("path")), threshold, positions, limit)
+    found, depths = _paths(sets, sets.select("set", "n", "sketch", root.alias("path")), threshold, positions, limit)
     if needs[1] > runs:  # then even sets without a bucket, and else only those that lie deep
         depths = depths.unionByName(sets.select("set", F.lit(1).alias("depth")))
     deepest = depths.where(asked > runs).groupBy("set").agg(F.max(asked).alias("needed"))
@@ -298,8 +317,8 @@ def _leaves(sets: DataFrame, threshold: float, runs: int, positions: int, limit:
             return found
         # sets that lie deeper than before meet in new runs with those that were known to lie so deep
         run = F.explode(F.sequence(F.lit(low + 1).cast("long"), F.col("needed").cast("long")))
-        starts = state.where(F.col("needed") > low).join(sets.select("set", "sketch"), "set").select("set", "sketch", run.alias("run"))
-        starts = starts.select("set", "sketch", F.xxhash64(F.lit(again), "run").alias("path"))
+        starts = state.where(F.col("needed") > low).join(sets.select("set", "n", "sketch"), "set").select("set", "n", "sketch", run.alias("run"))
+        starts = starts.select("set", "n", "sketch", F.xxhash64(F.lit(again), "run").alias("path"))
         more, depths = _paths(sets, starts, threshold, positions, limit)
         found = found.unionByName(more)
         deepest = depths.groupBy("set").agg(F.max(asked).alias("asked"))
@@ -312,7 +331,7 @@ def _links(texts: DataFrame, sets: DataFrame, threshold: float, width: int, runs
     leaves = written(_leaves(sets, threshold, runs, POSITIONS, limit, recall), "path-leaves")
     buckets = leaves.groupBy("set").agg(F.collect_list("key").alias("buckets"))
     facts = sets.select("set", "n", "sketch").join(buckets, "set")
-    blocks = F.ceil(F.col("size") / block).cast("int")
+    blocks = F.greatest(F.ceil(F.col("size") / block), F.ceil(F.col("weight") * 8 / BYTES)).cast("int")
     own = F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int")
     met = (
         leaves.withColumn("blocks", blocks)
@@ -396,11 +415,15 @@ def similar_documents(
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with one document of each class: that with the smallest id, nulls last.
 
-    Of rows with that id and equal texts, any one stays.
+    Of rows with that id, the one with the smallest digest of the text stays, and of these that with the smallest digest of
+    the whole row; rows that are equal throughout are the same.
     """
     settings = {"threshold": THRESHOLD, "width": WIDTH, "runs": RUNS, "limit": LIMIT, "block": BLOCK, "recall": RECALL} | options
     classes = written(_classes(_texts(docs, id_col, text_col), **settings), "classes")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", *_KEY))
     keep = classes.groupBy("class_row").agg(first.alias("f")).select("f.ih", "f.th").distinct()
+    # maps have no hash, so columns that hold one are taken as text
+    plain = [F.to_json(F.struct(c)) if "map<" in t or t == "variant" else F.col(c) for c, t in ((f"doc.`{n}`", t) for n, t in docs.dtypes)]
     whole = docs.select(F.struct("*").alias("doc"), *_keys(F.col(id_col), F.col(text_col)))
-    return _at(whole, keep, "left_semi").select("doc.*")
+    held = whole.join(keep.hint("shuffle_hash"), _KEY, "left_semi")
+    return held.withColumn("row", F.xxhash64(*plain)).groupBy(*_KEY).agg(F.min_by("doc", "row").alias("doc")).select("doc.*")
