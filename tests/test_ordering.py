@@ -1,5 +1,8 @@
 """Global orders, quantiles and NOT IN against pandas and plain Spark."""
 
+import random
+from decimal import Decimal
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -8,6 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window, functions as F
 
 from tillroll.functions.rules import ntile_of_rank, qcut_of_rank
+from tillroll.operators import cuts
 from tillroll.operators.joins import not_in
 from tillroll.operators.ordering import (
     global_lag,
@@ -146,3 +150,18 @@ def test_row_part_of_increasing_ids(spark):
     )
     per_part = rows.groupBy("p").agg(F.min("r").alias("a"), F.max("r").alias("b"), F.countDistinct("r").alias("n"))
     assert all(r.a == 0 and r.b == r.n - 1 for r in per_part.collect())
+
+
+@pytest.mark.parametrize("sample", [4, 64, 5000])
+def test_rows_at_places(spark, sample):
+    """Ties, a value that most rows share, and every place, with buckets of many and of single rows."""
+    rng = random.Random(sample)
+    rows = [(f"c{i:04d}", Decimal(rng.choice([0, 0, 0, 0, 7, rng.randrange(90)])), Decimal(-i)) for i in range(700)]
+    df = spark.createDataFrame(rows, "id string, a decimal(38,10), b decimal(38,10)").repartition(5)
+    got = cuts.rows_at(df, ["a", "b"], "id", F.sequence(F.lit(1), F.col("rows").cast("int"), F.lit(23)), sample).first()
+    for column, at in (("a", 1), ("b", 2)):
+        order = sorted((r[at], r[0]) for r in rows)
+        assert [(p.v, p.key) for p in got[column]] == order[::23]
+    outside = cuts.rows_at(df, ["a"], "id", F.array(F.lit(0), F.lit(700), F.lit(701))).first()
+    assert [(p.v, p.key) for p in outside.a] == [max((r[1], r[0]) for r in rows)]
+    assert cuts.rows_at(df.where("false"), ["a", "b"], "id", F.array(F.lit(1))).first() == ([], [])

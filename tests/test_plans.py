@@ -49,7 +49,7 @@ def test_date_filters_reach_the_scan(spark, lines, tmp_path):
     assert "ReadSchema: struct<Invoice:string,InvoiceDate:timestamp_ntz>" in plan
 
 
-@pytest.mark.parametrize("name", ["w_row_number", "global_rank", "w_rank", "w_lag", "rfm_scores_ntile", "rfm_scores_qcut", "customers_pareto", "cac_tier_percentile"])
+@pytest.mark.parametrize("name", ["w_row_number", "global_rank", "w_rank", "w_lag", "customers_pareto", "cac_tier_percentile"])
 def test_no_window_over_all_customers(spark, name):
     """Ranking functions of the whole table are computed from range partitions."""
     plan = executed(QUERIES[name](spark, SMALL))
@@ -60,6 +60,15 @@ def test_no_window_over_all_customers(spark, name):
     assert "_part" in plan
 
 
+@pytest.mark.parametrize("name", ["rfm_scores_ntile", "rfm_scores_qcut", "v_rfm_segments"])
+def test_scores_order_single_buckets_only(spark, name):
+    plan = executed(QUERIES[name](spark, SMALL))
+    windows = [line for line in plan.splitlines() if re.search(r"Window \[.*(row_number|rank\(|ntile|lag\()", line)]
+    assert windows and all(re.search(r"\[name#\d+, bucket#\d+\]", line) for line in windows)
+    staged = {m.group(1) for f in QUERIES[name](spark, SMALL).inputFiles() if (m := re.search(r"/tillroll/[^/]+/([a-z-]+)-[0-9a-f]{32}/", f))}
+    assert staged <= {"lines", "bounds"}  # the cleaned lines that all queries share, and no table of customers or cuts
+
+
 @pytest.mark.parametrize("name", ["top_1_per_group", "adv_top_product_per_customer", "products_best_by_country"])
 def test_top_1_is_limited_before_the_shuffle(spark, name):
     plan = executed(QUERIES[name](spark, SMALL))
@@ -86,7 +95,7 @@ def test_the_cancellation_flag_reaches_the_scan(spark, name):
     assert "REPARTITION" not in plan
 
 
-@pytest.mark.parametrize("name", ["customers_active", "kpi_churn_rate", "scalar_cross", "cross_sell_strict", "rfm_raw_sql"])
+@pytest.mark.parametrize("name", ["customers_active", "kpi_churn_rate", "scalar_cross", "cross_sell_strict", "rfm_raw_sql", "rfm_scores_ntile", "rfm_summary_sql", "v_rfm_segments", "views"])
 def test_building_a_frame_runs_no_query(spark, name):
     tables.cleaned(spark, SMALL)  # a staged run of its own
     before = spark._jsc.sc().dagScheduler().nextJobId()

@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from tillroll.functions.dates import whole_days
 from tillroll.functions.money import big, line_revenue, percent, ratio, rounded
 from tillroll.functions.rules import is_valid_sale
-from tillroll.operators.ordering import global_row_number, global_running_total, with_totals
+from tillroll.operators.cuts import rows_at
+from tillroll.operators.ordering import with_totals
 from tillroll.schema import reads, require_columns
-from tillroll.staging import written
 
 RFM_INPUT = ("Invoice", "Quantity", "InvoiceDate", "Price", "CustomerID")
 
@@ -133,59 +133,28 @@ def validate_rfm_input(df: DataFrame) -> DataFrame:
 _METRIC = "decimal(38,10)"
 
 
-def _cut_points(metrics: DataFrame, names: list[str], flavour: str, n_quantiles: int) -> DataFrame:
-    """One row: per metric of ``names``, the last (value, customer) of every quantile but the highest.
-
-    The customers are counted per value, and the running count says in which
-    value a quantile ends. Only inside those few values are customers put in
-    order; where a quantile ends with the value, no order is needed and the
-    customer is left open.
-    """
-    one = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("v"), F.col("CustomerID").alias("id")) for n in names]))
-    long = metrics.select(one.alias("x")).select("x.*")
-    counts = long.groupBy("name", "v").agg(F.count(F.lit(1)).alias("n"))
-    running = global_running_total(counts, [F.col("name"), F.col("v")], "n", "upto")
-    spans = running.groupBy("name").agg(F.min(F.col("upto") - F.col("n")).alias("start"), F.max("upto").alias("stop"))
-    rows, k = F.col("stop") - F.col("start"), F.col("k")
-    if flavour == "sql":
-        last = k * F.floor(rows / n_quantiles) + F.least(k, rows % n_quantiles)
-    else:
-        last = F.floor((rows - 1) * k / n_quantiles) + 1
-    tiles = F.explode(F.sequence(F.lit(1), F.lit(n_quantiles - 1))).alias("k")
-    # a row per metric and quantile
-    ends = spans.select("name", "start", "stop", tiles).select("name", "k", (F.col("start") + last).alias("place"))
-    here = running.join(F.broadcast(ends), "name").where((F.col("upto") - F.col("n") < F.col("place")) & (F.col("place") <= F.col("upto")))
-    ends = here.select("name", "v", "k", (F.col("place") - F.col("upto") + F.col("n")).alias("nth"), (F.col("place") == F.col("upto")).alias("whole"))
-    ends = written(ends, "cuts")  # a row per metric and quantile, read several times below
-    split = ends.where("NOT whole")
-    inside = long.join(F.broadcast(split.select("name", "v").distinct()), ["name", "v"])
-    placed = global_row_number(inside, [F.col("name"), F.col("v"), F.col("id")], rank="rn")
-    before = placed.groupBy("name", "v").agg(F.min("rn").alias("first"))
-    wanted = split.join(before, ["name", "v"]).select("name", "v", "k", (F.col("first") + F.col("nth") - 1).alias("rn"))
-    named = placed.join(F.broadcast(wanted), ["name", "v", "rn"]).select("name", "k", "v", "id")
-    open_ended = ends.where("whole").select("name", "k", "v", F.lit(None).cast("string").alias("id"))
-    cuts = named.unionByName(open_ended)
-    listed = {n: F.collect_list(F.when(F.col("name") == n, F.struct("v", "id"))).alias(f"_{n}") for n in names}
-    return cuts.agg(*listed.values())
-
-
 def rfm_scores(rfm: DataFrame, flavour: str = "python", n_quantiles: int = 5) -> DataFrame:
     """R, F and M scores from 1 to ``n_quantiles``; equal values are told apart by the customer id.
 
-    The customers are written once, the ends of the quantiles are found and
-    broadcast, and all customers are labelled in one pass.
+    The ends of the quantiles are found inside the plan and broadcast, and all customers are labelled in one pass. No
+    table is written, so a view of the scores follows its lines.
     """
-    scored = written(validate_rfm_input(rfm), "rfm")
+    scored = validate_rfm_input(rfm)
     names = ["Recency", "Frequency", "Monetary"]
     # in the SQL flavour oldest first, so that recent customers land in the high tiles
     signs = {"Recency": -1 if flavour == "sql" else 1, "Frequency": 1, "Monetary": 1}
-    metrics = scored.select("CustomerID", *[(F.col(n) * signs[n]).cast(_METRIC).alias(n) for n in names])
-    cuts = _cut_points(metrics, names, flavour, n_quantiles)
+    metrics = scored.select("CustomerID", *[(F.col(n) * signs[n]).cast(_METRIC).alias(f"_{n}") for n in names])
+    k, rows = F.sequence(F.lit(1), F.lit(n_quantiles - 1)), F.col("rows")
+    if flavour == "sql":
+        last = lambda i: i * F.floor(rows / n_quantiles) + F.least(i, rows % n_quantiles)
+    else:
+        last = lambda i: F.floor((rows - 1) * i / n_quantiles) + 1
+    cuts = rows_at(metrics, [f"_{n}" for n in names], "CustomerID", F.transform(k, last))
     scored = scored.crossJoin(F.broadcast(cuts))
 
     def tile(name: str) -> Column:
         value, who = (F.col(name) * signs[name]).cast(_METRIC), F.col("CustomerID")
-        behind = lambda cut: (value > cut["v"]) | ((value == cut["v"]) & (who > cut["id"]))
+        behind = lambda cut: (value > cut["v"]) | ((value == cut["v"]) & (who > cut["key"]))
         return F.size(F.filter(f"_{name}", behind)) + 1
 
     for name, score in zip(names, ("R_Score", "F_Score", "M_Score")):
