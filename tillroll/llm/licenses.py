@@ -4,7 +4,9 @@ Texts are cut into sentences; those that hold a licensing word, with at most ``G
 blocks. A block is compressed by zstandard as it is and with every template as a raw dictionary; templates are ranked by
 how much smaller that makes it. The winner is confirmed by its wording: the differences between the words of template and
 block. ``exact`` is a template whose words stand in the block in a row, ``variant`` one of which at least ``COVERED`` is
-there in order. Winners that are neither are no findings.
+there in order and that differs in no defining word: names of licenses, their qualifiers, version numbers and negations, be
+they missing, replaced or put in. A negated notice ("not released under ...") is none either. A winner that its wording
+refuses gives way to the next in rank; what no template confirms is no finding.
 
 Spans count code points of the whole text, the end exclusive. A null or empty text has no findings; repeated rows and ids
 are scanned row by row; only the id and text are read. Of templates that make a block equally small the first one wins.
@@ -19,6 +21,22 @@ from functools import lru_cache
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+
+def _creative_commons() -> list[tuple[str, str]]:
+    """Short and long notices of all kinds and versions but those that are written out below."""
+    out = []
+    names = {"SA": "ShareAlike", "NC": "NonCommercial", "ND": "NoDerivatives"}
+    for version, reach in (("4.0", "International"), ("3.0", "Unported")):
+        for parts in ((), ("SA",), ("NC",), ("ND",), ("NC", "SA"), ("NC", "ND")):
+            if version == "4.0" and parts in ((), ("SA",), ("NC",)):
+                continue
+            short, long = "-".join(["BY", *parts]), "-".join(["Attribution", *(names[p] for p in parts)])
+            name = f"CC-{short}-{version}"
+            out.append((name, f"Licensed under CC {short} {version}."))
+            out.append((name, f"This work is licensed under a Creative Commons {long} {version} {reach} License."))
+    return out
+
+
 # (license, template): wording in public use, fixed values
 TEMPLATES = (
     ("MIT", "Released under the MIT License."),
@@ -72,15 +90,55 @@ TEMPLATES = (
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related rights to this work."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("BSD", "Released under the BSD License."),
+    ("BSD-2-Clause", "This project is licensed under the BSD 2-Clause License."),
+    ("BSD-3-Clause", "This project is licensed under the BSD 3-Clause License."),
+    ("ISC", "Released under the ISC License."),
+    ("Apache-1.1", "Licensed under the Apache License, Version 1.1."),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0-or-later", "This work is licensed under the GNU General Public License, version 2 or later."),
+    ("GPL-3.0-or-later", "This work is licensed under the GNU General Public License, version 3 or later."),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    (
+        "LGPL-2.1-or-later",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General"
+        " Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option)"
+        " any later version.",
+    ),
+    (
+        "LGPL-3.0-or-later",
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General"
+        " Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option)"
+        " any later version.",
+    ),
+    (
+        "AGPL-3.0-or-later",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General"
+        " Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option)"
+        " any later version.",
+    ),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0."),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    *_creative_commons(),
 )
+# words that tell licenses apart, and words that turn a notice round: fixed values
+NAMES = frozenset(
+    "mit apache gnu gpl lgpl agpl lesser library affero mozilla mpl bsd clause isc eclipse epl boost bsl artistic zlib unlicense cc cc0 sa nc nd"
+    " sharealike noncommercial noderivatives noderivs proprietary commercial only later".split()
+)
+NEGATIONS = frozenset("not no never cannot nor neither except non isn aren prohibited forbidden revoked denied".split())
 # beginnings of licensing words, lower case: fixed values
 HINTS = ("licen", "copyright", "permission", "permitted", "redistribut", "public domain", "free software", "mozilla")
 GAP = 2
 COVERED = 0.8
+BEFORE = 4
 FINDING = "array<struct<start:long,end:long,license:string,template:int,reduction:double,wording:string,differences:array<string>>>"
 _SENTENCE = re.compile(r"(?:[^\n.!?]|[.!?](?!\s|$))+[.!?]*", re.MULTILINE)
 _WORD = re.compile(r"\w+")
 _STOP = re.compile(r"[.:!?]*")
+_END = re.compile(r"[.:;!?\n]")
 
 
 def _words(text: str) -> list[str]:
@@ -133,20 +191,26 @@ def _occurrences(template: list[str], block: list[str]) -> list[int]:
     return out
 
 
-def _variant(match: difflib.SequenceMatcher, size: int) -> list | None:
-    """The matching blocks, if they cover enough of the template."""
-    found = [m for m in match.get_matching_blocks() if m.size]
-    return found if found and sum(m.size for m in found) >= COVERED * size else None
+def defining(word: str) -> bool:
+    """Whether a difference in this word makes another license, or none. Numbers of up to two digits are versions."""
+    return word in NAMES or word in NEGATIONS or (len(word) <= 2 and word.isdigit())
 
 
-def _changes(match: difflib.SequenceMatcher, found: list, template: list[str], block: list[str]) -> list[str]:
+def _variant(match: difflib.SequenceMatcher, template: list[str], block: list[str]) -> tuple[list, list[str]] | None:
+    """The matching blocks and the differences, if enough of the template is there and no defining word differs."""
+    found = [m for m in match.get_matching_blocks() if m.size]
+    if not found or sum(m.size for m in found) < COVERED * len(template):
+        return None
     low, high = found[0].b, found[-1].b + found[-1].size  # the stretch of the block that the template covers
     changes = []
     for kind, a, b, c, d in match.get_opcodes():
         if kind == "equal" or (a == b and (d <= low or c >= high)):
             continue
-        changes.append(f"{' '.join(template[a:b])} -> {' '.join(block[max(c, low):min(d, high)])}")
-    return changes
+        put_in = block[max(c, low) : min(d, high)]
+        if any(map(defining, [*template[a:b], *put_in])):
+            return None
+        changes.append(f"{' '.join(template[a:b])} -> {' '.join(put_in)}")
+    return found, changes
 
 
 def differences(template: list[str], block: list[str]) -> tuple[str, list[str]]:
@@ -154,8 +218,8 @@ def differences(template: list[str], block: list[str]) -> tuple[str, list[str]]:
     if _occurrences(template, block):
         return "exact", []
     match = difflib.SequenceMatcher(None, template, block, autojunk=False)
-    found = _variant(match, len(template))
-    return ("variant", _changes(match, found, template, block)) if found else ("other", [])
+    found = _variant(match, template, block)
+    return ("variant", found[1]) if found else ("other", [])
 
 
 def _near(match: difflib.SequenceMatcher, template: list[str], block: list[str]):
@@ -166,11 +230,11 @@ def _near(match: difflib.SequenceMatcher, template: list[str], block: list[str])
     first = max(0, run.b - run.a - size)
     window = block[first : run.b - run.a + 2 * size]
     inner = difflib.SequenceMatcher(None, template, window, autojunk=False)
-    found = _variant(inner, size) if run.size else None
-    if not found:
+    confirmed = _variant(inner, template, window) if run.size else None
+    if not confirmed:
         return None
-    words = {first + m.b + n for m in found for n in range(m.size)}
-    return min(words), max(words) + 1, words, _changes(inner, found, template, window)
+    words = {first + m.b + n for m in confirmed[0] for n in range(m.size)}
+    return min(words), max(words) + 1, words, confirmed[1]
 
 
 def _notice(order: list[int], wording: list[list[str]], block: list[str]):
@@ -198,8 +262,21 @@ def _notice(order: list[int], wording: list[list[str]], block: list[str]):
 def _apart(best: int, template: list[str], block: list[str]):
     """Like ``_notice``: a variant of one template, however far its words lie apart."""
     match = difflib.SequenceMatcher(None, template, block, autojunk=False)
-    found = _variant(match, len(template))
-    return found and (best, found[0].b, found[-1].b + found[-1].size, "variant", _changes(match, found, template, block))
+    confirmed = _variant(match, template, block)
+    if not confirmed:
+        return None
+    found, changes = confirmed
+    return best, found[0].b, found[-1].b + found[-1].size, "variant", changes
+
+
+def _negated(text: str, spans: list[tuple[int, int]], words: list[str], at: int) -> bool:
+    """Whether one of the ``BEFORE`` words ahead of a notice, in its sentence, turns it round."""
+    for n in range(at - 1, max(-1, at - 1 - BEFORE), -1):
+        if _END.search(text, spans[n][1], spans[n + 1][0]):
+            return False
+        if words[n] in NEGATIONS:
+            return True
+    return False
 
 
 def _gains(text: str, plain, primed) -> list[float]:
@@ -228,12 +305,14 @@ def findings_of(text: str, templates=TEMPLATES) -> list[dict]:
         behind = start
         for at in _occurrences(words[low:high], words):  # repeated notices at once
             a, b = spans[at][0], _STOP.match(text, spans[at + high - low - 1][1], end).end()
+            pieces.append((behind, a, False))
+            behind = b
+            if _negated(text, spans, words, at):
+                continue
             out.append({
                 "start": a, "end": b, "license": templates[n][0], "template": n, "reduction": _gains(text[a:b], plain, primed[n : n + 1])[0],
                 "wording": kind, "differences": changes,
             })
-            pieces.append((behind, a, False))
-            behind = b
         pieces.append((behind, end, False))
     return sorted(out, key=lambda f: f["start"])
 
