@@ -5,6 +5,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 from tillroll.llm import mixing
+from tillroll.llm.expressions import hashable
 
 SCHEMA = "doc_id long, text string, source string, plan string, mix_size string"
 
@@ -89,6 +90,28 @@ def test_the_mix_repeats_documents(spark):
     assert counts == {i: v[2] for i, v in got.items() if v[2]}
 
 
+def test_reruns_agree_where_ids_repeat_or_are_missing(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice([None, 1, 2, 3, i]), "w " * rng.randint(1, 40), rng.choice("ab"), str(rng.randrange(3)), "x") for i in range(3000)]
+    docs, got = spark.createDataFrame(rows, SCHEMA), []
+    for parts in (1, 2, 7):
+        found = mixing.mix(docs.repartition(parts), mixing.n_words("text"), F.array("source"), F.col("doc_id")).collect()
+        got.append(sorted((str(r.doc_id), r.text, r.source, r.mix_size, r.plan, len(r.mix_copies)) for r in found))
+    assert got[0] == got[1] == got[2]
+    place = docs.where("doc_id IS NULL").select(F.pmod(F.shiftright(F.xxhash64(F.lit(17), F.col("doc_id"), *hashable(docs)), 20), F.lit(mixing.SLICES)).alias("s"))
+    counts = place.groupBy("s").count().agg(F.max("count"), F.sum("count")).first()
+    assert counts[0] < 0.05 * counts[1]  # rows without an id are no slice of their own
+
+
+def test_columns_keep_their_names_and_values(spark):
+    rows = [(i, "w " * 9, "ab"[i % 2], "size", {"k": i}, 0.5) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, mix_size string, mix_copy map<string,int>, `mix_copies` double")
+    out = mixing.mixed_documents(docs)
+    assert out.schema.simpleString() == docs.schema.simpleString()
+    kept = out.collect()
+    assert kept and all(r.mix_size == "size" and r.mix_copy == {"k": r.doc_id} and r.mix_copies == 0.5 for r in kept)
+
+
 def test_a_source_without_words_keeps_its_weight(spark):
     rows = [(i, "w " * 10, s, "", "") for i, s in enumerate("bcd" * 100)]
     rows += [(1000, None, "a", "", ""), (1001, " \n", "a", "", ""), (1002, "", "bb", "", "")]

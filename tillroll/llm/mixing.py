@@ -8,7 +8,9 @@ Documents are then laid end to end on a line per pattern, in a seeded order, onc
 is a stretch of that line, and a copy of a document belongs to the stretch that holds its middle.
 
 A null text has size 0, a null source is a source of its own and comes last; a document of size 0 is never taken. Rows
-are mixed one by one, so repeated rows and ids count separately. An empty table gives no rows.
+are mixed one by one, so repeated rows and ids count separately. The seeded order is that of a digest of the whole row,
+so that rows with one id, or none, are spread as well and their order does not hang on the partitioning; rows that are
+equal throughout are interchangeable. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from collections import defaultdict
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tillroll.llm.expressions import hashable
 from tillroll.staging import written
 
 REPEATS = 3
@@ -129,17 +132,25 @@ def least_cost_flow(capacity: dict[tuple, int], quota: dict, repeats: int = REPE
 def mix(docs: DataFrame, size: Column, sources: Column, key: Column, repeats: int = REPEATS, seed: int = SEED, slices: int = SLICES) -> DataFrame:
     """``docs`` with ``mix_size``, ``mix_sources`` and ``mix_copies``: one struct (repetition, source) per copy that is taken.
 
-    ``size`` counts words, ``sources`` is an array of the sources a row belongs to, ``key`` orders rows that the seed
-    ties. Columns of these names are replaced. Within a pattern and repetition the order is that of a seeded hash; it is
+    ``size`` counts words, ``sources`` is an array of the sources a row belongs to, ``key`` names a row; rows of one key
+    are told apart by all their columns. Columns of these names are replaced. Within a pattern and repetition the order is that of a seeded hash; it is
     cut into ``slices`` by the hash, so that no window holds more than a slice of a source.
     """
+    return _lined(docs, size, sources, key, repeats, seed, slices).select(
+        *[F.col("doc")[c].alias(c) for c in docs.columns if c not in ("mix_size", "mix_sources", "mix_copies")],
+        *[F.col(c).alias(f"mix_{c}") for c in ("size", "sources", "copies")],
+    )
+
+
+def _lined(docs: DataFrame, size: Column, sources: Column, key: Column, repeats: int, seed: int, slices: int) -> DataFrame:
+    """(doc, size, sources, copies) by row; ``doc`` is the row as it was."""
     pattern = F.array_sort(F.array_distinct(sources))
     rows = docs.select(
         F.struct("*").alias("doc"),
         size.alias("size"),
         pattern.alias("sources"),
-        key.alias("key"),
-        F.xxhash64(F.lit(seed), key).alias("place"),
+        F.xxhash64(key).alias("key"),
+        F.xxhash64(F.lit(seed), key, *hashable(docs)).alias("place"),
     )
     rows = written(rows.withColumn("slice", F.pmod(F.shiftright("place", 20), F.lit(slices))), "mix-rows")
     in_slices = written(rows.groupBy("sources", "slice").agg(F.sum("size").alias("words")), "mix-slices")
@@ -176,10 +187,7 @@ def mix(docs: DataFrame, size: Column, sources: Column, key: Column, repeats: in
     copies = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(repeats - 1)), copies_of))
     none = F.array().cast(f"array<struct<repetition:int,source:{kind}>>")
     copies = F.when((F.col("size") > 0) & F.col("plan").isNotNull(), copies).otherwise(none)
-    lined = lined.select("doc", "size", "sources", copies.alias("copies"))
-    kept = [F.col("doc")[c].alias(c) for c in docs.columns if c not in ("mix_size", "mix_sources", "mix_copies")]
-    made = {"mix_size": "size", "mix_sources": "sources", "mix_copies": "copies"}
-    return lined.select(*kept, *[F.col(c).alias(name) for name, c in made.items()])
+    return lined.select("doc", "size", "sources", copies.alias("copies"))
 
 
 def _stretches(shares: dict) -> list[tuple]:
@@ -191,6 +199,7 @@ def _stretches(shares: dict) -> list[tuple]:
 
 
 def mixed_documents(docs: DataFrame, text_col: str = "text", source_col: str = "source", id_col: str = "doc_id", **options) -> DataFrame:
-    """The mix itself: the rows of ``docs``, each as often as it is taken."""
-    found = mix(docs, n_words(text_col), F.array(F.col(source_col)), F.col(id_col), **options)
-    return found.select(*docs.columns, F.explode("mix_copies").alias("mix_copy")).drop("mix_copy")
+    """The mix itself: the rows of ``docs``, each as often as it is taken. Columns are those of ``docs``, whatever their names."""
+    settings = {"repeats": REPEATS, "seed": SEED, "slices": SLICES} | options
+    rows = _lined(docs, n_words(text_col), F.array(F.col(source_col)), F.col(id_col), **settings)
+    return rows.select("doc", F.explode("copies").alias("copy")).select("doc.*")

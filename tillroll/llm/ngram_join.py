@@ -35,6 +35,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillroll.llm.components import components
+from tillroll.llm.expressions import hashable
 from tillroll.llm.shingles import WIDTH, chunks, mixed, numbers, shingle_sets
 from tillroll.staging import written
 
@@ -422,8 +423,6 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     classes = written(_classes(_texts(docs, id_col, text_col), **settings), "classes")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", *_KEY))
     keep = classes.groupBy("class_row").agg(first.alias("f")).select("f.ih", "f.th").distinct()
-    # maps have no hash, so columns that hold one are taken as text
-    plain = [F.to_json(F.struct(c)) if "map<" in t or t == "variant" else F.col(c) for c, t in ((f"doc.`{n}`", t) for n, t in docs.dtypes)]
     whole = docs.select(F.struct("*").alias("doc"), *_keys(F.col(id_col), F.col(text_col)))
     held = whole.join(keep.hint("shuffle_hash"), _KEY, "left_semi")
-    return held.withColumn("row", F.xxhash64(*plain)).groupBy(*_KEY).agg(F.min_by("doc", "row").alias("doc")).select("doc.*")
+    return held.withColumn("row", F.xxhash64(*hashable(docs, "doc"))).groupBy(*_KEY).agg(F.min_by("doc", "row").alias("doc")).select("doc.*")
