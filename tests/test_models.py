@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillroll.plans import kpis, modelling, scoring
+from tillroll.plans.boosting import HistogramBoosting
 from tillroll.plans.features import FEATURES, TARGET
 
 
@@ -87,7 +88,31 @@ def test_ensembles_fit(table, name):
     few = {"numTrees": 5} if name == "RandomForest" else {"maxIter": 5}
     trained = modelling.train_model(table, name, tune=False, **few)
     assert modelling.evaluate([trained], table).first()["R2"] > 0.3
-    assert trained.estimator in {"RandomForestRegressionModel", "GBTRegressionModel"}
+    kinds = {"RandomForest": "RandomForestRegressionModel", "GradientBoosting": "GBTRegressionModel"}
+    assert trained.estimator == kinds.get(name, "BoostedModel")
+
+
+def test_search_of_boosted_trees_grows_all_fits_side_by_side(spark, table, monkeypatch, tmp_path):
+    grid = {"maxIter": [3, 6], "stepSize": [0.2], "numLeaves": [4, 15], "subsample": [0.8]}
+    monkeypatch.setitem(modelling.MODELS, "LightGBM", modelling.ModelConfig(HistogramBoosting, modelling.MODELS["LightGBM"].defaults, grid))
+    trained = modelling.train_model(table, "LightGBM", n_iter=3)
+    _, tried, fitted = modelling.random_search(table, "LightGBM", n_iter=3)
+    assert len(tried) == 3 and tried[int(np.argmin(fitted.avgMetrics))] == trained.best_params
+    assert trained.cv_rmse == pytest.approx(min(fitted.avgMetrics))
+    assert fitted.bestModel.getOrDefault("trees") == trained.model.stages[-1].getOrDefault("trees")  # to the last bit
+    # one setting and fold by hand
+    fold = modelling.hash_bucket(F.col("CustomerID"), 5, "fold")
+    errors = []
+    for f in range(5):
+        alone = modelling.MODELS["LightGBM"].build(**tried[0])
+        rows = modelling.assembler().transform(table)
+        model = alone.fit_settings(rows.where(fold != f), [({}, -1)], F.col("CustomerID"))[0]
+        errors.append(modelling.metrics(model.transform(rows.where(fold == f))).first()["RMSE"])
+    assert np.mean(errors) == pytest.approx(fitted.avgMetrics[0], rel=0.05)  # bins of the folds alone differ a little
+    modelling.save_model(trained, str(tmp_path), modelling.evaluate([trained], table).first().asDict())
+    name, again = modelling.load_best(spark, str(tmp_path))
+    same = again.transform(table).join(trained.model.transform(table).select("CustomerID", F.col("prediction").alias("p")), "CustomerID")
+    assert name == "LightGBM" and same.where("prediction = p").count() == 400
 
 
 def test_registry_replaces_names_and_keeps_the_first_of_a_tie(spark, tmp_path):

@@ -312,6 +312,7 @@ def report() -> str:
         COALESCE({pct('o - a', 'o')}, 0) AS total_removed_pct FROM ({steps})""")
 
 
+STEP = "CASE WHEN Is_UK = 1 THEN 140.0::DOUBLE ELSE 40.0::DOUBLE END"
 RULE = "CAST(Recency * 2 + Frequency * 5 + 7 AS DOUBLE)"
 TEST_SIDE = "CAST('0x' || md5(CustomerID)[1:8] AS BIGINT) % 100 >= 80"
 
@@ -698,6 +699,10 @@ ORACLE: dict[str, str] = {
     "score_batch_rule": q(f"SELECT CustomerID, {RULE} AS predicted_cltv FROM features"),
     "score_whatif_rule": q("SELECT CustomerID, CAST(2 + (Frequency + 1) * 5 + 7 AS DOUBLE) AS predicted_cltv FROM features"),
     "residuals_rule": q(f"SELECT CustomerID, {RULE} AS actual, {RULE} AS predicted, 0.0::DOUBLE AS residual FROM features WHERE {TEST_SIDE}"),
+    **{
+        f"model_{m}_rule": q(f"SELECT CustomerID, {STEP} AS actual, {STEP} AS predicted, 0.0::DOUBLE AS residual FROM features WHERE {TEST_SIDE}")
+        for m in ("tree", "gbt", "xgb", "lgbm")
+    },
     "load_best_rule": q(f"SELECT CustomerID, {RULE} AS predicted_cltv, 'LinearRegression' AS model FROM features"),
     "daily_run": q("""SELECT 'cleaning_report' AS table_name, 6::BIGINT AS row_count
         UNION ALL SELECT 'cleaned', COUNT(*) FROM lines
