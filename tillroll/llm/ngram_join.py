@@ -45,8 +45,8 @@ RUNS = 10
 RECALL = 0.95
 POSITIONS = 64
 LIMIT = 256
-BLOCK = 2048
-BYTES = 16 << 20
+BLOCK = 1024
+BYTES = 8 << 20
 SALTS = 32
 DEPTH = 12
 MOST_RUNS = 4096
@@ -153,7 +153,7 @@ def _candidates(threshold: float):
     return find
 
 
-def shared_counts(left: list[np.ndarray], right: list[np.ndarray], width: int = 1024) -> np.ndarray:
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray], width: int = 512) -> np.ndarray:
     """How many elements each left set shares with each right set; sets have fewer than 2**24, so the sums are exact."""
     values, number = np.unique(np.concatenate([*left, *right]), return_inverse=True)
     row = np.repeat(np.arange(len(left) + len(right)), [len(s) for s in (*left, *right)])
