@@ -86,15 +86,15 @@ def resolve(
     ends = rows.groupBy("part").agg(F.min("url").alias("a"), F.max("url").alias("b"))
     ends = ends.select("part", F.explode(F.array_distinct(F.array("a", "b"))).alias("url"))
     long = ends.groupBy("url").agg(F.count("*").alias("n")).where("n > 1").select("url")
-    newest = rows.where("full IS NOT NULL").join(F.broadcast(long), "url")  # at most a row per partition
+    newest = rows.where("full IS NOT NULL").join(long, "url")  # at most a row per partition
     newest = newest.groupBy("url", "part").agg(F.max_by("full", F.struct("time", "id")).alias("newest"))
-    newest = ends.join(F.broadcast(long), "url").join(newest, ["url", "part"], "left")
+    newest = ends.join(long, "url").join(newest, ["url", "part"], "left")
     earlier = Window.partitionBy("url").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     carried = newest.select("url", "part", F.last("newest", ignorenulls=True).over(earlier).alias("carried"))
 
     inside = Window.partitionBy("part", "url").orderBy("time", "id").rowsBetween(Window.unboundedPreceding, -1)
     seen = rows.withColumn("near", F.last("full", ignorenulls=True).over(inside)).where("revisit")
-    seen = seen.join(F.broadcast(carried), ["part", "url"], "left")  # at most two rows per partition
+    seen = seen.join(carried, ["part", "url"], "left")  # at most two rows per partition
     source = F.when(F.col("url").isNotNull() & F.col("time").isNotNull(), F.coalesce("near", "carried"))
     seen = seen.withColumn("source", source)
 

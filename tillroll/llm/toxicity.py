@@ -27,7 +27,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tillroll.staging import written
 
 MAX_ROWS = 20_000
-MAX_TERMS = 20_000
 SUPPORT = 8  # toxic texts a term must stand in
 STRONG, WEAK = 0.95, 0.5  # share of its texts that are toxic, in equal numbers of both kinds
 REJECT = 0.7
@@ -138,8 +137,8 @@ def _counted(texts: DataFrame, among: frozenset[str] | None) -> DataFrame:
 
 
 def learn_lexicon(toxic: DataFrame, clean: DataFrame, ratio: float) -> Lexicon:
-    """``ratio``: clean texts per toxic one. At most ``MAX_TERMS`` terms are looked at, those in most toxic texts."""
-    often = _counted(toxic, None).where(F.col("n") >= SUPPORT).orderBy(F.desc("n"), "term").limit(MAX_TERMS).collect()
+    """``ratio``: clean texts per toxic one. All terms of the labelled texts are looked at that stand in ``SUPPORT`` toxic ones."""
+    often = _counted(toxic, None).where(F.col("n") >= SUPPORT).collect()  # the labelled texts are bounded, and so are their terms
     bad = {r.term: r.n for r in often}
     good = {r.term: r.n for r in _counted(clean, frozenset(bad)).collect()}
     share = {t: n / (n + good.get(t, 0) / max(ratio, 1.0)) for t, n in bad.items()}
