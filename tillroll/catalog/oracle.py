@@ -430,6 +430,8 @@ def measure(name: str) -> str:
 ORACLE: dict[str, str] = {
     "load_transactions": q(f"SELECT {RAW} FROM t"),
     "load_awkward_csv": q(f"""SELECT {RAW.replace('Description', "CASE abs(Quantity) % 5 WHEN 0 THEN '  PAD  ' WHEN 1 THEN 'SET \"15\", RED' WHEN 2 THEN '' WHEN 3 THEN '日本 é, €' END AS Description")} FROM t"""),
+    "load_mixed_encodings": q("""SELECT 'CAF\u00c9' AS Description, Country, COUNT(*) AS line_count, CAST(SUM(Quantity) AS BIGINT) AS units FROM t GROUP BY Country
+        UNION ALL SELECT 'put aside', 'Quantity', COUNT(*), 0 FROM t WHERE Quantity < 0 HAVING COUNT(*) > 0"""),
     "union_periods": q(f"SELECT {RAW} FROM t"),
     "validate_schema": q("SELECT TRUE AS valid, COUNT(*) AS row_count, COUNT(CustomerID) AS known_rows FROM t"),
     "table_profile": profile(),
@@ -481,6 +483,8 @@ ORACLE: dict[str, str] = {
         CAST(MIN(Price) AS DOUBLE) AS min_price, CAST(MAX(Price) AS DOUBLE) AS max_price, COUNT(*) AS line_count
         FROM t WHERE Price > 0 GROUP BY StockCode"""),
     "agg_distinct": q("SELECT StockCode, COUNT(DISTINCT Invoice) AS invoices, COUNT(DISTINCT CustomerID) AS buyers FROM t GROUP BY StockCode"),
+    "agg_distinct_sketch": q("""SELECT strftime(InvoiceDate, '%Y-%m') AS year_month, COUNT(DISTINCT Invoice) AS orders, COUNT(DISTINCT CustomerID) AS buyers,
+        TRUE AS orders_close, TRUE AS buyers_close FROM t WHERE InvoiceDate IS NOT NULL GROUP BY 1"""),
     "agg_conditional": q(f"SELECT StockCode, {BUYS} AS sold_qty, {BACKS} AS returned_qty FROM t GROUP BY StockCode"),
     "agg_two_level": q("SELECT * FROM f_month"),
     "agg_ratio": q("SELECT CustomerID, CAST(spend AS DOUBLE) / orders AS avg_order_value FROM spend"),
@@ -493,6 +497,9 @@ ORACLE: dict[str, str] = {
     "exact_quantile": q(" UNION ALL ".join(
         f"SELECT '{c}' AS name, {p}::DOUBLE AS q, CAST(CAST(quantile_cont({c}::DOUBLE, {p}) AS DECIMAL(20, 4)) AS DOUBLE) AS value FROM lines"
         for c in ("Quantity", "Price") for p in (0.01, 0.25, 0.5, 0.75, 0.99))),
+    "bracketed_quantile": q(" UNION ALL ".join(
+        f"SELECT '{c}' AS name, {p}::DOUBLE AS q, CAST(CAST(quantile_cont({c}::DOUBLE, {p}) AS DECIMAL(20, 4)) AS DOUBLE) AS value FROM lines"
+        for c in ("Quantity", "Price") for p in (0.01, 0.25, 0.5, 0.75, 0.99))),
     "w_rank": q("SELECT CustomerID, orders AS order_count, RANK() OVER (ORDER BY orders DESC) AS order_rank FROM spend"),
     "w_row_number": q("SELECT CustomerID, CAST(spend AS DOUBLE) AS total_spend, ROW_NUMBER() OVER (ORDER BY spend DESC, CustomerID) AS place FROM spend"),
     "w_ntile4": QUARTILES,

@@ -11,7 +11,7 @@ from tillroll.catalog import tables as t
 from tillroll.functions.dates import month_label, month_start, whole_days
 from tillroll.functions.money import line_revenue, mean, percent, ratio, rounded, total
 from tillroll.functions.rules import basket_size, is_abroad, is_cancelled, is_priced, is_valid_sale, qcut_of_rank
-from tillroll.operators import joins, ordering, quantiles
+from tillroll.operators import joins, ordering, quantiles, sketches
 from tillroll.plans import (
     advanced,
     cleaning,
@@ -55,6 +55,23 @@ def load_awkward_csv(spark, folder):
     return t.plain(files.load_transactions(spark, path, format="csv"))
 
 
+def load_mixed_encodings(spark, folder):
+    """Files of two encodings, some rows of which do not parse: the lines, and how many rows were put aside."""
+    path = fresh_path(spark, "mixed")
+    plain = t.lines(spark, folder).withColumn("Description", F.lit("CAF\u00c9"))
+    even = F.pmod(F.xxhash64("Invoice", "StockCode"), F.lit(2)) == 0
+    files.save_csv(plain.where(even), f"{path}/utf8")
+    files.save_csv(plain.where(~even), f"{path}/latin1", encoding="ISO-8859-1")
+    bad = plain.where(F.col("Quantity") < 0).withColumn("Quantity", F.concat(F.col("Quantity").cast("string"), F.lit("x")))
+    files.save_csv(bad, f"{path}/bad")
+    lines, put_aside = files.load_mixed(spark, f"{path}/*")
+    return lines.groupBy("Description", "Country").agg(
+        F.count(F.lit(1)).alias("line_count"), F.sum("Quantity").alias("units")
+    ).unionByName(put_aside.groupBy(F.lit("put aside").alias("Description"), F.col("reason").alias("Country")).agg(
+        F.count(F.lit(1)).alias("line_count"), F.lit(0).cast("long").alias("units")
+    ))
+
+
 def _periods(spark, folder):
     tx = t.lines(spark, folder)
     start = F.to_timestamp_ntz(F.lit(PERIOD_START))
@@ -254,6 +271,20 @@ def agg_basic(spark, folder):
     )
 
 
+def agg_distinct_sketch(spark, folder):
+    """Customers and orders per month from sketches kept by day, beside the exact numbers."""
+    day, month = F.to_date("InvoiceDate"), month_label(F.col("day"))
+    tx = t.lines(spark, folder, "Invoice", "InvoiceDate", "CustomerID").where(F.col("InvoiceDate").isNotNull()).withColumn("day", day)
+    daily = sketches.distinct_sketches(tx, ["day"], ["Invoice", "CustomerID"])
+    near = sketches.distinct_estimates(daily.withColumn("year_month", month), ["year_month"], ["Invoice", "CustomerID"])
+    exact = tx.groupBy(month.alias("year_month")).agg(F.countDistinct("Invoice").alias("orders"), F.countDistinct("CustomerID").alias("buyers"))
+    close = lambda estimate, number: F.abs(F.col(estimate) - F.col(number)) <= F.greatest(F.lit(2), F.col(number) * 0.08)
+    # five standard errors; an estimate has a bound, not a value that SQL could state
+    return exact.join(near, "year_month").select(
+        "year_month", "orders", "buyers", close("Invoice", "orders").alias("orders_close"), close("CustomerID", "buyers").alias("buyers_close")
+    )
+
+
 def agg_distinct(spark, folder):
     tx = t.lines(spark, folder, "Invoice", "StockCode", "CustomerID")
     return tx.groupBy("StockCode").agg(
@@ -305,6 +336,11 @@ def exact_quantile(spark, folder):
     return t.plain(quantiles.exact_quantiles(t.kept(spark, folder), ["Quantity", "Price"], wanted))
 
 
+def bracketed_quantile(spark, folder):
+    wanted = [0.01, 0.25, 0.5, 0.75, 0.99]
+    return t.plain(sketches.bracketed_quantiles(t.kept(spark, folder), ["Quantity", "Price"], wanted))
+
+
 # --- windows, order and top-k
 
 
@@ -832,6 +868,7 @@ QUERIES: dict[str, t.Query] = {
     # sources and sinks
     "load_transactions": load_transactions,
     "load_awkward_csv": load_awkward_csv,
+    "load_mixed_encodings": load_mixed_encodings,
     "union_periods": union_periods,
     "validate_schema": schema_check,
     "table_profile": lambda spark, folder: profile.table_profile(t.lines(spark, folder)),
@@ -868,6 +905,7 @@ QUERIES: dict[str, t.Query] = {
     # aggregations
     "agg_basic": agg_basic,
     "agg_distinct": agg_distinct,
+    "agg_distinct_sketch": agg_distinct_sketch,
     "agg_conditional": agg_conditional,
     "agg_two_level": agg_two_level,
     "agg_ratio": agg_ratio,
@@ -877,6 +915,7 @@ QUERIES: dict[str, t.Query] = {
     "agg_named": agg_named,
     "value_counts": lambda spark, folder: rfm.segment_counts(t.segments(spark, folder)),
     "exact_quantile": exact_quantile,
+    "bracketed_quantile": bracketed_quantile,
     # windows, order, top-k
     "w_rank": w_rank,
     "w_row_number": w_row_number,
