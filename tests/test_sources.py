@@ -166,3 +166,28 @@ def test_csv_round_trip_keeps_every_text(spark, lines, tmp_path, multi_line):
     assert {int(r.Invoice): r.Description for r in back.collect()} == dict(enumerate(texts))
     with pytest.raises(ValueError, match="csv and parquet"):
         files.load_transactions(spark, str(tmp_path / "out"))
+
+
+HEADER = "Invoice,StockCode,Description,Quantity,InvoiceDate,Price,Customer ID,Country"
+
+
+def test_files_of_mixed_encodings_and_bad_rows(spark, tmp_path):
+    def put(name, encoding, *rows):
+        (tmp_path / name).write_bytes("\n".join([HEADER, *rows, ""]).encode(encoding))
+
+    put("a.csv", "utf-8", "1,A,CAF\u00c9 \u20ac \u65e5,1,2011-01-02 03:04:05,2.50,7,France", '2,B,"SAYS ""HI"", OK",2.0,1/2/2011 3:04,3,,France')
+    put("b.csv", "latin-1", "3,C,CAF\u00c9,3,2011-01-02,4,9.0,\u00c5land", "4,D,BAD PRICE,1,2011-01-02,x,1,\u00c5land", "5,E,BAD DATE,1,2011-13-45,1,1,Spain")
+    put("c.csv", "utf-8", "6,F,TOO FEW,1", "7,G,,,,,,", "8,H,MANY,1,2011-01-02,1,1,Spain,EXTRA", "9,I,HALF,1.5,2011-01-02,1,1,Spain")
+    lines, bad = files.load_mixed(spark, str(tmp_path))
+    got = {r.Invoice: r for r in lines.collect()}
+    assert set(got) == {"1", "2", "3", "7"} and lines.schema == TRANSACTIONS
+    assert (got["1"].Description, got["3"].Description, got["3"].Country) == ("CAF\u00c9 \u20ac \u65e5", "CAF\u00c9", "\u00c5land")
+    assert (got["2"].Description, got["2"].Quantity, got["2"].InvoiceDate.isoformat()) == ('SAYS "HI", OK', 2, "2011-01-02T03:04:00")
+    assert got["7"].Price is None and got["7"].InvoiceDate is None
+    found = sorted((r.file.rsplit("/", 1)[1], r.reason, r.row.split(",")[0]) for r in bad.collect())
+    assert found == [
+        ("b.csv", "InvoiceDate", "5"), ("b.csv", "Price", "4"), ("c.csv", "Quantity", "9"), ("c.csv", "number of values", "6"),
+        ("c.csv", "number of values", "8"),
+    ]
+    whole, none = files.load_mixed(spark, str(tmp_path / "a.csv"))
+    assert whole.count() == 2 and none.count() == 0

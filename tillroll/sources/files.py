@@ -52,6 +52,65 @@ def load_transactions(
     return raw.select(*[_typed(raw, field).alias(field.name) for field in TRANSACTIONS])
 
 
+def file_encodings(spark: SparkSession, path: str) -> dict[str, str]:
+    """By file under ``path``: UTF-8 if all its lines are valid, else ISO-8859-1, which any bytes are valid in. One entry per file."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.is_valid_utf8("value").alias("fits"))
+    return {r.file: "UTF-8" if r.fits else "ISO-8859-1" for r in lines.groupBy("file").agg(F.bool_and("fits").alias("fits")).collect()}
+
+
+REASON = "reason"
+
+
+def load_mixed(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(lines, bad rows) of a CSV file or folder whose files may have different encodings.
+
+    Bad rows have the file, the ``reason`` and the row's text: another number of values than the header has, or a value that does
+    not parse, of which the first column is named. The others are typed as ``load_transactions`` types them. All files
+    have the columns of the transactions in one order. Files are read as they lie, so texts without line breaks only.
+    """
+    names = TRANSACTIONS.fieldNames()
+    parts = []
+    encodings = file_encodings(spark, path)
+    for encoding in sorted(set(encodings.values())):
+        files = sorted(f for f, e in encodings.items() if e == encoding)
+        options = dict(
+            header=True, encoding=encoding, quote='"', escape='"', emptyValue=_EMPTY, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+        )
+        header = require_columns(spark.read.options(**options).csv(files), set(names))
+        original = spark.read.options(**options).csv(files).columns
+        schema = T.StructType([*[T.StructField(c, T.StringType()) for c in original], T.StructField(_ROW, T.StringType())])
+        raw = spark.read.schema(schema).options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord=_ROW).csv(files)
+        raw = raw.toDF(*header.columns, _ROW)
+        parts.append(raw.select(*names, _ROW, F.col("_metadata.file_path").alias("file")))
+    if not parts:
+        raise FileNotFoundError(path)
+    raw = union_periods(*parts)
+    faults = [F.when(F.col(_ROW).isNotNull(), F.lit("number of values")), *[F.when(~_parses(raw, f), F.lit(f.name)) for f in TRANSACTIONS]]
+    marked = raw.withColumn(REASON, F.coalesce(*faults))
+    text = F.coalesce(_ROW, F.to_csv(F.struct(*[F.nullif(F.col(c), F.lit(_EMPTY)).alias(c) for c in names])))
+    bad = marked.where(F.col(REASON).isNotNull()).select("file", REASON, text.alias("row"))
+    return marked.where(F.col(REASON).isNull()).select(*[_typed(raw, f).alias(f.name) for f in TRANSACTIONS]), bad
+
+
+_ROW = "_row"
+
+
+def _parses(raw: DataFrame, field: T.StructField) -> Column:
+    """Whether the text of a column can be read as its type; NULL and empty texts can."""
+    value = F.trim(F.when(F.col(field.name) == _EMPTY, "").otherwise(F.col(field.name)))
+    blank = F.coalesce(value, F.lit("")) == ""
+    if isinstance(field.dataType, T.StringType):
+        return F.lit(True)
+    if isinstance(field.dataType, T.TimestampNTZType):
+        known = F.lit(False)
+        for shape, layout in reversed(DATE_LAYOUTS):
+            known = F.when(value.rlike(shape), F.try_to_timestamp(value, F.lit(layout)).isNotNull()).otherwise(known)
+        return blank | known
+    if isinstance(field.dataType, T.IntegralType):
+        value = F.regexp_replace(value, r"\.0*$", "")
+    return blank | value.try_cast(field.dataType).isNotNull()
+
+
 def parsed_date(text: Column) -> Column:
     """A timestamp from any of the known layouts; NULL from an empty text; other texts raise."""
     text = F.trim(text)
