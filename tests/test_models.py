@@ -1,6 +1,7 @@
 """Splits, metrics, registry, models and scores."""
 
 import math
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pytest
@@ -126,6 +127,20 @@ def test_registry_replaces_names_and_keeps_the_first_of_a_tie(spark, tmp_path):
     assert modelling.read_registry(spark, str(tmp_path / "nowhere")) is None
 
 
+def test_writers_at_the_same_time_keep_all_entries_and_numbers(spark, tmp_path):
+    folder = str(tmp_path / "registry")
+    score = {"MAE": 1, "RMSE": 1, "R2": float("nan"), "MAPE": 1}
+    with ThreadPoolExecutor(4) as pool:
+        work = [pool.submit(modelling.register, spark, folder, f"m{k % 3}", f"p{k}", score) for k in range(24)]
+        numbers = sorted(w.result() for w in work)
+    assert numbers == list(range(1, 25))
+    rows = modelling.read_registry(spark, folder).collect()
+    assert sorted(r.seq for r in rows) == numbers and {r.path for r in rows} == {f"p{k}" for k in range(24)}
+    assert all(math.isnan(r.R2) for r in rows)
+    newest = {r.name: r.seq for r in modelling.current_models(modelling.read_registry(spark, folder)).collect()}
+    assert newest == {n: max(r.seq for r in rows if r.name == n) for n in ("m0", "m1", "m2")}
+
+
 def test_saved_model_predicts_the_same(spark, table, tmp_path):
     trained = modelling.train_model(table, "LinearRegression")
     modelling.save_model(trained, str(tmp_path), modelling.evaluate([trained], table).first().asDict())

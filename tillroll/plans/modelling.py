@@ -9,12 +9,13 @@ produced it.
 from __future__ import annotations
 
 import itertools
+import json
 import random
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
 from pyspark.ml import Estimator, PipelineModel, Transformer
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -253,21 +254,54 @@ def evaluate(trained: list[Trained], test: DataFrame) -> DataFrame:
 REGISTRY = "seq bigint, name string, path string, MAE double, RMSE double, R2 double, MAPE double"
 
 
-def register(spark: SparkSession, folder: str, name: str, path: str, scores: dict[str, float]) -> None:
-    """Append an entry; the newest of a name counts."""
-    entries = read_registry(spark, folder)
-    last = entries.agg(F.max("seq")).first()[0] if entries is not None else None
-    row = ((last or 0) + 1, name, path, *(float(scores[m]) for m in ("MAE", "RMSE", "R2", "MAPE")))
-    spark.createDataFrame([row], REGISTRY).write.mode("append").parquet(folder)
+def _claimed(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file unless it is there already; whoever creates it first has it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(target.getParent())
+    if system.getScheme() == "file":  # Hadoop looks and then creates there, which is no claim
+        try:
+            with open(target.toUri().getPath(), "x", encoding="utf-8") as file:
+                file.write(text)
+        except FileExistsError:
+            return False
+        return True
+    try:
+        out = system.create(target, False)
+    except Py4JJavaError as error:
+        if system.exists(target):
+            return False
+        raise error
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
+def _entries(spark: SparkSession, folder: str) -> list[int]:
+    """The numbers taken so far, from the names of the entries' files."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        return []
+    names = [status.getPath().getName() for status in system.listStatus(path)]
+    return [int(n.removesuffix(".json")) for n in names if n.endswith(".json")]
+
+
+def register(spark: SparkSession, folder: str, name: str, path: str, scores: dict[str, float]) -> int:
+    """Append an entry and return its number; the newest of a name counts.
+
+    An entry is a file of its own, named by its number and created only if no other writer has: several may register at
+    the same time, and each gets a number of its own.
+    """
+    while True:
+        number = max(_entries(spark, folder), default=0) + 1
+        entry = {"seq": number, "name": name, "path": path, **{m: float(scores[m]) for m in ("MAE", "RMSE", "R2", "MAPE")}}
+        if _claimed(spark, f"{folder.rstrip('/')}/{number:012d}.json", json.dumps(entry) + "\n"):
+            return number
 
 
 def read_registry(spark: SparkSession, folder: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(REGISTRY).parquet(folder)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    return spark.read.schema(REGISTRY).option("allowNonNumericNumbers", True).json(folder) if _entries(spark, folder) else None
 
 
 def current_models(entries: DataFrame) -> DataFrame:
