@@ -40,6 +40,18 @@ ODD = [
 ]
 
 
+def test_a_floor_leaves_out_only_what_scores_less():
+    rng = np.random.default_rng(8)
+    vectors, queries = rng.integers(-9, 9, (400, 6)), rng.integers(-9, 9, (30, 6))
+    ids, own = np.arange(400), np.arange(30)
+    whole = topk.search_shard(queries, own, vectors, ids, 7)
+    scores = queries @ vectors.T
+    floors = [None if n % 3 == 0 else int(np.sort(scores[n])[-5]) for n in range(30)]
+    some = topk.search_shard(queries, own, vectors, ids, 7, floors)
+    reached = lambda hits: {h for h in hits if floors[h[0]] is None or h[2] >= floors[h[0]]}
+    assert reached(some) == reached(whole) and all(scores[n, i] == s for n, i, s in some)
+
+
 @pytest.mark.parametrize("options", [{}, {"block": 4, "shard": 37}])
 def test_equals_brute_force(spark, options):
     rows = rows_of(1, 400) + ODD
