@@ -430,6 +430,8 @@ def measure(name: str) -> str:
 ORACLE: dict[str, str] = {
     "load_transactions": q(f"SELECT {RAW} FROM t"),
     "load_awkward_csv": q(f"""SELECT {RAW.replace('Description', "CASE abs(Quantity) % 5 WHEN 0 THEN '  PAD  ' WHEN 1 THEN 'SET \"15\", RED' WHEN 2 THEN '' WHEN 3 THEN '日本 é, €' END AS Description")} FROM t"""),
+    "stored_table": q("""SELECT CustomerID, COUNT(*) AS line_count, CAST(SUM(Quantity) AS BIGINT) AS units FROM (
+        SELECT CustomerID, Quantity FROM t UNION ALL SELECT '13085', 6 UNION ALL SELECT '13085', -1) GROUP BY CustomerID"""),
     "load_mixed_encodings": q("""SELECT 'CAF\u00c9' AS Description, Country, COUNT(*) AS line_count, CAST(SUM(Quantity) AS BIGINT) AS units FROM t GROUP BY Country
         UNION ALL SELECT 'put aside', 'Quantity', COUNT(*), 0 FROM t WHERE Quantity < 0 HAVING COUNT(*) > 0"""),
     "union_periods": q(f"SELECT {RAW} FROM t"),

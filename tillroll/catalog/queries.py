@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 from decimal import Decimal
 
@@ -28,8 +29,8 @@ from tillroll.plans import (
     views,
 )
 from tillroll.plans.features import TARGET
-from tillroll.schema import validate_schema
-from tillroll.sources import files
+from tillroll.schema import TRANSACTIONS, validate_schema
+from tillroll.sources import files, store
 from tillroll.staging import fresh_path
 
 CUSTOMER = "7"
@@ -119,6 +120,17 @@ def insert_rows(spark, folder):
     return t.plain(files.insert_rows(t.lines(spark, folder), rows))
 
 
+def stored_table(spark, folder):
+    """All lines in the stored table, one year put in again, and some rows appended: what is read back by customer."""
+    name, tx = f"lines_{uuid.uuid4().hex}", t.lines(spark, folder)
+    rows = [(*r[:4], datetime.fromisoformat(r[4]), Decimal(r[5]), *r[6:]) for r in EXAMPLE_ROWS]
+    store.create_store(tx, name, fresh_path(spark, "stored"), buckets=4)
+    store.put_days(tx.where(F.year("InvoiceDate") == 1998), name)
+    store.append_rows(spark.createDataFrame(rows, TRANSACTIONS), name)
+    units = F.sum("Quantity").alias("units")
+    return store.read_store(spark, name).groupBy("CustomerID").agg(F.count(F.lit(1)).alias("line_count"), units)
+
+
 # --- filters and projections
 
 
@@ -876,6 +888,7 @@ QUERIES: dict[str, t.Query] = {
     "load_table": load_table,
     "create_transactions": create_transactions,
     "insert_rows": insert_rows,
+    "stored_table": stored_table,
     # filters and projections
     "valid_sales": _where(is_valid_sale),
     "positive_price": _where(is_priced, "Invoice", "StockCode", "Quantity", "Price"),
