@@ -568,6 +568,8 @@ ORACLE: dict[str, str] = {
     "scale_test_standard": scaled_test("AVG({})", "STDDEV_POP({})"),
     "scale_test_minmax": scaled_test("MIN({})", "(MAX({0}) - MIN({0}))"),
     "scale_minmax": scaled("MIN({}) OVER ()", "(MAX({0}) OVER () - MIN({0}) OVER ())"),
+    "growing_rfm": q("SELECT CustomerID, Recency, Frequency, CAST(Monetary AS DOUBLE) AS Monetary FROM rs"),
+    "growing_customer_summary": q(CUSTOMER_SUMMARY),
     "rfm_raw_sql": q("SELECT CustomerID, Recency, Frequency, CAST(Monetary AS DOUBLE) AS Monetary FROM rs"),
     "rfm_scores_ntile": q("SELECT * EXCLUDE (Segment) REPLACE (CAST(Monetary AS DOUBLE) AS Monetary) FROM rsg"),
     "rfm_base_full": PYTHON_BASE,

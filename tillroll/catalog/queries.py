@@ -19,6 +19,7 @@ from tillroll.plans import (
     customers,
     daily,
     features,
+    growing,
     kpis,
     modelling,
     products,
@@ -120,6 +121,23 @@ def insert_rows(spark, folder):
     return t.plain(files.insert_rows(t.lines(spark, folder), rows))
 
 
+def _grown(spark, folder):
+    """The state of all lines, put in as two batches, the second of them twice."""
+    path = fresh_path(spark, "grown")
+    early, late = _periods(spark, folder)
+    for batch, tx in (("early", early), ("late", late), ("late", late)):
+        growing.put_batch(tx, path, batch)
+    return path
+
+
+def growing_rfm(spark, folder):
+    return t.plain(growing.rfm_metrics(spark, _grown(spark, folder)))
+
+
+def growing_customer_summary(spark, folder):
+    return growing.customer_summary(spark, _grown(spark, folder))
+
+
 def stored_table(spark, folder):
     """All lines in the stored table, one year put in again, and some rows appended: what is read back by customer."""
     name, tx = f"lines_{uuid.uuid4().hex}", t.lines(spark, folder)
@@ -889,6 +907,8 @@ QUERIES: dict[str, t.Query] = {
     "create_transactions": create_transactions,
     "insert_rows": insert_rows,
     "stored_table": stored_table,
+    "growing_rfm": growing_rfm,
+    "growing_customer_summary": growing_customer_summary,
     # filters and projections
     "valid_sales": _where(is_valid_sale),
     "positive_price": _where(is_priced, "Invoice", "StockCode", "Quantity", "Price"),
