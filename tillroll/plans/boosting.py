@@ -39,6 +39,7 @@ from tillroll.staging import written
 
 STRIDE = 10
 PART = 4  # features whose sums of a node meet in one group
+TASK_BYTES = 32 << 20  # of binned rows and scores
 _DRAWS = 1 << 20
 
 
@@ -390,7 +391,11 @@ def fit_many(
             scores = np.tile(bases, (len(binned), 1))
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], _packed(binned), _packed(scores)], names=["key", "fold", "y", "bins", "scores"])
 
-    state = written(numbered.mapInArrow(start, _STATE), "boosting")
+    # partitions by size: every tree is several jobs, and on few rows their tasks cost more than the rows
+    size = sum(r.n for r in shape) * (2 * width + 8 * len(running) + 64)
+    parts = max(1, -(-size // TASK_BYTES))
+    # known to be one partition, few rows need no shuffle to meet
+    state = written(numbered.repartition(parts, "key").mapInArrow(start, _STATE), "boosting").coalesce(parts)
     since = [0] * len(running)
     while any(f.open for f in running):
         for f in running:
@@ -414,7 +419,7 @@ def fit_many(
                     f.trees.append(_pruned(f.tree, chosen, f.growth, unit))
                     f.tree = None
         if any(len(f.trees) - s >= STRIDE for f, s in zip(running, since)):
-            state = _scores_after(state, running, since, width)
+            state = _scores_after(state, running, since, width).coalesce(parts)
             since = [len(f.trees) for f in running]
     return [Ensemble(f.base, edges, f.trees) for f in running]
 

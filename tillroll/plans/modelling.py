@@ -209,15 +209,16 @@ def train_model(train: DataFrame, name: str, tune: bool = True, n_iter: int = 10
 
 
 def train_all(
-    train: DataFrame, tune: bool = True, n_iter: int = 10, names: list[str] | None = None, parallelism: int = 3
-) -> list[Trained]:
+    train: DataFrame, tune: bool = True, n_iter: int = 10, names: list[str] | None = None, parallelism: int = 3,
+    settings: dict[str, dict] | None = None,
+) -> list[Trained]:
     """Several models, all six unless named; a few are fitted side by side to keep the cluster busy.
 
-    The training rows are written once; boosting alone reads them hundreds of times.
+    ``settings`` by name hold for untuned fits. The training rows are written once; boosting alone reads them hundreds of times.
     """
     base = written(train, "train")
     with ThreadPoolExecutor(parallelism) as pool:
-        return list(pool.map(lambda name: train_model(base, name, tune, n_iter), names or MODELS))
+        return list(pool.map(lambda name: train_model(base, name, tune, n_iter, **(settings or {}).get(name, {})), names or MODELS))
 
 
 def metrics(predictions: DataFrame, predicted: str = "prediction", actual: str = TARGET) -> DataFrame:
