@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -195,3 +196,14 @@ def test_components(spark):
             root[v] = root[root[v]]
     loose = {a for a, b in edges if a == b} - {v for a, b in edges if a != b for v in (a, b)}
     assert got == {v: r for v, r in root.items() if v not in loose}
+
+
+def test_a_group_that_fills_a_whole_batch():
+    frame = pd.DataFrame({
+        "key": [1, 1], "i": [0, 0], "j": [0, 0], "set": [3, 5], "copies": [1, 2],
+        "tokens": [np.arange(9, dtype=np.uint64).tobytes()] * 2, "partners": [[5], []],
+    })
+    for cut in (1, 2):  # a batch without the end of a group, or with one group only
+        parts = list(ngram_join._verified(0.8)(iter([frame[:cut], frame[cut:], frame.assign(key=2)])))
+        got = pd.concat(parts, ignore_index=True)
+        assert got.to_dict("list") == {"set": [3, 5] * 2, "root": [3, 3] * 2, "links": [2, 1] * 2}

@@ -96,7 +96,8 @@ def _whole_groups(frames: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[l
         columns = [frame[k].to_numpy() for k in keys]
         new = np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in columns])) + 1
         bounds = [0, *new.tolist(), len(frame)]
-        yield [frame.iloc[a:b] for a, b in zip(bounds[:-2], bounds[1:-1])]
+        if len(bounds) > 2:
+            yield [frame.iloc[a:b] for a, b in zip(bounds[:-2], bounds[1:-1])]
         rest = frame.iloc[bounds[-2] :]
     if rest is not None:
         yield [rest]
