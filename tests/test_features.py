@@ -124,3 +124,18 @@ def test_scaling_uses_population_deviation_and_zeroes_constants(spark):
     assert (got.y == 0).all()
     with pytest.raises(ValueError):
         features.scale(frame, ["x"], "robust")
+
+
+def test_invoices_of_a_single_day_are_no_days_apart(spark):
+    rows = [
+        ("1", "A", 1, "2011-01-03 09:00:00", "1"), ("2", "A", 1, "2011-01-03 17:00:00", "1"), ("3", "B", 1, "2011-01-03 09:00:00", "2"),
+    ]
+    raw = spark.createDataFrame(rows, "Invoice string, StockCode string, Quantity int, at string, CustomerID string")
+    lines = raw.select(
+        "Invoice", "StockCode", F.col("Quantity").cast("decimal(16,4)").alias("Quantity"),
+        F.col("at").cast("timestamp_ntz").alias("InvoiceDate"), "CustomerID", F.lit("France").alias("Country"),
+        F.lit(2).cast("decimal(24,6)").alias("Revenue"),
+    )
+    wanted = {"1": 0.0, "2": features.SINGLE_ORDER_INTERVAL}
+    for got in (features.feature_table(lines, SPLIT), features.behavioural_features(lines)):
+        assert {r.CustomerID: r.Avg_Purchase_Interval for r in got.collect()} == wanted
