@@ -229,3 +229,14 @@ def test_importance_of_a_model_without_weights_is_zero(spark):
 
     rows = modelling.feature_importance(spark, Plain(), ["a", "b"]).collect()
     assert [tuple(r) for r in rows] == [("a", 0.0), ("b", 0.0)]
+
+
+@pytest.mark.parametrize("name", ["DecisionTree", "RandomForest"])
+def test_deep_trees_keep_the_nodes_of_the_rows_and_are_the_same(table, name):
+    few = {"numTrees": 3} if name == "RandomForest" else {}
+    assert modelling.MODELS[name].build().getCacheNodeIds()
+    kept, plain = (
+        modelling.train_model(table, name, tune=False, **few, **other).model.stages[-1] for other in ({}, {"cacheNodeIds": False})
+    )
+    assert kept.toDebugString.split("\n", 1)[1] == plain.toDebugString.split("\n", 1)[1]
+    assert table.sparkSession.sparkContext.getCheckpointDir() is not None
