@@ -1,5 +1,7 @@
 """The feature table against a row-by-row computation in pandas."""
 
+import re
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -139,3 +141,46 @@ def test_invoices_of_a_single_day_are_no_days_apart(spark):
     wanted = {"1": 0.0, "2": features.SINGLE_ORDER_INTERVAL}
     for got in (features.feature_table(lines, SPLIT), features.behavioural_features(lines)):
         assert {r.CustomerID: r.Avg_Purchase_Interval for r in got.collect()} == wanted
+
+
+def _made(spark, rows):
+    """Cleaned lines of one unit and of revenue 2 from (invoice, time, customer, country)."""
+    raw = spark.createDataFrame(rows, "Invoice string, at string, CustomerID string, Country string")
+    return raw.select(
+        "Invoice", F.lit("A").alias("StockCode"), F.lit(1).cast("decimal(16,4)").alias("Quantity"),
+        F.col("at").cast("timestamp_ntz").alias("InvoiceDate"), "CustomerID", "Country",
+        F.lit(2).cast("decimal(24,6)").alias("Revenue"),
+    )
+
+
+def test_invoices_over_midnight_and_countries_of_one_time(spark):
+    """An invoice counts on the day it began, and a day on which none began ends no gap."""
+    cleaned = _made(spark, [
+        ("1", "2011-01-03 23:00:00", "1", "United Kingdom"), ("1", "2011-01-04 01:00:00", "1", None),
+        ("2", "2011-01-06 23:00:00", "1", "France"),
+        ("3", "1969-12-31 23:00:00", "2", "United Kingdom"), ("3", "1969-12-31 23:00:00", "2", "France"),
+        ("4", "1969-12-31 23:00:00", "3", "United Kingdom"), ("4", "1969-12-31 23:00:00", "3", "Vietnam"),
+        ("5", "2011-01-03 23:00:00", "4", None),
+    ])
+    for got in (features.feature_table(cleaned, SPLIT), features.behavioural_features(cleaned)):
+        rows = {r.CustomerID: r for r in got.collect()}
+        assert rows["1"].Avg_Purchase_Interval == 3.0
+        assert rows["1"].Avg_Basket_Size == 1.5
+        assert [rows[c].Is_UK or 0 for c in "1234"] == [1, 0, 1, 0]
+    assert features.feature_table(cleaned, SPLIT).where("CustomerID = '1'").first().Frequency == 2
+
+
+def test_each_time_is_shuffled_for_the_sums_alone(spark):
+    """The days of lines and of invoices share a window, and the few days that are cut find their lines without a shuffle."""
+    rows = [(str(i), f"2010-{i % 12 + 1:02d}-{i % 28 + 1:02d} 0{i % 10}:00:00", str(i % 499), "France") for i in range(20_000)]
+    cleaned = _made(spark, [*rows, ("x", "2010-03-05 23:00:00", "one", "France"), ("y", "2010-03-05 01:00:00", "one", "France")])
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "40k")
+    try:
+        for table in (features.feature_table(cleaned, SPLIT), features.behavioural_features(cleaned)):
+            assert table.where("CustomerID = 'one'").first().Revenue_Growth == pytest.approx(0, abs=1e-5)
+            plan = table._jdf.queryExecution().executedPlan().toString()
+            assert "Window" not in plan and "hashpartitioning(CustomerID" in plan
+            assert not re.search(r"hashpartitioning\(CustomerID#\d+, day#", plan)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -6,11 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillroll import staging
+from tillroll.catalog import tables
 from tillroll.schema import COLUMNS, TRANSACTIONS, validate_schema
 from tillroll.session import shared_dir
 from tillroll.sources import files
 from tillroll.sources.synthetic import synthetic_transactions
-from tillroll.sources.warehouse import transactions
+from tillroll.sources.warehouse import TABLES, transactions
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -70,6 +71,52 @@ def test_only_needed_tables_are_read(spark):
     assert "p_retailprice" in plan and "o_orderkey" not in plan and "n_name" not in plan
 
 
+@pytest.fixture
+def repeated(spark, tmp_path):
+    """Lines stored twice, some once more with other cents of a quantity, without flags, of no part or of no order."""
+    for table in ("orders", "customer", "nation", "part"):
+        (tmp_path / f"{table}.parquet").symlink_to(f"{SMALL}/{table}.parquet")
+    some = spark.read.parquet(f"{SMALL}/lineitem.parquet")
+    third = some.where("l_orderkey % 3 = 0")
+    odd = [
+        third,
+        third.withColumn("l_quantity", F.col("l_quantity") + 0.4).withColumn("l_linenumber", F.lit(99)),
+        third.withColumn("l_returnflag", F.lit(None).cast("string")),
+        third.limit(50).withColumn("l_partkey", F.lit(None).cast("bigint")),
+        third.limit(50).withColumn("l_orderkey", F.lit(None).cast("bigint")),
+        third.limit(50).withColumn("l_orderkey", F.lit(10**12)),
+        third.limit(50).withColumn("l_partkey", F.lit(101)),
+        third.limit(50).withColumn("l_partkey", F.lit(102)),
+    ]
+    for more in odd:
+        some = some.unionByName(more)
+    some.write.parquet(str(tmp_path / "lineitem.parquet"))
+    return str(tmp_path)
+
+
+def test_sold_lines_are_the_cleaned_lines_without_descriptions(spark, repeated):
+    want, got = tables.cleaned(spark, repeated), tables.sold(spark, repeated)
+    assert got.columns == [c for c in want.columns if c != "Description"]
+    want = want.select(*got.columns)
+    assert got.count() == want.count() > 1000
+    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+
+
+def test_features_and_segments_carry_no_descriptions(spark, tmp_path):
+    """What the feature table and the segments stage and shuffle grows with narrow lines alone."""
+    for table in TABLES:
+        (tmp_path / f"{table}.parquet").symlink_to(f"{SMALL}/{table}.parquet")
+    tables.feature_table(spark, str(tmp_path))
+    tables.segments(spark, str(tmp_path))
+    staged = {key[2]: entry[2].fieldNames() for key, entry in staging._stages.items() if key[1] == str(tmp_path)}
+    assert {"features", "segments"} < set(staged)
+    assert not any("Description" in columns for columns in staged.values())
+    lines = transactions(spark, SMALL, [c for c in COLUMNS if c != "Description"], cancelled=False, distinct=True)
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert "Description" not in plan
+    assert plan.index("Aggregate [l_orderkey") > plan.index("Join LeftOuter, (l_orderkey")
+
+
 def test_synthetic_lines_are_the_same_on_any_partitioning(spark):
     once = synthetic_transactions(spark, 2000)
     assert once.schema.simpleString() == TRANSACTIONS.simpleString()
