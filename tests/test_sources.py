@@ -1,5 +1,6 @@
 """Files, schema checks, made-up lines and the shared tables."""
 
+import re
 from datetime import datetime
 
 import pytest
@@ -117,6 +118,16 @@ def test_features_and_segments_carry_no_descriptions(spark, tmp_path):
     assert plan.index("Aggregate [l_orderkey") > plan.index("Join LeftOuter, (l_orderkey")
 
 
+def test_lines_are_grouped_once_and_as_numbers(spark, monkeypatch):
+    """The one step that holds all lines of a task in a hash table holds four numbers of each; whole lines spilled at 60 times sf0.1."""
+    built = {}
+    monkeypatch.setattr(tables, "stage", lambda spark, folder, label, build: built.setdefault(label, build()))
+    tables.sold(spark, SMALL)
+    plan = built["sold"]._jdf.queryExecution().optimizedPlan().toString()
+    keys = re.findall(r"Aggregate \[(.*?)\], \[", plan)
+    assert [re.sub(r"#\d+L?", "", k) for k in keys] == ["l_orderkey, l_partkey, returned, quantity"]
+
+
 def test_synthetic_lines_are_the_same_on_any_partitioning(spark):
     once = synthetic_transactions(spark, 2000)
     assert once.schema.simpleString() == TRANSACTIONS.simpleString()
