@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tillroll import staging
 from tillroll.catalog import tables
+from tillroll.catalog.queries import QUERIES
 from tillroll.schema import COLUMNS, TRANSACTIONS, validate_schema
 from tillroll.session import shared_dir
 from tillroll.sources import files
@@ -173,6 +174,74 @@ def test_stage_follows_its_input(spark, tmp_path):
         assert staging.stage(spark, path, "follow", build).count() == rows
 
 
+def test_partitions_of_a_stage_grow_with_its_input(spark, tmp_path, monkeypatch):
+    """Few partitions for the session's other jobs do not make the tasks of a stage grow: those spilled at 180 times sf0.1."""
+    path, size = str(tmp_path / "in"), 1 << 15
+    spark.range(100_000).selectExpr("xxhash64(id) AS id").coalesce(1).write.parquet(path)
+    monkeypatch.setattr(staging, "SHARE", size)
+    keys = ("spark.sql.shuffle.partitions", staging._FIRST, *staging._LARGEST)
+    before = {k: spark.conf.get(k, None) for k in keys}
+    seen = {}
+
+    def build():
+        rows = spark.read.parquet(path)
+        seen["scan"] = rows.rdd.getNumPartitions()
+        seen.update((k, spark.conf.get(k, None)) for k in keys)
+        return staging.written(rows.distinct(), "inner").groupBy("id").count()
+
+    stored = staging.identity(spark, path)[1]
+    least = stored // size
+    assert least > 3 * int(before[keys[0]])
+    staged = staging.stage(spark, path, "spread", build)
+    assert seen["scan"] >= least and int(seen[keys[0]]) >= least
+    assert [seen[k] for k in staging._LARGEST] == [str(size)] * 2
+    files = staged.select(F.input_file_name().alias("f")).distinct().count()
+    assert files >= least  # the fixture's session does not put small partitions together
+    assert staged.count() == 100_000
+    assert {k: spark.conf.get(k, None) for k in keys} == before
+
+    def fails():
+        raise ValueError("no table")
+
+    with pytest.raises(ValueError, match="no table"):
+        staging.stage(spark, path, "fails", fails)
+    assert {k: spark.conf.get(k, None) for k in keys} == before
+
+
+@pytest.mark.parametrize("name", ["feature_table", "join_features", "join_rfm_behaviour"])
+def test_feature_tables_are_built_in_partitions_of_their_size(spark, name, monkeypatch, tmp_path):
+    for table in TABLES:
+        (tmp_path / f"{table}.parquet").symlink_to(f"{SMALL}/{table}.parquet")
+    monkeypatch.setattr(staging, "SHARE", 10_000)
+    table = QUERIES[name](spark, str(tmp_path))
+    assert table.select(F.input_file_name().alias("f")).distinct().count() > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    want = QUERIES[name](spark, SMALL)
+    assert table.exceptAll(want).count() == want.exceptAll(table).count() == 0
+
+
+def test_spread_keeps_settings_for_smaller_tasks(spark):
+    keys = dict.fromkeys(staging._LARGEST, "1m") | {"spark.sql.shuffle.partitions": "211"}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for key, value in keys.items():
+            spark.conf.set(key, value)
+        with staging.spread(spark, 50 * staging.SHARE):
+            assert {k: spark.conf.get(k) for k in keys} == keys
+            with staging.spread(spark, 300 * staging.SHARE):
+                assert spark.conf.get("spark.sql.shuffle.partitions") == "300"
+            assert spark.conf.get("spark.sql.shuffle.partitions") == "211"
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    with staging.spread(spark, staging.SHARE):
+        assert {k: spark.conf.get(k, None) for k in keys} == before
+
+
+@pytest.mark.parametrize("text, size", [("134217728b", 1 << 27), ("1m", 1 << 20), ("64MB", 1 << 26), ("300", 300), ("2kb", 2048)])
+def test_sizes_of_settings(text, size):
+    assert staging._bytes(text) == size
+
+
 def test_scratch_deletes_what_was_written(spark):
     with staging.scratch(spark):
         path = staging.fresh_path(spark, "gone")
