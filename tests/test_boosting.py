@@ -1,5 +1,7 @@
 """Histogram boosting against trees grown by brute force."""
 
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
@@ -151,3 +153,42 @@ def test_odd_rows(spark):
     same = spark.createDataFrame([(i, [1.0], 4.0) for i in range(50)], "id long, x array<double>, y double")
     flat = boosting.fit_many(same, [(Growth(rounds=2), -1)], "x", "y", F.col("id"))[0]
     assert [len(t.feature) for t in flat.trees] == [1, 1] and np.allclose(flat.predict(np.array([[1.0], [9.0]])), 4)
+
+
+def test_a_task_grows_what_rounds_of_jobs_grow(spark, data, monkeypatch):
+    """Rows that fit in a task cost a few jobs whatever the trees, and the trees are the same to the last bit."""
+    rows, fold = frame(spark, *data), F.pmod(F.col("id"), F.lit(4)).cast("int")
+    fits = [(Growth(rounds=11, leaves=6, row_share=0.7, column_share=0.6), 1), *[(replace(s, rounds=2), k - 1) for k, s in enumerate(CASES)]]
+    jobs = spark._jsc.sc().dagScheduler()
+    before = jobs.nextJobId()
+    alone = boosting.fit_many(rows, fits, "x", "y", F.col("id"), fold)
+    started = jobs.nextJobId() - before
+    before = jobs.nextJobId()
+    boosting.fit_many(rows, [(replace(s, rounds=10 * s.rounds), f) for s, f in fits], "x", "y", F.col("id"), fold)
+    assert jobs.nextJobId() - before == started < 20
+    monkeypatch.setattr(boosting, "HELD", 0)
+    rounds = boosting.fit_many(rows, fits, "x", "y", F.col("id"), fold)
+    assert [m.to_json() for m in alone] == [m.to_json() for m in rounds]
+    assert [[t.depth for t in m.trees] for m in alone] == [[t.depth for t in m.trees] for m in rounds]
+
+
+def test_rounds_of_jobs_equal_brute_force(spark, data, monkeypatch):
+    """As for rows that do not fit in a task."""
+    monkeypatch.setattr(boosting, "HELD", 0)
+    models = boosting.fit_many(frame(spark, *data), [(s, -1) for s in CASES[:3]], "x", "y", F.col("id"))
+    for s, model in zip(CASES, models):
+        assert np.allclose(model.predict(data[0]), brute(*data, s)[0], rtol=1e-9, atol=1e-6)
+
+
+def test_errors_of_a_search_come_from_tasks_without_trees(spark, data, monkeypatch):
+    rows, fold = frame(spark, *data), F.pmod(F.col("id"), F.lit(4)).cast("int")
+    fits = [(replace(s, rounds=3), f) for s in CASES[:3] for f in (0, 3, 9)]
+    monkeypatch.setattr(boosting, "_grow_alone", None)  # which brings trees to the driver
+    errors = boosting.held_out_errors(rows, fits, "x", "y", F.col("id"), fold)
+    monkeypatch.undo()
+    models = boosting.fit_many(rows, fits, "x", "y", F.col("id"), fold)
+    for error, model, (_, f) in zip(errors, models, fits):
+        out = np.arange(200) % 4 == f
+        assert error is None if f == 9 else np.isclose(error, np.sqrt(np.mean((model.predict(data[0][out]) - data[1][out]) ** 2)))
+    monkeypatch.setattr(boosting, "HELD", 0)
+    assert boosting.held_out_errors(rows, fits, "x", "y", F.col("id"), fold) is None

@@ -240,3 +240,29 @@ def test_deep_trees_keep_the_nodes_of_the_rows_and_are_the_same(table, name):
     )
     assert kept.toDebugString.split("\n", 1)[1] == plain.toDebugString.split("\n", 1)[1]
     assert table.sparkSession.sparkContext.getCheckpointDir() is not None
+
+
+def test_the_search_of_boosted_trees_fits_what_spark_fits(table):
+    """The errors of Spark's boosting come from trees that are Spark's, where both have a bin for every value."""
+    coarse = table.select("CustomerID", TARGET, *[F.floor(F.col(c) / 10).cast("double").alias(c) for c in FEATURES])
+    ready = modelling.assembler().transform(coarse)
+    settings = {"maxIter": 6, "stepSize": 0.2, "maxDepth": 3}
+    estimator = modelling.MODELS["GradientBoosting"].build(**settings)
+    same, mapped = modelling._as_histograms(modelling.MODELS["GradientBoosting"].build(), [settings])
+    model = same.fit_settings(ready, [(mapped[0], -1)], F.col("CustomerID"))[0]
+    want, got = (
+        [r.prediction for r in m.transform(ready).orderBy("CustomerID").select("prediction").collect()] for m in (estimator.fit(ready), model)
+    )
+    assert got == pytest.approx(want, rel=1e-6)
+
+
+def test_all_six_models_are_tuned_unless_named(table, monkeypatch):
+    """The whole run searches settings of every model that has any."""
+    few = {"DecisionTree": {"maxDepth": [2, 3]}, "RandomForest": {"numTrees": [2, 3]}}
+    few |= {name: {"maxIter": [2, 3]} for name in ("GradientBoosting", "XGBoost", "LightGBM")}
+    for name, grid in few.items():
+        config = modelling.MODELS[name]
+        monkeypatch.setitem(modelling.MODELS, name, modelling.ModelConfig(config.estimator, config.defaults, grid))
+    trained = modelling.train_all(table)
+    assert [t.name for t in trained] == list(modelling.MODELS) and len(trained) == 6
+    assert all(t.best_params in [{k: v} for k, vs in few[t.name].items() for v in vs] and t.cv_rmse > 0 for t in trained[1:])
